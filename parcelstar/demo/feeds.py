@@ -11,7 +11,7 @@ from parcelstar.operators import facts
 from parcelstar.operators.cleaning import clean_api, clean_bulk
 from parcelstar.operators.dimensions import build_dim_location, dim_property_type
 from parcelstar.plans.analytics import Star
-from parcelstar.schemas import FACT_MARKET_STATS, MARKET, conform
+from parcelstar.schemas import FACT_MARKET_STATS, MARKET, conform, literal_frame
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,7 +85,7 @@ def star(spark: SparkSession, sf_dir: str, market: bool = True) -> Star:
         documents = market_documents(spark, sf_dir)
         stats = facts.market_stats_fact(documents, dim, shapes.BATCH_API, shapes.INGESTED_AT)
     else:
-        stats = spark.createDataFrame([], FACT_MARKET_STATS)
+        stats = literal_frame(spark, [], FACT_MARKET_STATS)
     return Star(dim, types, listings, conform(stats, FACT_MARKET_STATS))
 
 

@@ -291,7 +291,7 @@ ORACLES: dict[str, str] = {
         " AND city IS NOT NULL AND state IS NOT NULL AND zip_code > 0"
         " AND coalesce(bed, bath) IS NOT NULL GROUP BY 1",
     ),
-    "clean_api": _with(["api"], "SELECT * FROM api"),
+    "clean_api": _with(["api"], 'SELECT * EXCLUDE ("addressLine1") FROM api'),
     "state_codes": _with(
         ["bulk_raw", "codes"],
         "SELECT upper(code) AS code, count(*) AS listing_count"

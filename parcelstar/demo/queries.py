@@ -48,7 +48,7 @@ def clean_bulk_legacy_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_api_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_api(feeds.api_raw(spark, sf_dir))
+    return clean_api(feeds.api_raw(spark, sf_dir)).drop("addressLine1")
 
 
 def state_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

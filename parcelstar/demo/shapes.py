@@ -7,17 +7,22 @@ from parcelstar.constants import STATE_CODES
 _STATES = list(STATE_CODES.items())[:25]
 
 
-def _by_nation(key: str, values: list[str]) -> str:
-    cases = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
-    return f"CASE {key} {cases} END"
+def pick(index: str, values: list[str]) -> str:
+    """The value at an index, cut from one fixed-width text; '' gives NULL.
+
+    A branch per value would make the generated code too large to be compiled.
+    """
+    width = max(map(len, values))
+    text = "".join(v.ljust(width) for v in values)
+    return f"nullif(trim(substr('{text}', cast({index} AS int) * {width} + 1, {width})), '')"
 
 
 def state_name(key: str) -> str:
-    return _by_nation(key, [name for name, _ in _STATES])
+    return pick(key, [name for name, _ in _STATES])
 
 
 def state_code(key: str) -> str:
-    return _by_nation(key, [code for _, code in _STATES])
+    return pick(key, [code for _, code in _STATES])
 
 
 # Bulk listings from orders and customer, with planted defects.
@@ -47,22 +52,24 @@ API_FROM = "lineitem JOIN supplier ON l_suppkey = s_suppkey"
 API_RAW = {
     "id": "CASE WHEN l_orderkey % 97 = 0 THEN NULL"
           " ELSE cast(l_orderkey AS string) || '-' || cast(l_linenumber AS string) END",
-    "addressLine1": "cast(l_partkey AS string) || CASE l_partkey % 8"
-                    " WHEN 0 THEN ' Main Street' WHEN 1 THEN ' Oak Avenue'"
-                    " WHEN 2 THEN ' Sunset Boulevard' WHEN 3 THEN ' Lake Drive'"
-                    " WHEN 4 THEN ' Hill Road' WHEN 5 THEN ' Penny Lane'"
-                    " WHEN 6 THEN ' Streetside Court' ELSE ' Street Street Road' END",
-    "city": "CASE l_suppkey % 5 WHEN 0 THEN 'Household ' WHEN 1 THEN 'Machinery'"
-            " WHEN 2 THEN 'Furniture' WHEN 3 THEN 'Building' ELSE 'Automobile' END",
+    "addressLine1": "cast(l_partkey AS string) || ' ' || "
+                    + pick(
+                        "l_partkey % 8",
+                        ["Main Street", "Oak Avenue", "Sunset Boulevard", "Lake Drive",
+                         "Hill Road", "Penny Lane", "Streetside Court", "Street Street Road"],
+                    ),
+    "city": pick(
+        "l_suppkey % 5", ["Household", "Machinery", "Furniture", "Building", "Automobile"]
+    ) + " || ' '",
     "state": state_code("s_nationkey"),
     "zipCode": "lpad(cast(501 + s_nationkey * 100 + l_orderkey % 3 AS string), 5, '0')",
     "latitude": "CASE WHEN l_partkey % 29 = 0 THEN NULL WHEN l_partkey % 31 = 0 THEN 60.0e0"
                 " ELSE cast(25 + l_partkey % 20 AS double) END",
     "longitude": "CASE WHEN l_suppkey % 13 = 0 THEN 10.0e0"
                  " ELSE cast(-70 - l_partkey % 50 AS double) END",
-    "propertyType": "CASE l_partkey % 6 WHEN 0 THEN 'Single Family' WHEN 1 THEN 'Condo'"
-                    " WHEN 2 THEN 'Townhouse' WHEN 3 THEN 'Multi-Family' WHEN 4 THEN 'Land'"
-                    " ELSE NULL END",
+    "propertyType": pick(
+        "l_partkey % 6", ["Single Family", "Condo", "Townhouse", "Multi-Family", "Land", ""]
+    ),
     "price": "l_extendedprice",
     "status": "CASE WHEN l_linestatus = 'O' THEN 'Active' ELSE 'Inactive' END",
     "bedrooms": "cast(l_linenumber AS double)",

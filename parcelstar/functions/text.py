@@ -31,7 +31,8 @@ def state_code(c: Column) -> Column:
 def shorten_street(c: Column) -> Column:
     """Abbreviate the first occurrence of each street suffix, whole words only."""
     for word, short in STREET_SUFFIXES:
-        c = F.regexp_replace(c, rf"(?U)^([\s\S]*?)\b{word}\b", f"$1{short}")
+        # The match runs to the end of the text, so there is no second one.
+        c = F.regexp_replace(c, rf"(?Us)\b{word}\b(.*)", f"{short}$1")
     return c
 
 

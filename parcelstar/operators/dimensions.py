@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from parcelstar.constants import LOCATION_KEY, PROPERTY_TYPES
 from parcelstar.operators.ordering import dense_keys
-from parcelstar.schemas import DIM_PROPERTY_TYPE
+from parcelstar.schemas import DIM_PROPERTY_TYPE, literal_frame
 
 LOCATION_ORDER = ["state", "city", "zip_code"]
 
 
 def dim_property_type(spark: SparkSession) -> DataFrame:
     """The six fixed property types."""
-    return spark.createDataFrame(PROPERTY_TYPES, DIM_PROPERTY_TYPE)
+    return literal_frame(spark, PROPERTY_TYPES, DIM_PROPERTY_TYPE)
 
 
 def has_location() -> Column:

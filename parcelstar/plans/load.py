@@ -81,15 +81,18 @@ def append_fact(
     id_column: str,
     staged_fact: DataFrame,
     staged_locations: DataFrame,
+    start: int,
     scope_by_source: bool = True,
 ) -> dict:
-    """Append the staged rows of batches not loaded yet, with warehouse location ids."""
-    new = batch_guard(staged_fact, warehouse.table(table))
+    """Append the staged rows of batches not loaded yet, with warehouse location ids.
+
+    Generated ids come after `start`; they may leave gaps.
+    """
+    new = batch_guard(staged_fact, warehouse.loaded_batches(table))
     dropped = new.where(F.col("location_id").isNull()).count()
     located = remap_location(
         new, staged_locations, warehouse.table("dim_location"), scope_by_source
     )
-    start = last_id(warehouse, table, id_column)
     numbered = located.withColumn(id_column, F.monotonically_increasing_id() + start + 1)
     seen = Observation()
     watched = numbered.observe(
@@ -103,7 +106,7 @@ def append_fact(
     return {
         "row_count": figures.get("rows") or 0,
         "dropped_rows": dropped,
-        "max_id": figures.get("max_id"),
+        "max_id": figures.get("max_id") or start,
         "fact_batch_id": figures.get("batch_id"),
     }
 
@@ -130,10 +133,12 @@ def append_metadata(
         for i, entry in enumerate(entries, start=1)
     ]
     names = schemas.PIPELINE_METADATA.names
-    frame = warehouse.spark.createDataFrame(
-        [tuple(row.get(name) for name in names) for row in rows], schemas.PIPELINE_METADATA
+    frame = schemas.literal_frame(
+        warehouse.spark,
+        [tuple(row.get(name) for name in names) for row in rows],
+        schemas.PIPELINE_METADATA,
     )
-    warehouse.append("pipeline_metadata", frame.coalesce(1))
+    warehouse.append("pipeline_metadata", frame)
 
 
 def log_quality(warehouse: Warehouse, batch_id: str, extended: bool = False) -> list[dict]:
@@ -152,8 +157,8 @@ def log_quality(warehouse: Warehouse, batch_id: str, extended: bool = False) ->
         ((top or 0) + i, batch_id, r["name"], r["sql"], r["value"], r["passed"], now)
         for i, r in enumerate(results, start=1)
     ]
-    frame = warehouse.spark.createDataFrame(rows, schemas.DATA_QUALITY_LOG)
-    warehouse.append("data_quality_log", frame.coalesce(1))
+    frame = schemas.literal_frame(warehouse.spark, rows, schemas.DATA_QUALITY_LOG)
+    warehouse.append("data_quality_log", frame)
     return [{k: r[k] for k in ("name", "value", "passed")} for r in results]
 
 
@@ -179,16 +184,17 @@ def load(
         locations = read_staged_locations(spark, staging_root, execution_date)
         added = append_new_locations(warehouse, locations)
         entries = [{"source": "all", "table_name": "dim_location", "row_count": added}]
+        top_ids: dict[str, int] = {}
         for source, table, schema, id_column in FACT_LOADS:
             fact = read_staged(spark, staged(staging_root, source, execution_date, table), schema)
+            if table not in top_ids:
+                top_ids[table] = last_id(warehouse, table, id_column)
             figures = append_fact(
-                warehouse, table, id_column, fact, locations, scope_by_source
+                warehouse, table, id_column, fact, locations, top_ids[table], scope_by_source
             )
-            entry = {"source": source, "table_name": table, **figures}
-            entries.append(entry)
-            # The next feed of this table continues after these ids.
-            append_metadata(warehouse, batch_id, started, [entry])
-        append_metadata(warehouse, batch_id, started, entries[:1])
+            top_ids[table] = figures["max_id"]
+            entries.append({"source": source, "table_name": table, **figures})
+        append_metadata(warehouse, batch_id, started, entries)
         checks = log_quality(warehouse, batch_id, extended_checks)
     except Exception:
         failed = {"source": "all", "table_name": "pipeline", "row_count": 0}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -119,6 +119,18 @@ TEXT_LIMITS = {
 }
 
 
+def literal_frame(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """A few given rows as a frame Catalyst sees as a local table; also for no rows."""
+    if not rows:
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        return spark.range(0).select(*nothing)
+    entries = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*entries)))
+
+
 def number_text(c: Column) -> Column:
     """A double as text; whole numbers without the fraction (7.0 -> '7')."""
     whole = c.try_cast("bigint")

@@ -17,6 +17,9 @@ def build_session(app_name: str = "parcelstar", **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Larger generated methods are not compiled by HotSpot; Spark then runs the
+        # operators one by one, which are.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

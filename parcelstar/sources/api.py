@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelstar.constants import API_ENDPOINT, API_SOURCE
 from parcelstar.functions.text import state_code
-from parcelstar.schemas import ENVELOPE, LISTING, MARKET
+from parcelstar.schemas import ENVELOPE, LISTING, MARKET, literal_frame
 from parcelstar.sources.paths import partition_values, path_exists, raw_api_listings
 
 
@@ -33,7 +33,7 @@ def read_api_listings(spark: SparkSession, path: str, multi_line: bool = False)
 def read_market(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Market documents; none when the folder is missing."""
     if not path_exists(spark, path):
-        return spark.createDataFrame([], MARKET)
+        return literal_frame(spark, [], MARKET)
     return (
         spark.read.schema(MARKET).options(multiLine=multi_line, mode="FAILFAST").json(path)
     )

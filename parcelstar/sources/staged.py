@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from parcelstar.schemas import conform
+from parcelstar.schemas import conform, literal_frame
 from parcelstar.sources.paths import path_exists, staged
 
 
@@ -25,5 +25,5 @@ def write_staged(
 def read_staged(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A staged table by case-insensitive column name, cast to `schema`; empty if absent."""
     if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
+        return literal_frame(spark, [], schema)
     return conform(spark.read.parquet(path), schema)

@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType
 
 from parcelstar import schemas
 from parcelstar.operators.dimensions import dim_property_type
-from parcelstar.schemas import conform
-from parcelstar.sources.paths import path_exists
+from parcelstar.schemas import conform, literal_frame, struct
+from parcelstar.sources.paths import partition_values, path_exists
 
 SCHEMAS = {
     "dim_location": schemas.DIM_LOCATION,
@@ -25,6 +26,8 @@ PARTITIONS = {
     "fact_market_stats": ["source", "batch_id"],
 }
 
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -41,9 +44,15 @@ class Warehouse:
             return dim_property_type(self.spark)
         schema = SCHEMAS[name]
         if not path_exists(self.spark, self.path(name)):
-            return self.spark.createDataFrame([], schema)
+            return literal_frame(self.spark, [], schema)
         return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.names)
 
+    def loaded_batches(self, name: str) -> DataFrame:
+        """Batch ids of a fact, taken from its folder names; one row per batch."""
+        names = partition_values(self.spark, f"{self.path(name)}/source=*", "batch_id")
+        rows = [(batch,) for batch in sorted(set(names)) if batch != NULL_FOLDER]
+        return literal_frame(self.spark, rows, struct(batch_id=StringType()))
+
     def append(self, name: str, df: DataFrame) -> None:
         rows = conform(df, SCHEMAS[name])
         (
