@@ -19,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _shaped(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return df.selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])
+    return df.selectExpr(*shapes.select_items(columns))
 
 
 def _orders_customers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,10 @@ _CODES = ", ".join(f"('{code.lower()}', '{name.lower()}')" for name, code in STA
 _TYPES = ", ".join(f"(cast({i} AS bigint), '{name}')" for i, name in PROPERTY_TYPES)
 
 
+def _select_list(columns: dict[str, str]) -> str:
+    return ", ".join(shapes.select_items(columns, first=1))
+
+
 def _short_street(text: str) -> str:
     for word, short in STREET_SUFFIXES:
         text = f"regexp_replace({text}, '\\b{word}\\b', '{short}')"
@@ -31,8 +35,8 @@ def _mean(value: str, condition: str = "true") -> str:
 
 # Common table expressions in dependency order.
 _CTES = {
-    "bulk_raw": f"SELECT {shapes.select_list(shapes.BULK_RAW)} FROM {shapes.BULK_FROM}",
-    "api_raw": f"SELECT {shapes.select_list(shapes.API_RAW)} FROM {shapes.API_FROM}",
+    "bulk_raw": f"SELECT {_select_list(shapes.BULK_RAW)} FROM {shapes.BULK_FROM}",
+    "api_raw": f"SELECT {_select_list(shapes.API_RAW)} FROM {shapes.API_FROM}",
     "codes": f"SELECT * FROM (VALUES {_CODES}) AS t(code, name)",
     "types": f"SELECT * FROM (VALUES {_TYPES}) AS t(property_type_id, property_type)",
     "bulk": """
@@ -97,7 +101,7 @@ _CTES = {
         FROM api_typed JOIN dim USING (city, state, zip_code) JOIN types USING (property_type)
     """,
     "monthly": f"""
-        SELECT {shapes.select_list(shapes.MARKET_KEYS | shapes.MARKET_FIGURES)}
+        SELECT {_select_list(shapes.MARKET_KEYS | shapes.MARKET_FIGURES)}
         FROM {shapes.BULK_FROM}
         GROUP BY 1, 2
     """,

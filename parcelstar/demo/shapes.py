@@ -1,4 +1,4 @@
-"""Column expressions that shape the raw feeds; plain SQL that Spark and DuckDB share."""
+"""Column expressions that shape the raw feeds; SQL text that Spark and DuckDB share."""
 
 from __future__ import annotations
 
@@ -7,14 +7,16 @@ from parcelstar.constants import STATE_CODES
 _STATES = list(STATE_CODES.items())[:25]
 
 
+# Stands for the index of an array's first element: 0 in Spark, 1 in DuckDB.
+FIRST = "@FIRST"
+
+
 def pick(index: str, values: list[str]) -> str:
-    """The value at an index, cut from one fixed-width text; '' gives NULL.
+    """The value at an index, from a constant array; '' gives NULL.
 
     A branch per value would make the generated code too large to be compiled.
     """
-    width = max(map(len, values))
-    text = "".join(v.ljust(width) for v in values)
-    return f"nullif(trim(substr('{text}', cast({index} AS int) * {width} + 1, {width})), '')"
+    return f"nullif(split('{','.join(values)}', ',')[cast({index} AS int) + {FIRST}], '')"
 
 
 def state_name(key: str) -> str:
@@ -98,5 +100,5 @@ BATCH_BULK, BATCH_API = "bulk-batch", "api-batch"
 INGESTED_AT = "2026-01-01T00:00:00+00:00"
 
 
-def select_list(columns: dict[str, str]) -> str:
-    return ",\n    ".join(f"{expr} AS {name}" for name, expr in columns.items())
+def select_items(columns: dict[str, str], first: int = 0) -> list[str]:
+    return [f"{expr} AS {name}".replace(FIRST, str(first)) for name, expr in columns.items()]
