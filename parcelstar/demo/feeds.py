@@ -12,6 +12,7 @@ from parcelstar.operators.cleaning import clean_api, clean_bulk
 from parcelstar.operators.dimensions import build_dim_location, dim_property_type
 from parcelstar.plans.analytics import Star
 from parcelstar.schemas import FACT_MARKET_STATS, MARKET, conform, literal_frame
+from parcelstar.session import write_through
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,7 +77,9 @@ def locations(bulk: DataFrame, api: DataFrame) -> DataFrame:
 def star(spark: SparkSession, sf_dir: str, market: bool = True) -> Star:
     """Both feeds as a warehouse would hold them."""
     bulk, api = cleaned(spark, sf_dir)
-    dim, types = locations(bulk, api), dim_property_type(spark)
+    # Used by every join below: written once.
+    dim = write_through(locations(bulk, api), "dim-location")
+    types = dim_property_type(spark)
     listings = facts.unified_fact(
         facts.bulk_fact(bulk, dim, types, shapes.BATCH_BULK, shapes.INGESTED_AT),
         facts.api_fact(api, dim, types, shapes.BATCH_API, shapes.INGESTED_AT),

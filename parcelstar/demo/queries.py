@@ -234,7 +234,8 @@ def landing_api_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = feeds.api_raw(spark, sf_dir)
     # Every listing, those without an id too, so the row itself orders the pages.
     order = ["id", "price", "addressLine1", "listedDate"]
-    paged = pages(shape_listing(raw).withColumn("_state", F.col("state")), ["_state"], order, PAGE_SIZE)
+    listings = shape_listing(raw).withColumn("_state", F.col("state"))
+    paged = pages(listings, ["_state"], order, PAGE_SIZE)
     fetched = paged.select(
         F.col("_state").alias("state"), "offset", F.lit(None).cast("bigint").alias("total_count"),
         "records",
@@ -258,10 +259,8 @@ def page_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumnRenamed("event_type", "state")
     expected = events.groupBy("state").agg(F.count(F.lit(1)).alias("total_count"))
     paged = pages(events.select("state", "event_id"), ["state"], ["event_id"], PAGE_SIZE)
-    landed = paged.join(expected, "state").withColumn(
-        "record_count", F.size("records").cast("bigint")
-    )
-    return reconcile_pages(landed)
+    landed = paged.select("state", "offset", F.size("records").cast("bigint").alias("record_count"))
+    return reconcile_pages(joins.lookup_join(landed, expected, ["state"]))
 
 
 def load_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
