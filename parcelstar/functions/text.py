@@ -28,6 +28,12 @@ def state_code(c: Column) -> Column:
     return codes[c]
 
 
+def known_state(c: Column) -> Column:
+    """The value if it is a full state name; anything else raises when it is read."""
+    message = F.concat(F.lit("unknown state name: "), F.coalesce(c, F.lit("NULL")))
+    return F.when(state_code(c).isNotNull(), c).otherwise(F.raise_error(message))
+
+
 def shorten_street(c: Column) -> Column:
     """Abbreviate the first occurrence of each street suffix, whole words only."""
     for word, short in STREET_SUFFIXES:

@@ -68,26 +68,35 @@ def batch_guard(new: DataFrame, existing: DataFrame) -> DataFrame:
     return lookup_join(new, loaded, ["batch_id"], "left_anti")
 
 
-def remap_location(
-    fact: DataFrame,
-    staged_locations: DataFrame,
-    dim_location: DataFrame,
-    scope_by_source: bool = True,
-) -> DataFrame:
-    """Replace a staged location_id by the warehouse one, found by natural key.
+def location_bridge(staged_locations: DataFrame, dim_location: DataFrame) -> DataFrame:
+    """Which warehouse location each feed's staged location_id stands for."""
+    return staged_locations.join(
+        dim_location.withColumnRenamed("location_id", "_warehouse_id"), LOCATION_KEY
+    ).select("source", "location_id", "_warehouse_id")
+
+
+def cross_bridge(fact: DataFrame, bridge: DataFrame, scope_by_source: bool = True) -> DataFrame:
+    """Replace a staged location_id by the warehouse one.
 
     Both feeds number their locations from 1, so the staged id is only unique together
     with `source`. `scope_by_source=False` matches on the id alone, which repeats a fact
     for every feed that uses its id. Facts without a staged location are dropped.
     """
-    staged_key = ["source", "location_id"] if scope_by_source else ["location_id"]
-    bridge = staged_locations.join(
-        dim_location.withColumnRenamed("location_id", "_warehouse_id"), LOCATION_KEY
-    ).select(*staged_key, "_warehouse_id")
-    joined = lookup_join(fact, bridge, staged_key, "inner")
+    key = ["source", "location_id"] if scope_by_source else ["location_id"]
+    joined = lookup_join(fact, bridge.select(*key, "_warehouse_id"), key, "inner")
     return joined.withColumn("location_id", F.col("_warehouse_id")).select(fact.columns)
 
 
+def remap_location(
+    fact: DataFrame,
+    staged_locations: DataFrame,
+    dim_location: DataFrame,
+    scope_by_source: bool = True,
+) -> DataFrame:
+    """Give a staged fact the warehouse's location ids, found by natural key."""
+    return cross_bridge(fact, location_bridge(staged_locations, dim_location), scope_by_source)
+
+
 def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Fact rows per key value that the dimension lacks, NULL keys included."""
     counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("row_count"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from parcelstar import schemas
 from parcelstar.constants import API_SOURCE, BULK_SOURCE
 from parcelstar.operators.dimensions import new_locations
-from parcelstar.operators.joins import batch_guard, remap_location
+from parcelstar.operators.joins import batch_guard, cross_bridge, location_bridge
 from parcelstar.operators.quality import quality_checks
 from parcelstar.plans.runs import new_batch_id, today, utc_now
 from parcelstar.session import write_through
@@ -80,7 +80,7 @@ def append_fact(
     table: str,
     id_column: str,
     staged_fact: DataFrame,
-    staged_locations: DataFrame,
+    bridge: DataFrame,
     start: int,
     scope_by_source: bool = True,
 ) -> dict:
@@ -90,9 +90,7 @@ def append_fact(
     """
     new = batch_guard(staged_fact, warehouse.loaded_batches(table))
     dropped = new.where(F.col("location_id").isNull()).count()
-    located = remap_location(
-        new, staged_locations, warehouse.table("dim_location"), scope_by_source
-    )
+    located = cross_bridge(new, bridge, scope_by_source)
     numbered = located.withColumn(id_column, F.monotonically_increasing_id() + start + 1)
     seen = Observation()
     watched = numbered.observe(
@@ -185,12 +183,16 @@ def load(
         added = append_new_locations(warehouse, locations)
         entries = [{"source": "all", "table_name": "dim_location", "row_count": added}]
         top_ids: dict[str, int] = {}
+        # Every fact crosses it: written once.
+        bridge = write_through(
+            location_bridge(locations, warehouse.table("dim_location")), "bridge"
+        )
         for source, table, schema, id_column in FACT_LOADS:
             fact = read_staged(spark, staged(staging_root, source, execution_date, table), schema)
             if table not in top_ids:
                 top_ids[table] = last_id(warehouse, table, id_column)
             figures = append_fact(
-                warehouse, table, id_column, fact, locations, top_ids[table], scope_by_source
+                warehouse, table, id_column, fact, bridge, top_ids[table], scope_by_source
             )
             top_ids[table] = figures["max_id"]
             entries.append({"source": source, "table_name": table, **figures})

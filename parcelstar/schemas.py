@@ -48,6 +48,8 @@ ENVELOPE = struct(
     records=ArrayType(LISTING),
 )
 
+PAGE = StructType([ENVELOPE[c] for c in ("state", "offset", "total_count", "records")])
+
 MARKET_ENTRY = struct(
     date=_STR, medianPrice=_DBL, medianPricePerSquareFoot=_DBL, medianDaysOnMarket=_DBL,
     totalListings=_INT, newListings=_INT,
@@ -123,12 +125,12 @@ def literal_frame(spark: SparkSession, rows: list[tuple], schema: StructType) ->
     """A few given rows as a frame Catalyst sees as a local table; also for no rows."""
     if not rows:
         nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
-        return spark.range(0).select(*nothing)
+        return spark.range(0, 0, 1, 1).select(*nothing)
     entries = [
         F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema)])
         for row in rows
     ]
-    return spark.range(1).select(F.inline(F.array(*entries)))
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*entries)))
 
 
 def number_text(c: Column) -> Column:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from parcelstar.constants import API_ENDPOINT, API_SOURCE
-from parcelstar.functions.text import state_code
-from parcelstar.schemas import ENVELOPE, LISTING, MARKET, literal_frame
+from parcelstar.functions.text import known_state
+from parcelstar.schemas import ENVELOPE, LISTING, MARKET, PAGE, literal_frame
 from parcelstar.sources.paths import partition_values, path_exists, raw_api_listings
 
 
@@ -41,18 +41,7 @@ def read_market(spark: SparkSession, path: str, multi_line: bool = False) -> Dat
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Fetched pages: state name, offset, total_count, records."""
-    fields = [ENVELOPE[c] for c in ("state", "offset", "total_count", "records")]
-    return spark.read.schema(type(ENVELOPE)(fields)).option("mode", "FAILFAST").json(path)
-
-
-def check_states(pages: DataFrame) -> None:
-    """Raise when a page names a state that is not a full state name."""
-    unknown = (
-        pages.select("state").distinct().where(state_code(F.col("state")).isNull()).limit(10)
-    )
-    names = [row["state"] for row in unknown.collect()]
-    if names:
-        raise ValueError(f"unknown state names: {names}")
+    return spark.read.schema(PAGE).option("mode", "FAILFAST").json(path)
 
 
 def envelopes(
@@ -73,6 +62,15 @@ def envelopes(
     )
 
 
+def write_envelopes(df: DataFrame, path: str, mode: str) -> None:
+    """One folder per state; a large state is split over several tasks."""
+    df.write.mode(mode).partitionBy("state_part").json(path)
+
+
+def by_state(df: DataFrame) -> DataFrame:
+    return df.withColumn("state_part", F.col("state")).hint("rebalance", "state_part")
+
+
 def land_api_pages(
     pages: DataFrame,
     raw_root: str,
@@ -81,28 +79,25 @@ def land_api_pages(
     ingested_at: str,
     known_states: bool = True,
 ) -> dict:
-    """Land the pages of the states that are not landed for this date yet."""
+    """Land the pages of the states that are not landed for this date yet.
+
+    A page whose state is not a full state name fails the write, so nothing lands.
+    """
     spark = pages.sparkSession
     path = raw_api_listings(raw_root, execution_date)
     if known_states:
-        check_states(pages)
+        pages = pages.withColumn("state", known_state(F.col("state")))
     landed = partition_values(spark, path, "state_part")
     new = envelopes(
         pages.where(~F.col("state").isin(landed)), execution_date, batch_id, ingested_at
     )
     seen = Observation()
-    (
-        new.withColumn("state_part", F.col("state"))
-        .hint("rebalance", "state_part")
-        .observe(
-            seen,
-            F.collect_set("state").alias("states"),
-            F.sum("record_count").alias("records"),
-        )
-        .write.mode("append")
-        .partitionBy("state_part")
-        .json(path)
+    watched = by_state(new).observe(
+        seen,
+        F.collect_set("state").alias("states"),
+        F.sum("record_count").alias("records"),
     )
+    write_envelopes(watched, path, "append")
     figures = seen.get
     return {
         "batch_id": batch_id,

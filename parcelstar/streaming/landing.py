@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parcelstar.constants import BULK_SOURCE
+from parcelstar.functions.text import known_state
 from parcelstar.operators.facts import audit
-from parcelstar.schemas import BULK
+from parcelstar.schemas import BULK, PAGE
+from parcelstar.sources.api import by_state, envelopes, write_envelopes
 from parcelstar.sources.bulk import write_by_state
-from parcelstar.sources.paths import raw_bulk
+from parcelstar.sources.paths import raw_api_listings, raw_bulk
 
 
 def stream_bulk_csv(
@@ -23,6 +28,27 @@ def stream_bulk_csv(
     return reader.csv(drop_folder)
 
 
+def stream_pages(
+    spark: SparkSession, drop_folder: str, max_files: int | None = None
+) -> DataFrame:
+    """Stream of the fetched API pages that arrive in a folder, as JSON lines."""
+    reader = spark.readStream.schema(PAGE).option("mode", "FAILFAST")
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.json(drop_folder)
+
+
+def _land(files: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]) -> None:
+    """Run the stream over what arrived since the last call, then stop."""
+    query = (
+        files.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def land_new_files(
     files: DataFrame,
     raw_root: str,
@@ -31,20 +57,33 @@ def land_new_files(
     batch_id: str,
     ingested_at: str,
 ) -> None:
-    """Land what arrived since the last call, then stop.
+    """Land the bulk listings that arrived since the last call.
 
     A micro-batch may run twice after a failure; each one overwrites a folder of its own
     number, so the second run replaces the first.
     """
     root = raw_bulk(raw_root, execution_date)
 
-    def land(rows: DataFrame, number: int) -> None:
+    def write(rows: DataFrame, number: int) -> None:
         write_by_state(audit(rows, BULK_SOURCE, batch_id, ingested_at), f"{root}/drop={number}")
 
-    query = (
-        files.writeStream.foreachBatch(land)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    _land(files, checkpoint, write)
+
+
+def land_new_pages(
+    pages: DataFrame,
+    raw_root: str,
+    execution_date: str,
+    checkpoint: str,
+    batch_id: str,
+    ingested_at: str,
+) -> None:
+    """Land the API pages that arrived since the last call, as envelopes."""
+    root = raw_api_listings(raw_root, execution_date)
+
+    def write(rows: DataFrame, number: int) -> None:
+        named = rows.withColumn("state", known_state(F.col("state")))
+        landed = by_state(envelopes(named, execution_date, batch_id, ingested_at))
+        write_envelopes(landed, f"{root}/drop={number}", "overwrite")
+
+    _land(pages, checkpoint, write)

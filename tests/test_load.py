@@ -6,12 +6,13 @@ from parcelstar.constants import API_SOURCE, BULK_SOURCE
 from parcelstar.operators.quality import assert_quality, quality_checks
 from parcelstar.plans import load as load_plan
 from parcelstar.plans import pipeline
+from parcelstar.plans.analytics import Star, price_gap
 from parcelstar.plans.load import load
 from parcelstar.plans.transform import transform_api, transform_bulk
 from parcelstar.schemas import FACT_LISTINGS, FACT_MARKET_STATS, literal_frame
 from parcelstar.sources.staged import write_staged
 from parcelstar.sources.warehouse import Warehouse
-from tests.conftest import LISTING_ROW, NOW, bulk, listings, market, market_entry
+from tests.conftest import LISTING_ROW, NOW, bulk, listings, market, market_entry, plan
 from tests.test_sources import write_csv
 
 DATE = "2024-06-01"
@@ -99,6 +100,16 @@ def test_quality_log_and_gate(loaded):
         pipeline.gate(runs[0])
 
 
+def test_queries_over_a_loaded_warehouse(loaded):
+    star = Star.of(loaded[0])
+    gap = price_gap(star).collect()
+    assert [(r.zip_code, r.state, r.avg_kaggle_price, r.price_gap) for r in gap] == [
+        ("78701", "texas", 300_000.0, 50_000.0)
+    ]
+    pruned = plan(star.fact_listings.where("source = 'kaggle'"))
+    assert "PartitionFilters: [isnotnull(source" in pruned
+
+
 def test_unscoped_load_repeats_facts(spark, tmp_path):
     stage(spark, str(tmp_path / "s"))
     summary = load(spark, str(tmp_path / "s"), str(tmp_path / "w"), DATE, scope_by_source=False)

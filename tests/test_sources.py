@@ -4,10 +4,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelstar.operators.reconciliation import landing_totals, reconcile_pages
-from parcelstar.schemas import ENVELOPE, MARKET, STAGED_BULK_FACT
+from parcelstar.schemas import MARKET, PAGE, STAGED_BULK_FACT
 from parcelstar.sources import api, bulk as bulk_source, paths
 from parcelstar.sources.staged import read_staged, write_staged
-from parcelstar.streaming.landing import land_new_files, stream_bulk_csv
+from parcelstar.streaming.landing import (
+    land_new_files,
+    land_new_pages,
+    stream_bulk_csv,
+    stream_pages,
+)
 from tests.conftest import BATCH, BULK_ROW, LISTING_ROW, NOW, bulk, market_entry, settings
 
 DATE = "2024-06-01"
@@ -30,8 +35,7 @@ def page(state, offset, n, total=None):
 
 
 def page_frame(spark, *given):
-    fields = [ENVELOPE[c] for c in ("state", "offset", "total_count", "records")]
-    return spark.createDataFrame(list(given), type(ENVELOPE)(fields))
+    return spark.createDataFrame(list(given), PAGE)
 
 
 def test_read_csv(spark, tmp_path):
@@ -108,8 +112,11 @@ def test_land_api_pages(spark, tmp_path):
 
 
 def test_unknown_state_is_refused(spark, tmp_path):
-    with pytest.raises(ValueError, match="TX"):
-        api.land_api_pages(page_frame(spark, page("TX", 0, 1)), str(tmp_path), DATE, BATCH, NOW)
+    mixed = page_frame(spark, page("Texas", 0, 1), page("TX", 0, 1))
+    with pytest.raises(Exception, match="unknown state name: TX"):
+        api.land_api_pages(mixed, str(tmp_path), DATE, BATCH, NOW)
+    folder = paths.raw_api_listings(str(tmp_path), DATE)
+    assert paths.partition_values(spark, folder, "state_part") == []
 
 
 def test_envelope_files_of_one_line_or_many(spark, tmp_path):
@@ -180,3 +187,23 @@ def test_stream_lands_each_file_once(spark, tmp_path):
     assert run() == 8
     landed = bulk_source.read_raw_bulk(spark, paths.raw_bulk(raw, DATE))
     assert landed.where(F.col("state") == "Texas").count() == 2
+
+
+def test_stream_lands_each_page_once(spark, tmp_path):
+    drop, raw, checkpoint = tmp_path / "drop", str(tmp_path / "raw"), str(tmp_path / "cp")
+    drop.mkdir()
+
+    def put(name, *states):
+        lines = [{"state": s, "offset": 0, "records": [LISTING_ROW]} for s in states]
+        (drop / name).write_text("\n".join(map(json.dumps, lines)))
+
+    def run():
+        land_new_pages(stream_pages(spark, str(drop), 1), raw, DATE, checkpoint, BATCH, NOW)
+        return api.read_envelopes(spark, paths.raw_api_listings(raw, DATE)).collect()
+
+    put("a.json", "Texas", "Utah")
+    assert [len(run()), len(run())] == [2, 2]
+    put("b.json", "Ohio")
+    landed = run()
+    assert sorted(r.state for r in landed) == ["Ohio", "Texas", "Utah"]
+    assert {r.record_count for r in landed} == {1}
