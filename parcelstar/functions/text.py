@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,11 +36,25 @@ def known_state(c: Column) -> Column:
     return F.when(state_code(c).isNotNull(), c).otherwise(F.raise_error(message))
 
 
+def _let(c: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a column that is evaluated once, however often `body` uses it."""
+    return F.transform(F.array(c), body)[0]
+
+
+def _shorten_word(word: str, short: str) -> Callable[[Column], Column]:
+    def shorten(text: Column) -> Column:
+        # The match runs to the end of the text, so there is no second one. The cheap
+        # search spares most texts the regular expression.
+        replaced = F.regexp_replace(text, rf"(?Us)\b{word}\b(.*)", f"{short}$1")
+        return F.when(text.contains(word), replaced).otherwise(text)
+
+    return shorten
+
+
 def shorten_street(c: Column) -> Column:
     """Abbreviate the first occurrence of each street suffix, whole words only."""
     for word, short in STREET_SUFFIXES:
-        # The match runs to the end of the text, so there is no second one.
-        c = F.regexp_replace(c, rf"(?Us)\b{word}\b(.*)", f"{short}$1")
+        c = _let(c, _shorten_word(word, short))
     return c
 
 
