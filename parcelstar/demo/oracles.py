@@ -435,3 +435,12 @@ ORACLES: dict[str, str] = {
     """,
     "load_warehouse": _load_audit(),
 }
+
+# The SQL forms answer the same questions.
+ORACLES |= {
+    f"sql_{name}": ORACLES[name]
+    for name in (
+        "avg_price_by_state", "price_by_property_type", "price_gap", "price_comparison",
+        "inventory", "market_latest", "market_trends", "cross_source",
+    )
+}

@@ -25,6 +25,7 @@ from parcelstar.operators.quality import quality_checks
 from parcelstar.operators.reconciliation import reconcile_pages
 from parcelstar.plans import analytics
 from parcelstar.plans.load import load
+from parcelstar.plans.sql import QUERIES as SQL
 from parcelstar.plans.transform import transform_api, transform_bulk
 from parcelstar.session import scratch_path
 from parcelstar.sources.api import land_api_pages, read_api_listings, read_envelopes, shape_listing
@@ -144,6 +145,22 @@ def _on_listings(query: Callable[..., DataFrame]) -> Query:
     return lambda spark, sf_dir: query(feeds.star(spark, sf_dir, market=False), exact=True)
 
 
+def _in_sql(name: str, market: bool = False) -> Query:
+    """The statement of the same name, over registered views."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        analytics.register_views(feeds.star(spark, sf_dir, market), exact=True)
+        result = spark.sql(SQL[name])
+        if "median_price" in result.columns:
+            result = result.withColumn("median_price", F.round("median_price", 4))
+        if "median_listing_price" in result.columns:
+            price = F.col("median_listing_price").cast("double")
+            result = result.withColumn("median_listing_price", price)
+        return result
+
+    return query
+
+
 def price_by_property_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = analytics.price_by_property_type(feeds.star(spark, sf_dir, market=False), exact=True)
     return result.withColumn("median_price", F.round("median_price", 4))
@@ -311,6 +328,14 @@ QUERIES: dict[str, Query] = {
     "inventory": _on_listings(analytics.inventory),
     "cross_source": cross_source,
     "cross_source_preagg": cross_source_preagg,
+    "sql_avg_price_by_state": _in_sql("avg_price_by_state"),
+    "sql_price_by_property_type": _in_sql("price_by_property_type"),
+    "sql_price_gap": _in_sql("price_gap"),
+    "sql_price_comparison": _in_sql("price_comparison"),
+    "sql_inventory": _in_sql("inventory"),
+    "sql_market_latest": _in_sql("market_summary", market=True),
+    "sql_market_trends": _in_sql("market_trends", market=True),
+    "sql_cross_source": _in_sql("cross_source", market=True),
     "quality_checks": quality,
     "profile_nulls": profile_nulls,
     "profile_orders": profile_orders,

@@ -253,10 +253,20 @@ def cross_source(star: Star, exact: bool = False, per_snapshot: bool = True) ->
     )
 
 
-def register_views(star: Star) -> SparkSession:
-    """Register the tables and views for `parcelstar.plans.sql.QUERIES`."""
-    for name in Star.__dataclass_fields__:
-        getattr(star, name).createOrReplaceTempView(name)
+def register_views(star: Star, exact: bool = False) -> SparkSession:
+    """Register the tables and views for `parcelstar.plans.sql.QUERIES`.
+
+    `exact` gives the summed columns in fixed point.
+    """
+    tables = {name: getattr(star, name) for name in Star.__dataclass_fields__}
+    if exact:
+        for name, column in (
+            ("fact_listings", "price"), ("fact_market_stats", "median_listing_price")
+        ):
+            fixed = F.col(column).cast("decimal(18,4)")
+            tables[name] = tables[name].withColumn(column, fixed)
+    for name, table in tables.items():
+        table.createOrReplaceTempView(name)
     price_comparison(star).createOrReplaceTempView("v_price_comparison_by_zip")
     market_summary(star).createOrReplaceTempView("v_market_summary")
     return star.fact_listings.sparkSession

@@ -12,8 +12,6 @@ _BY_SOURCE = """
            count(*) AS n,
            count_if(source = 'kaggle') AS kaggle_n,
            count_if(source = 'rentcast') AS rentcast_n,
-           avg(price) FILTER (WHERE source = 'kaggle') AS avg_kaggle_price,
-           avg(price) FILTER (WHERE source = 'rentcast') AS avg_rentcast_price,
            count(price) FILTER (WHERE source = 'kaggle') AS kaggle_priced,
            count(price) FILTER (WHERE source = 'rentcast') AS rentcast_priced,
            sum(price) FILTER (WHERE source = 'kaggle') AS kaggle_sum,
@@ -22,6 +20,18 @@ _BY_SOURCE = """
     GROUP BY location_id
 """
 
+
+def _mean(total: str, count: str) -> str:
+    return f"cast({total} AS double) / nullif({count}, 0)"
+
+
+_FEED_MEANS = f"""
+    SELECT *,
+           {_mean('kaggle_sum', 'kaggle_priced')} AS avg_kaggle_price,
+           {_mean('rentcast_sum', 'rentcast_priced')} AS avg_rentcast_price
+    FROM dim_location JOIN ({_BY_SOURCE}) USING (location_id)
+"""
+
 _GAP = """
     avg_kaggle_price,
     avg_rentcast_price,
@@ -31,19 +41,19 @@ _GAP = """
 """
 
 QUERIES = {
-    "avg_price_by_state": """
+    "avg_price_by_state": f"""
         WITH sums AS (
             SELECT location_id, sum(price) AS s, count(price) AS c, count(*) AS n
             FROM fact_listings
             WHERE source = 'kaggle'
             GROUP BY location_id
         )
-        SELECT state, sum(s) / nullif(sum(c), 0) AS avg_price, sum(n) AS listing_count
+        SELECT state, {_mean("sum(s)", "sum(c)")} AS avg_price, sum(n) AS listing_count
         FROM sums JOIN dim_location USING (location_id)
         GROUP BY state
         ORDER BY avg_price DESC NULLS FIRST
     """,
-    "price_by_property_type": """
+    "price_by_property_type": f"""
         WITH prices AS (
             SELECT property_type_id, price, count(*) AS n
             FROM fact_listings
@@ -51,7 +61,7 @@ QUERIES = {
             GROUP BY property_type_id, price
         )
         SELECT property_type,
-               sum(price * n) / nullif(sum(n) FILTER (WHERE price IS NOT NULL), 0) AS avg_price,
+               {_mean("sum(price * n)", "sum(n) FILTER (WHERE price IS NOT NULL)")} AS avg_price,
                percentile(price, 0.5, n) AS median_price,
                sum(n) AS listing_count
         FROM prices JOIN dim_property_type USING (property_type_id)
@@ -60,13 +70,13 @@ QUERIES = {
     """,
     "price_gap": f"""
         SELECT zip_code, state, {_GAP}
-        FROM dim_location JOIN ({_BY_SOURCE}) USING (location_id)
+        FROM ({_FEED_MEANS})
         WHERE kaggle_n > 0 AND rentcast_n > 0
         ORDER BY pct_change DESC NULLS LAST
     """,
     "price_comparison": f"""
         SELECT zip_code, state, city, {_GAP}
-        FROM dim_location JOIN ({_BY_SOURCE}) USING (location_id)
+        FROM ({_FEED_MEANS})
         WHERE kaggle_priced > 0 OR rentcast_priced > 0
     """,
     "market_summary": """
@@ -88,7 +98,7 @@ QUERIES = {
         FROM fact_market_stats JOIN dim_location USING (location_id)
         ORDER BY zip_code NULLS LAST, snapshot_date NULLS LAST
     """,
-    "inventory": """
+    "inventory": f"""
         WITH sums AS (
             SELECT location_id, count(*) AS n, sum(days_on_market) AS days,
                    sum(price) AS s, count(price) AS c
@@ -97,8 +107,8 @@ QUERIES = {
             GROUP BY location_id
         )
         SELECT zip_code, state, city, sum(n) AS listing_count,
-               sum(days) / sum(n) AS avg_days_on_market,
-               sum(s) / nullif(sum(c), 0) AS avg_price
+               {_mean("sum(days)", "sum(n)")} AS avg_days_on_market,
+               {_mean("sum(s)", "sum(c)")} AS avg_price
         FROM sums JOIN dim_location USING (location_id)
         GROUP BY zip_code, state, city
         ORDER BY listing_count DESC NULLS FIRST
@@ -118,11 +128,11 @@ QUERIES = {
         SELECT zip_code, city, state,
                sum(kaggle_n * times) AS kaggle_listings,
                sum(rentcast_n * times) AS rentcast_listings,
-               sum(kaggle_sum * times) / nullif(sum(kaggle_priced * times), 0)
+               {_mean("sum(kaggle_sum * times)", "sum(kaggle_priced * times)")}
                    AS avg_kaggle_price,
-               sum(rentcast_sum * times) / nullif(sum(rentcast_priced * times), 0)
+               {_mean("sum(rentcast_sum * times)", "sum(rentcast_priced * times)")}
                    AS avg_rentcast_price,
-               sum(n * median_sum) / nullif(sum(n * medians), 0) AS market_median_price
+               {_mean("sum(n * median_sum)", "sum(n * medians)")} AS market_median_price
         FROM located
         GROUP BY zip_code, city, state
         HAVING kaggle_listings > 0 AND rentcast_listings > 0
