@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from parcelstar.constants import LOCATION_KEY
+from parcelstar.session import write_through
 
 BROADCAST_ROWS = 500_000
 BROADCAST_TEXT_BYTES = 64 << 20
-SALTS = 16
+HOT_KEYS = 1000
+HOT_ROWS = 100_000
 
 
 def fits_broadcast(
@@ -28,20 +32,38 @@ def fits_broadcast(
     return size["rows"] <= max_rows and size["text_bytes"] <= max_text_bytes
 
 
+def hot_keys(large: DataFrame, on: list[str], min_rows: int = HOT_ROWS) -> DataFrame:
+    """Written table of the most frequent keys, at most `HOT_KEYS`.
+
+    Every other key holds less than 1/HOT_KEYS of the rows, or less than `min_rows`.
+    """
+    counts = large.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    top = counts.where(F.col("_rows") >= min_rows).orderBy(F.desc("_rows")).limit(HOT_KEYS)
+    return write_through(top.select(*on, F.lit(True).alias("_hot")), "hot-keys")
+
+
 def salted_join(
-    large: DataFrame, lookup: DataFrame, on: list[str], how: str, salts: int = SALTS
+    large: DataFrame, lookup: DataFrame, on: list[str], how: str, min_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Shuffle join that spreads every key of `large` over `salts` partitions.
+    """Shuffle join in which a hot key spreads over all shuffle partitions.
 
-    The salt depends on the row and its input partition only, so a task that runs
-    again sends each row to the same place.
+    Only the lookup's rows of hot keys are copied, once per partition. Rows with a NULL
+    key match nothing and are spread too. The salt depends on the row and its input
+    partition only, so a task that runs again sends each row to the same place.
     """
-    spread = F.pmod(F.xxhash64(*large.columns) + F.spark_partition_id(), F.lit(salts))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    slots = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(hot_keys(large, on, min_rows))  # at most HOT_KEYS rows
+    spread = F.pmod(F.xxhash64(*large.columns) + F.spark_partition_id(), F.lit(slots))
+    no_key = reduce(Column.__or__, [F.col(c).isNull() for c in on])
+    salted = large.join(hot, on, "left").withColumn(
+        "_salt", F.when(F.col("_hot") | no_key, spread).otherwise(0).cast("int")
+    )
+    every_slot = F.sequence(F.lit(0), F.lit(slots - 1))
+    copies = lookup.join(hot, on, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), every_slot).otherwise(F.array(F.lit(0))))
+    )
     return (
-        large.withColumn("_salt", spread.cast("int"))
-        .join(copies, [*on, "_salt"], how)
-        .drop("_salt")
+        salted.drop("_hot").join(copies.drop("_hot"), [*on, "_salt"], how).drop("_salt")
     )
 
 

@@ -9,7 +9,7 @@ from parcelstar.operators.dimensions import (
     dim_property_type,
     merge_dim_location,
 )
-from tests.conftest import many_runs, plan
+from tests.conftest import many_runs, plan, settings
 
 DIM = "location_id long, city string, state string, zip_code string"
 
@@ -31,8 +31,11 @@ def lookup(spark):
 def test_salted_join_equals_plain_join(large, lookup, how):
     plain = sorted(map(str, large.join(lookup, "k", how).collect()))
     assert sorted(map(str, joins.lookup_join(large, lookup, ["k"], how).collect())) == plain
-    salted = joins.lookup_join(large, lookup, ["k"], how, max_rows=0)
-    assert sorted(map(str, salted.collect())) == plain
+    for min_rows in (1, 200, joins.HOT_ROWS):
+        salted = joins.salted_join(large, lookup, ["k"], how, min_rows)
+        assert sorted(map(str, salted.collect())) == plain
+    shuffled = joins.lookup_join(large, lookup, ["k"], how, max_rows=0)
+    assert sorted(map(str, shuffled.collect())) == plain
 
 
 def test_large_lookup_is_not_broadcast_by_hint(large, lookup):
@@ -41,11 +44,22 @@ def test_large_lookup_is_not_broadcast_by_hint(large, lookup):
     assert not joins.fits_broadcast(lookup, max_text_bytes=3)
 
 
-def test_salt_spreads_a_hot_key(spark):
-    hot = spark.range(4000).select(F.lit("k0").alias("k"), "id")
-    spread = F.pmod(F.xxhash64("k", "id") + F.spark_partition_id(), F.lit(joins.SALTS))
-    sizes = [r["count"] for r in hot.groupBy(spread).count().collect()]
-    assert len(sizes) == joins.SALTS and max(sizes) < 400
+def test_hot_and_null_keys_spread_over_the_partitions(spark):
+    rows = spark.range(8000).select(
+        F.when(F.col("id") % 3 == 0, "k0").when(F.col("id") % 3 == 1, None)
+        .otherwise(F.col("id").cast("string")).alias("k"), "id",
+    )
+    lookup = spark.createDataFrame([("k0", 1), ("2", 2)], "k string, x int")
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"), many_runs(spark):
+        joined = joins.salted_join(rows, lookup, ["k"], "left", min_rows=100)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert joined.where("x = 1").count() == 2667
+    assert len(sizes) == 8 and max(sizes) < 2200
+
+
+def test_hot_keys(large):
+    assert [r.k for r in joins.hot_keys(large, ["k"], min_rows=200).collect()] == ["k0"]
+    assert joins.hot_keys(large, ["k"], min_rows=100_000).count() == 0
 
 
 def test_batch_guard_keeps_new_and_null_batches(spark):

@@ -13,7 +13,7 @@ from parcelstar.streaming.landing import (
     stream_bulk_csv,
     stream_pages,
 )
-from tests.conftest import BATCH, BULK_ROW, LISTING_ROW, NOW, bulk, market_entry, settings
+from tests.conftest import BATCH, BULK_ROW, LISTING_ROW, NOW, bulk, settings
 
 DATE = "2024-06-01"
 STATES = ["California", "Texas", "California", None, "New York"]
