@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelstar.operators.joins import fits_broadcast
 from parcelstar.session import write_through
 
 RUN, PLACE = "_run", "_place"
@@ -46,9 +47,17 @@ def rows_before(heads: DataFrame, groups: list[str], amount: str) -> Column:
 
 
 def join_heads(runs: DataFrame, heads: DataFrame, groups: list[str]) -> DataFrame:
-    """Attach the per-run (and group) figures to the rows; NULL groups match."""
+    """Attach the per-run (and group) figures to the rows; NULL groups match.
+
+    There is a head per run and per change of group. Measured few, they are broadcast and
+    the rows stay where they are; otherwise no key holds more rows than a run.
+    """
     keys = [RUN, *groups]
-    renamed = heads.withColumnsRenamed({k: f"_head{k}" for k in keys})
+    renamed = write_through(
+        heads.withColumnsRenamed({k: f"_head{k}" for k in keys}), "heads"
+    )
+    if fits_broadcast(renamed):
+        renamed = F.broadcast(renamed)
     match = reduce(
         Column.__and__, [F.col(k).eqNullSafe(F.col(f"_head{k}")) for k in keys]
     )

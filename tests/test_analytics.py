@@ -54,7 +54,7 @@ def star(spark):
 
 def rounded(df):
     return sorted(
-        str([round(v, 6) if isinstance(v, float) else v for v in (r[c] for c in sorted(df.columns))])
+        str([round(r[c], 6) if isinstance(r[c], float) else r[c] for c in sorted(df.columns)])
         for r in df.collect()
     )
 
@@ -81,7 +81,8 @@ def test_exact_equals_plain(star, name):
 def brute(star):
     """Listings with their place, as plain Python rows."""
     places = {r.location_id: r for r in star.dim_location.collect()}
-    return [(places[r.location_id], r) for r in star.fact_listings.collect() if r.location_id in places]
+    rows = star.fact_listings.collect()
+    return [(places[r.location_id], r) for r in rows if r.location_id in places]
 
 
 def mean(values):
@@ -114,7 +115,8 @@ def test_cross_source_equals_pairing(star):
     assert set(got) == set(expected)
     for key, values in expected.items():
         assert got[key] == pytest.approx(values)
-    once = {r.zip_code + r.city: r for r in analytics.cross_source(star, per_snapshot=False).collect()}
+    singly = analytics.cross_source(star, per_snapshot=False).collect()
+    once = {r.zip_code + r.city: r for r in singly}
     assert once["z0c1"].kaggle_listings * 2 == got[("z0", "c1", "s1")][0]
 
 

@@ -82,15 +82,16 @@ def test_market_stats_fan_out_by_city(spark):
 
 def test_unified_fact_and_conform(spark):
     b = transform_bulk(bulk(spark), BATCH, NOW)["fact_listings"]
-    a = transform_api(listings(spark), literal_frame(spark, [], MARKET), BATCH, NOW)["fact_listings"]
-    rows = {r.source: r for r in facts.unified_fact(b, a).collect()}
+    a = transform_api(listings(spark), literal_frame(spark, [], MARKET), BATCH, NOW)
+    rows = {r.source: r for r in facts.unified_fact(b, a["fact_listings"]).collect()}
     assert list(rows["kaggle"].asDict()) == FACT_LISTINGS.names
     assert rows["kaggle"].brokered_by == "1" and rows["kaggle"].rentcast_id is None
     assert rows["rentcast"].listed_date == date(2024, 1, 15) and rows["rentcast"].bed is None
 
 
 def test_conform_by_name_in_any_case(spark):
-    df = spark.createDataFrame([("7", 2.5, "z")], "LOCATION_ID string, Brokered_By double, extra string")
+    schema = "LOCATION_ID string, Brokered_By double, extra string"
+    df = spark.createDataFrame([("7", 2.5, "z")], schema)
     row = conform(df, STAGED_BULK_FACT).first()
     assert (row.location_id, row.brokered_by, row.price) == (7, "2.5", None)
     assert list(row.asDict()) == STAGED_BULK_FACT.names

@@ -104,7 +104,8 @@ def test_dim_location(spark):
     rows = [("b", "s1", "1"), ("b", "s1", "1"), ("a", "s1", "9"), ("a", "s0", "5"),
             (None, "s0", "5"), ("a", None, "5"), ("a", "s0", None)]
     with many_runs(spark):
-        dim = build_dim_location(spark.createDataFrame(rows, "city string, state string, zip_code string"))
+        df = spark.createDataFrame(rows, "city string, state string, zip_code string")
+        dim = build_dim_location(df)
         got = [tuple(r) for r in dim.orderBy("location_id").collect()]
     assert dim.columns == ["location_id", "city", "state", "zip_code"]
     assert got == [(1, "a", "s0", "5"), (2, "a", "s1", "9"), (3, "b", "s1", "1")]

@@ -81,7 +81,8 @@ def test_unfinished_landing_is_done_again(spark, tmp_path):
 
 
 def test_a_large_state_is_split_over_files(spark, tmp_path):
-    big = spark.range(60_000).crossJoin(bulk(spark).drop("street")).withColumnRenamed("id", "street")
+    texans = bulk(spark).drop("street")
+    big = spark.range(60_000).crossJoin(texans).withColumnRenamed("id", "street")
     with settings(
         spark,
         spark__sql__adaptive__advisoryPartitionSizeInBytes="64k",
