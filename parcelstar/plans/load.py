@@ -12,7 +12,7 @@ from parcelstar.constants import API_SOURCE, BULK_SOURCE
 from parcelstar.operators.dimensions import new_locations
 from parcelstar.operators.joins import batch_guard, cross_bridge, location_bridge
 from parcelstar.operators.quality import quality_checks
-from parcelstar.plans.runs import new_batch_id, today, utc_now
+from parcelstar.runs import new_batch_id, today, utc_now
 from parcelstar.session import write_through
 from parcelstar.sources.paths import staged
 from parcelstar.sources.staged import read_staged

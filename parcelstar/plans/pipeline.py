@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 from parcelstar.constants import API_SOURCE, BULK_SOURCE
 from parcelstar.plans.load import load
-from parcelstar.plans.runs import new_batch_id, utc_now
+from parcelstar.runs import new_batch_id, today, utc_now
 from parcelstar.plans.transform import stage_api, stage_bulk
 from parcelstar.sources.api import land_api_pages, read_pages
 from parcelstar.sources.bulk import land_bulk
@@ -26,12 +26,13 @@ def run_pipeline(
     raw_root: str,
     staging_root: str,
     warehouse_root: str,
-    execution_date: str,
+    execution_date: str | None = None,
 ) -> dict:
     """Land both feeds, stage them, load them, then pass the quality gate.
 
     Batch ids follow from feed and date, so running a date again adds nothing.
     """
+    execution_date = execution_date or today()
     now = utc_now().isoformat()
     bulk_batch = new_batch_id(BULK_SOURCE, execution_date)
     api_batch = new_batch_id(API_SOURCE, execution_date)

@@ -8,7 +8,7 @@ from parcelstar.constants import API_SOURCE, BULK_SOURCE
 from parcelstar.operators import facts
 from parcelstar.operators.cleaning import clean_api, clean_bulk
 from parcelstar.operators.dimensions import build_dim_location, dim_property_type
-from parcelstar.plans.runs import new_batch_id, utc_now
+from parcelstar.runs import new_batch_id, today, utc_now
 from parcelstar.sources.api import read_api_listings, read_market
 from parcelstar.sources.bulk import read_raw_bulk
 from parcelstar.sources.paths import raw_api_listings, raw_bulk, raw_market
@@ -66,11 +66,12 @@ def stage_bulk(
     spark: SparkSession,
     raw_root: str,
     staging_root: str,
-    execution_date: str,
+    execution_date: str | None = None,
     batch_id: str | None = None,
     zip_mode: str = "canonical",
 ) -> dict:
     """Transform one date of the landed bulk feed into the staging zone."""
+    execution_date = execution_date or today()
     batch_id = batch_id or new_batch_id()
     raw = read_raw_bulk(spark, raw_bulk(raw_root, execution_date))
     tables = transform_bulk(raw, batch_id, utc_now().isoformat(), zip_mode)
@@ -82,11 +83,12 @@ def stage_api(
     spark: SparkSession,
     raw_root: str,
     staging_root: str,
-    execution_date: str,
+    execution_date: str | None = None,
     batch_id: str | None = None,
     multi_line: bool = False,
 ) -> dict:
     """Transform one date of the landed API feed into the staging zone."""
+    execution_date = execution_date or today()
     batch_id = batch_id or new_batch_id()
     listings = read_api_listings(spark, raw_api_listings(raw_root, execution_date), multi_line)
     market = read_market(spark, raw_market(raw_root, execution_date), multi_line)

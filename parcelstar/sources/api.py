@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelstar.constants import API_ENDPOINT, API_SOURCE
 from parcelstar.functions.text import known_state
+from parcelstar.runs import new_batch_id, today, utc_now
 from parcelstar.schemas import ENVELOPE, LISTING, MARKET, PAGE, literal_frame
 from parcelstar.sources.paths import partition_values, path_exists, raw_api_listings
 
@@ -74,15 +75,19 @@ def by_state(df: DataFrame) -> DataFrame:
 def land_api_pages(
     pages: DataFrame,
     raw_root: str,
-    execution_date: str,
-    batch_id: str,
-    ingested_at: str,
+    execution_date: str | None = None,
+    batch_id: str | None = None,
+    ingested_at: str | None = None,
     known_states: bool = True,
 ) -> dict:
     """Land the pages of the states that are not landed for this date yet.
 
-    A page whose state is not a full state name fails the write, so nothing lands.
+    A page whose state is not a full state name fails the write, so nothing lands. The
+    date is today's, the batch id a fresh one and the time now, unless given.
     """
+    execution_date = execution_date or today()
+    batch_id = batch_id or new_batch_id()
+    ingested_at = ingested_at or utc_now().isoformat()
     spark = pages.sparkSession
     path = raw_api_listings(raw_root, execution_date)
     if known_states:

@@ -8,6 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from parcelstar.constants import BULK_SOURCE
 from parcelstar.operators.facts import AUDIT_COLUMNS, audit
+from parcelstar.runs import new_batch_id, today, utc_now
 from parcelstar.schemas import BULK, conform
 from parcelstar.sources.paths import path_exists, raw_bulk
 
@@ -55,11 +56,17 @@ def land_bulk(
     spark: SparkSession,
     csv_path: str,
     raw_root: str,
-    execution_date: str,
-    batch_id: str,
-    ingested_at: str,
+    execution_date: str | None = None,
+    batch_id: str | None = None,
+    ingested_at: str | None = None,
 ) -> dict:
-    """Land the CSV for one date, unless a finished landing is there already."""
+    """Land the CSV for one date, unless a finished landing is there already.
+
+    The date is today's, the batch id a fresh one and the time now, unless given.
+    """
+    execution_date = execution_date or today()
+    batch_id = batch_id or new_batch_id()
+    ingested_at = ingested_at or utc_now().isoformat()
     path = raw_bulk(raw_root, execution_date)
     if path_exists(spark, f"{path}/_SUCCESS"):
         return {"status": "skipped", "path": path}

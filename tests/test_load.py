@@ -8,8 +8,9 @@ from parcelstar.plans import load as load_plan
 from parcelstar.plans import pipeline
 from parcelstar.plans.analytics import Star, price_gap
 from parcelstar.plans.load import load
-from parcelstar.plans.transform import transform_api, transform_bulk
+from parcelstar.plans.transform import stage_bulk, transform_api, transform_bulk
 from parcelstar.schemas import FACT_LISTINGS, FACT_MARKET_STATS, literal_frame
+from parcelstar.sources.bulk import land_bulk
 from parcelstar.sources.staged import write_staged
 from parcelstar.sources.warehouse import Warehouse
 from tests.conftest import LISTING_ROW, NOW, bulk, listings, market, market_entry, plan
@@ -205,3 +206,13 @@ def test_pipeline_end_to_end(spark, tmp_path):
     }
     again = pipeline.run_pipeline(spark, csv, str(pages), *zones, DATE)
     assert set(again["rows_loaded"].values()) == {0}
+
+
+def test_steps_default_to_today(spark, tmp_path):
+    csv = write_csv(tmp_path / "in", "a.csv", ["Texas"])
+    raw, staging, root = (str(tmp_path / z) for z in ("raw", "staging", "warehouse"))
+    landed = land_bulk(spark, csv, raw)
+    staged = stage_bulk(spark, raw, staging)
+    assert staged["fact_listings_rows"] == staged["dim_location_rows"] == 1
+    assert load(spark, staging, root)["execution_date"] == landed["execution_date"]
+    assert Warehouse(spark, root).table("fact_listings").first().batch_id == staged["batch_id"]
