@@ -9,6 +9,7 @@ from parcelstar.operators import facts
 from parcelstar.operators.cleaning import clean_api, clean_bulk
 from parcelstar.operators.dimensions import build_dim_location, dim_property_type
 from parcelstar.runs import new_batch_id, today, utc_now
+from parcelstar.session import write_through
 from parcelstar.sources.api import read_api_listings, read_market
 from parcelstar.sources.bulk import read_raw_bulk
 from parcelstar.sources.paths import raw_api_listings, raw_bulk, raw_market
@@ -91,6 +92,8 @@ def stage_api(
     execution_date = execution_date or today()
     batch_id = batch_id or new_batch_id()
     listings = read_api_listings(spark, raw_api_listings(raw_root, execution_date), multi_line)
+    # The dimension and the fact each read the listings: parse the JSON once.
+    listings = write_through(listings, "listings")
     market = read_market(spark, raw_market(raw_root, execution_date), multi_line)
     tables = transform_api(listings, market, batch_id, utc_now().isoformat())
     counts = write_staged(tables, staging_root, API_SOURCE, execution_date)

@@ -1,10 +1,13 @@
 import json
+from datetime import date
 
+import pyarrow
+import pyarrow.parquet
 import pytest
 from pyspark.sql import functions as F
 
 from parcelstar.operators.reconciliation import landing_totals, reconcile_pages
-from parcelstar.schemas import MARKET, PAGE, STAGED_BULK_FACT
+from parcelstar.schemas import MARKET, PAGE, STAGED_API_FACT, STAGED_BULK_FACT
 from parcelstar.sources import api, bulk as bulk_source, paths
 from parcelstar.sources.staged import read_staged, write_staged
 from parcelstar.streaming.landing import (
@@ -208,3 +211,23 @@ def test_stream_lands_each_page_once(spark, tmp_path):
     landed = run()
     assert sorted(r.state for r in landed) == ["Ohio", "Texas", "Utah"]
     assert {r.record_count for r in landed} == {1}
+
+
+def test_staged_single_file_with_foreign_types(spark, tmp_path):
+    """A staged file as another writer leaves it: one file, unsigned ids, dates as text."""
+    table = pyarrow.table(
+        {
+            "location_id": pyarrow.array([1, None], pyarrow.uint32()),
+            "property_type_id": pyarrow.array([2, 6], pyarrow.int64()),
+            "RENTCAST_ID": ["a", "b"],
+            "price": pyarrow.array([350_000, None], pyarrow.int64()),
+            "listed_date": ["2024-01-15T00:00:00.000Z", None],
+            "ingested_at": ["2026-01-01T00:00:00.123456+00:00"] * 2,
+        }
+    )
+    path = paths.staged(str(tmp_path), "rentcast", DATE, "fact_listings")
+    (tmp_path / "rentcast" / DATE).mkdir(parents=True)
+    pyarrow.parquet.write_table(table, path)
+    row = read_staged(spark, path, STAGED_API_FACT).where("rentcast_id = 'a'").first()
+    assert (row.location_id, row.price, row.listed_date) == (1, 350_000.0, date(2024, 1, 15))
+    assert row.ingested_at.microsecond == 123456 and row.address is None
