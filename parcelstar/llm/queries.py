@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelstar.llm import decontamination
+from parcelstar.llm import decontamination, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,10 +19,16 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.op2_quality_rules(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_quality_rules": op2_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
     "op1_decontamination": decontamination.ORACLE,
+    "op2_quality_rules": quality_rules.ORACLE,
 }
