@@ -9,6 +9,8 @@ and is looked up by the hash of that window.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -161,7 +163,7 @@ def _short_items(benchmark: DataFrame, span: int) -> DataFrame:
         .select(
             "_item",
             F.size("_h").alias("_length"),
-            F.aggregate("_h", F.lit(0).cast("long"), lambda a, x: F.xxhash64(a, x)).alias("fp"),
+            _item_hash(F.col("_h")).alias("fp"),
         )
         .distinct()
     )
@@ -254,41 +256,37 @@ def _narrowed(documents: DataFrame, items: DataFrame, span: int, k: int) -> Data
     )
 
 
+def _windows(hashes: Column, n: int) -> Column:
+    """Hash of every window of `n` words, as for an item of `n` words."""
+
+    def at_each_start(h: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(h) - n), lambda i: _item_hash(F.slice(h, i + 1, n)))
+
+    return F.when(F.size(hashes) >= n, let(hashes, at_each_start)).otherwise(
+        F.array().cast("array<bigint>")
+    )
+
+
+def _item_hash(hashes: Column) -> Column:
+    return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, x: F.xxhash64(a, x))
+
+
 def _short_hits(documents: DataFrame, items: DataFrame, small: bool, lengths: list[int]) -> DataFrame:
     """Occurrences of items with fewer words than a span, each length by itself."""
-    found = []
     keyed = _keyed(documents).select(*KEY, _hashes(F.col("_words")).alias("_h"))
-    for n in lengths:
-        starts = F.when(
-            F.size("_h") >= n, F.sequence(F.lit(0), F.size("_h") - n)
-        ).otherwise(F.array().cast("array<int>"))
-        windows = let(
-            F.col("_h"),
-            lambda h, n=n, starts=starts: F.transform(
-                starts,
-                lambda i: F.aggregate(
-                    F.slice(h, i + 1, n), F.lit(0).cast("long"), lambda a, x: F.xxhash64(a, x)
-                ),
-            ),
-        )
+
+    def found(n: int) -> DataFrame:
         right = items.where(F.col("_length") == n).drop("_length")
-        found.append(
-            keyed.select(*KEY, F.posexplode_outer(windows).alias("pos", "fp"))
+        span = F.struct(F.col("pos").alias("first"), (F.col("pos") + (n - 1)).alias("last"))
+        return (
+            keyed.select(*KEY, F.posexplode_outer(_windows(F.col("_h"), n)).alias("pos", "fp"))
             .join(F.broadcast(right) if small else right, "fp")
             .select(
-                *KEY,
-                F.lit(None).cast("int").alias("_n"),
-                "pos",
-                "_item",
-                F.struct(
-                    F.col("pos").alias("first"), (F.col("pos") + (n - 1)).alias("last")
-                ).alias("_span"),
+                *KEY, F.lit(None).cast("int").alias("_n"), "pos", "_item", span.alias("_span")
             )
         )
-    rows = found[0]
-    for more in found[1:]:
-        rows = rows.unionByName(more)
-    return rows
+
+    return reduce(DataFrame.unionByName, map(found, lengths))
 
 
 def contamination(

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelstar.llm import decontamination, quality_rules
+from parcelstar.llm import chat_format, decontamination, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,12 +23,18 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op2_quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.op5_chat_format(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality_rules": op2_quality_rules,
+    "op5_chat_format": op5_chat_format,
 }
 
 ORACLES: dict[str, str] = {
     "op1_decontamination": decontamination.ORACLE,
     "op2_quality_rules": quality_rules.ORACLE,
+    "op5_chat_format": chat_format.ORACLE,
 }
