@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelstar.llm import chat_format, decontamination, quality_rules
+from parcelstar.llm import chat_format, decontamination, quality_rules, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,10 +27,15 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.op5_chat_format(_table(spark, sf_dir, "conversations"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.op6_token_counts(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality_rules": op2_quality_rules,
     "op5_chat_format": op5_chat_format,
+    "op6_token_counts": op6_token_counts,
 }
 
 ORACLES: dict[str, str] = {
