@@ -6,10 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelstar.llm import chat_format, decontamination, quality_rules, token_counts
+from parcelstar.llm import (
+    chat_format,
+    decontamination,
+    packing,
+    quality_rules,
+    sharding,
+    token_counts,
+)
+from parcelstar.llm.workers import ship
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -31,11 +40,21 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.op6_token_counts(_table(spark, sf_dir, "documents"))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.op7_best_fit_packing(_table(spark, sf_dir, "documents"))
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.op8_sharding(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality_rules": op2_quality_rules,
     "op5_chat_format": op5_chat_format,
     "op6_token_counts": op6_token_counts,
+    "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_sharding": op8_sharding,
 }
 
 ORACLES: dict[str, str] = {
