@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from parcelstar.llm import (
     chat_format,
     decontamination,
+    jaccard_join,
     packing,
     quality_rules,
     sharding,
@@ -48,9 +49,14 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op8_sharding(_table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.op4_ngram_jaccard_join(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality_rules": op2_quality_rules,
+    "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_chat_format": op5_chat_format,
     "op6_token_counts": op6_token_counts,
     "op7_best_fit_packing": op7_best_fit_packing,
