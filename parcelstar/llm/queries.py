@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from parcelstar.llm import (
     chat_format,
     decontamination,
+    html_extraction,
     jaccard_join,
     language_model,
     packing,
@@ -58,9 +59,14 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.op10_lm_scoring(_table(spark, sf_dir, "documents"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.op3_html_extraction(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality_rules": op2_quality_rules,
+    "op3_html_extraction": op3_html_extraction,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_chat_format": op5_chat_format,
     "op6_token_counts": op6_token_counts,
