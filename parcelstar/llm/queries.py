@@ -12,6 +12,7 @@ from parcelstar.llm import (
     html_extraction,
     jaccard_join,
     language_model,
+    license_scan,
     packing,
     quality_rules,
     sharding,
@@ -55,6 +56,10 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.op4_ngram_jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.op9_license_scan(_table(spark, sf_dir, "documents"))
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.op10_lm_scoring(_table(spark, sf_dir, "documents"))
 
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_sharding": op8_sharding,
+    "op9_license_scan": op9_license_scan,
     "op10_lm_scoring": op10_lm_scoring,
 }
 
