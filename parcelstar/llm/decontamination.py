@@ -348,8 +348,8 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     return documents.join(
         bad,
-        documents["doc_id"].eqNullSafe(F.col("_bad_doc"))
-        & (F.xxhash64(documents["text"]) == F.col("_bad_text")),
+        documents["doc_id"].eqNullSafe(bad["_bad_doc"])
+        & (F.xxhash64(documents["text"]) == bad["_bad_text"]),
         "left_anti",
     )
 

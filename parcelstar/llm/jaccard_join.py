@@ -479,7 +479,7 @@ def keep_one_of_each(documents: DataFrame) -> DataFrame:
         .select(F.col("doc_id").alias("_gone"))
         .distinct()
     )
-    return documents.join(gone, documents["doc_id"] == F.col("_gone"), "left_anti")
+    return documents.join(gone, documents["doc_id"] == gone["_gone"], "left_anti")
 
 
 def op4_ngram_jaccard_join(documents: DataFrame) -> DataFrame:

@@ -169,20 +169,15 @@ def shard_numbers(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 def write_sharded(documents: DataFrame, path: str, shards: int = SHARDS) -> None:
     """Write whole documents below `path`, a folder `shard=n` each, in the order of keys."""
-    numbers = (
-        shard_numbers(documents, shards)
-        .select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), "shard")
-        .distinct()
-        .withColumnRenamed("shard", "_shard")
-    )
+    numbers = shard_numbers(documents, shards).select("doc_id", "key", "shard").distinct()
     key = F.xxhash64(F.coalesce(documents["text"], F.lit("")))
     (
         documents.join(
-            numbers, documents["doc_id"].eqNullSafe(F.col("_doc")) & (key == F.col("_key"))
+            numbers, documents["doc_id"].eqNullSafe(numbers["doc_id"]) & (key == numbers["key"])
         )
-        .repartitionByRange("_shard", "_key")
-        .sortWithinPartitions("_shard", "_key")
-        .select(*[documents[c] for c in documents.columns if c != "shard"], F.col("_shard").alias("shard"))
+        .repartitionByRange(numbers["shard"], numbers["key"])
+        .sortWithinPartitions(numbers["shard"], numbers["key"])
+        .select(*[documents[c] for c in documents.columns if c != "shard"], numbers["shard"])
         .write.partitionBy("shard")
         .parquet(path)
     )
