@@ -11,27 +11,34 @@ among the pieces of their length, go to which sequence and offset.
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from parcelstar.llm.token_counts import byte_symbols, tokenizer_path
 from parcelstar.operators.ordering import group_positions
 from parcelstar.session import write_through
 
 CAPACITY = 4096
 NAME = "word_bpe_49k.json"
 END_ID = 1
-#: Pieces of text kept per Python worker; beyond, the cache starts anew.
-CACHE = 400_000
+#: Pieces kept per Python worker in each of two generations, about 200 bytes each.
+CACHE = 500_000
+#: ASCII marks that are never part of a word: no apostrophe, which may begin an ending, and
+#: no angle brackets, which may begin a special string.
+MARKS = b".,;:!?()[]{}\"*$%&#|-_/\\+=~^@"
+#: The last of the Latin letters that no mark can join with and all Unicode versions know.
+LATIN = "\u024f"
 #: Bytes of text handled at a time.
 BLOCK = 1 << 21
 
@@ -143,30 +150,83 @@ def _best_fit(left: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], in
     return [p for room in sorted(opened) for p in opened[room]]
 
 
-class Encoder:
-    """Token ids as little-endian uint32 bytes; white space never joins two tokens."""
+class Encoder(dict):
+    """Ids of a piece between white space, as little-endian uint32 bytes.
+
+    The tokenizer drops white space and cuts between letters and punctuation, so a text's
+    ids are those of its pieces, and a piece's those of the marks before its word, of the
+    word, and of the marks behind. Such words and marks are single pre-tokens and go to the
+    library's merge model; pieces of any other form go through the whole tokenizer.
+
+    As a dictionary it is a bounded cache of two generations: a piece met again moves from
+    the older to the younger one.
+    """
 
     def __init__(self, path: str) -> None:
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.cache: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        self.older: dict[bytes, bytes] = {}
+        self.marks: dict[bytes, bytes] = {b"": b""}
+
+    def __missing__(self, piece: bytes) -> bytes:
+        found = self.older.get(piece)
+        if found is None:
+            found = self._encoded(piece)
+        self[piece] = found
+        return found
+
+    def _merged(self, symbols: str) -> bytes:
+        return _packed([t.id for t in self.model.tokenize(symbols)])
+
+    def _of_marks(self, marks: bytes) -> bytes:
+        if marks not in self.marks:
+            if len(self.marks) > 10_000:
+                self.marks = {b"": b""}
+            self.marks[marks] = self._merged(marks.decode())
+        return self.marks[marks]
+
+    def _encoded(self, piece: bytes) -> bytes:
+        word = piece.strip(MARKS)
+        symbols = _symbols(word)
+        if not symbols:
+            text = piece.decode("utf-8", "replace")
+            return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if len(word) == len(piece):
+            return self._merged(symbols)
+        at = piece.index(word)
+        before, after = self._of_marks(piece[:at]), self._of_marks(piece[at + len(word) :])
+        return before + self._merged(symbols) + after
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text, from its pieces between ASCII white space."""
-        pieces = [t.split() for t in texts]
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        new = list(set().union(*pieces).difference(self.cache))
-        if new:
-            found = self.tokenizer.encode_batch(
-                [p.decode("utf-8", "replace") for p in new], add_special_tokens=False
-            )
-            self.cache.update(
-                (p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(new, found, strict=True)
-            )
-        known = self.cache.__getitem__
-        return [b"".join(map(known, p)) for p in pieces]
+        if len(self) > CACHE:
+            self.older = dict(self)
+            self.clear()
+        known = self.__getitem__
+        return [b"".join(map(known, t.split())) for t in texts]
+
+
+def _packed(ids: list[int]) -> bytes:
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
+#: Character of the byte-level alphabet for each byte of a Latin letter in UTF-8.
+_BYTE_SYMBOLS = {b: c for b, c in enumerate(byte_symbols()) if ord(c) != b}
+
+
+def _symbols(word: bytes) -> str:
+    """A word of Latin letters as the tokenizer's symbols; empty for any other."""
+    if word.isascii():
+        return word.lower().decode() if word.isalpha() else ""
+    text = word.decode("utf-8", "replace")
+    if not text.isalpha() or max(text) > LATIN or "\u0130" in text:  # one that gains a mark
+        return ""
+    return text.lower().encode().decode("latin-1").translate(_BYTE_SYMBOLS)
 
 
 @lru_cache(maxsize=2)
@@ -174,11 +234,6 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def tokenizer_path(name: str) -> str:
-    """A file of the public tokenizers by name, any other by its path."""
-    return name if "/" in name else public_tokenizers.path(name)
-
-
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
