@@ -40,9 +40,13 @@ def api_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def market_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def market_documents(
+    spark: SparkSession, sf_dir: str, unknown_zip: str | None = None
+) -> DataFrame:
     """One JSON document per zip code, parsed back with the contract's schema.
 
+    `unknown_zip` is the zip code of one more document, a copy of the first one's.
+
     Every second month carries its date, every seventh an unreadable one. A document
     holds one entry per calendar month.
     """
@@ -51,6 +55,10 @@ def market_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(*[F.expr(e).alias(c) for c, e in shapes.MARKET_KEYS.items()])
         .agg(*[F.expr(e).alias(c) for c, e in shapes.MARKET_FIGURES.items()])
     )
+    if unknown_zip is not None:
+        first = monthly.agg(F.min("zip_code").alias("zip_code"))
+        copy = monthly.join(F.broadcast(first), "zip_code").withColumn("zip_code", F.lit(unknown_zip))
+        monthly = monthly.unionByName(copy)
     date = (
         F.when(F.col("totalListings") % 7 == 0, "unknown")
         .when(F.col("totalListings") % 2 == 0, F.concat("month", F.lit("-01T00:00:00.000Z")))

@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
-from parcelstar.constants import (
-    LATITUDE_RANGE,
-    LONGITUDE_RANGE,
-    PROPERTY_TYPES,
-    STATE_CODES,
-    STREET_SUFFIXES,
-)
 from parcelstar.demo import shapes
 
-_CODES = ", ".join(f"('{code.lower()}', '{name.lower()}')" for name, code in STATE_CODES.items())
-_TYPES = ", ".join(f"(cast({i} AS bigint), '{name}')" for i, name in PROPERTY_TYPES)
+# Fixed values of the contract, written out here on their own.
+_STATE_PAIRS = (
+    "alabama al,alaska ak,arizona az,arkansas ar,california ca,colorado co,connecticut ct,"
+    "delaware de,florida fl,georgia ga,hawaii hi,idaho id,illinois il,indiana in,iowa ia,"
+    "kansas ks,kentucky ky,louisiana la,maine me,maryland md,massachusetts ma,michigan mi,"
+    "minnesota mn,mississippi ms,missouri mo,montana mt,nebraska ne,nevada nv,"
+    "new hampshire nh,new jersey nj,new mexico nm,new york ny,north carolina nc,"
+    "north dakota nd,ohio oh,oklahoma ok,oregon or,pennsylvania pa,rhode island ri,"
+    "south carolina sc,south dakota sd,tennessee tn,texas tx,utah ut,vermont vt,virginia va,"
+    "washington wa,west virginia wv,wisconsin wi,wyoming wy"
+)
+_CODES = ", ".join(
+    f"('{pair.rpartition(' ')[2]}', '{pair.rpartition(' ')[0]}')" for pair in _STATE_PAIRS.split(",")
+)
+_TYPES = (
+    "(1::bigint, 'studio'), (2, 'single_family'), (3, 'multi_family'), (4, 'condo'),"
+    " (5, 'townhouse'), (6, 'unknown')"
+)
+_SUFFIXES = [
+    ("Street", "St"), ("Avenue", "Ave"), ("Boulevard", "Blvd"), ("Drive", "Dr"),
+    ("Road", "Rd"), ("Lane", "Ln"), ("Court", "Ct"),
+]
 
 
 def _select_list(columns: dict[str, str]) -> str:
@@ -20,7 +33,7 @@ def _select_list(columns: dict[str, str]) -> str:
 
 
 def _short_street(text: str) -> str:
-    for word, short in STREET_SUFFIXES:
+    for word, short in _SUFFIXES:
         text = f"regexp_replace({text}, '\\b{word}\\b', '{short}')"
     return text
 
@@ -58,9 +71,9 @@ _CTES = {
                {_short_street('"addressLine1"')} AS address
         FROM api_raw r LEFT JOIN codes ON codes.code = lower(r.state)
         WHERE id IS NOT NULL
-          AND (latitude IS NULL OR latitude BETWEEN {LATITUDE_RANGE[0]} AND {LATITUDE_RANGE[1]})
+          AND (latitude IS NULL OR latitude BETWEEN 24.0 AND 49.5)
           AND (longitude IS NULL
-               OR longitude BETWEEN {LONGITUDE_RANGE[0]} AND {LONGITUDE_RANGE[1]})
+               OR longitude BETWEEN -125.0 AND -66.0)
     """,
     "bulk_typed": """
         SELECT *, CASE WHEN bed = 0 THEN 'studio' WHEN bed <= 4 THEN 'single_family'
@@ -164,9 +177,6 @@ _LANDED = """
     FROM bulk_raw GROUP BY 1
 """
 
-_PROFILED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
-
-
 def _remap_unscoped() -> str:
     staged = """
         staged AS (SELECT 'kaggle' AS feed, * FROM dim_bulk
@@ -186,28 +196,43 @@ def _remap_unscoped() -> str:
     return _with(["dim_bulk", "dim_api", "dim"], f", {staged} {query}")
 
 
+def _defects(table: str, columns: dict[str, str]) -> str:
+    changed = ", ".join(f"{sql} AS {c}" for c, sql in columns.items())
+    return f"SELECT * REPLACE ({changed}) FROM {table}"
+
+
 def _quality() -> str:
+    planted = f"""
+        bad_fact AS ({_defects('fact', shapes.LISTING_DEFECTS)}),
+        bad_stats AS ({_defects('stats', shapes.MARKET_DEFECTS)}),
+        bad_dim AS ({_defects('dim', shapes.LOCATION_DEFECTS)}
+            UNION ALL SELECT * REPLACE (location_id + 500000 AS location_id) FROM dim
+            WHERE {shapes.TWICE})
+    """
     checks = {
-        "null_price_fact_listings": "SELECT count(*) FROM fact WHERE price IS NULL",
+        "null_price_fact_listings": "SELECT count(*) FROM bad_fact WHERE price IS NULL",
         "orphan_fk_location_fact_listings":
-            "SELECT count(*) FROM fact LEFT JOIN dim USING (location_id) WHERE dim.city IS NULL",
+            "SELECT count(*) FROM bad_fact WHERE location_id NOT IN (SELECT location_id FROM bad_dim)",
         "orphan_fk_property_type_fact_listings":
-            "SELECT count(*) FROM fact LEFT JOIN types USING (property_type_id)"
-            " WHERE types.property_type IS NULL",
-        "text_too_long_fact_listings": "SELECT count(*) FROM fact WHERE length(address) > 200",
+            "SELECT count(*) FROM bad_fact WHERE property_type_id NOT BETWEEN 1 AND 6",
+        "text_too_long_fact_listings": "SELECT count(*) FROM bad_fact WHERE length(address) > 200",
         "orphan_fk_location_fact_market_stats":
-            "SELECT count(*) FROM stats LEFT JOIN dim USING (location_id) WHERE dim.city IS NULL",
+            "SELECT count(*) FROM bad_stats WHERE coalesce(location_id, -1)"
+            " NOT IN (SELECT location_id FROM bad_dim)",
         "null_location_fields_dim_location":
-            "SELECT count(*) FROM dim WHERE city IS NULL OR state IS NULL OR zip_code IS NULL",
-        "state_code_dim_location": "SELECT count(*) FROM dim WHERE length(state) <= 2",
+            "SELECT count(*) FROM bad_dim WHERE city IS NULL OR state IS NULL OR zip_code IS NULL",
+        "state_code_dim_location": "SELECT count(*) FROM bad_dim WHERE length(state) <= 2",
         "duplicate_natural_key_dim_location":
-            "SELECT count(*) FROM (SELECT 1 FROM dim GROUP BY city, state, zip_code"
+            "SELECT count(*) FROM (SELECT 1 FROM bad_dim GROUP BY city, state, zip_code"
             " HAVING count(*) > 1)",
     }
     rows = " UNION ALL ".join(
         f"SELECT '{name}' AS name, ({sql}) AS value" for name, sql in checks.items()
     )
-    return _with(["fact", "stats"], f"SELECT name, value, value <= 0 AS passed FROM ({rows})")
+    return _with(
+        ["fact", "stats"],
+        f", {planted} SELECT name, value, value <= {shapes.ALLOWED} AS passed FROM ({rows})",
+    )
 
 
 def _null_counts() -> str:
@@ -218,36 +243,103 @@ def _null_counts() -> str:
     )
 
 
+_ORDER_TYPES = {
+    "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
+    "o_totalprice": "double", "o_orderdate": "timestamp_ntz", "o_orderpriority": "string",
+}
+
+
 def _profile() -> str:
     return " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,"
-        f" cast(min({c}) AS varchar) AS min_value, cast(max({c}) AS varchar) AS max_value"
-        " FROM orders"
-        for c in _PROFILED
+        f"SELECT '{c}' AS column_name, '{kind}' AS column_type, count(*) AS row_count,"
+        f" count(*) - count({c}) AS null_count FROM orders"
+        for c, kind in _ORDER_TYPES.items()
     )
 
 
+_KNOWN_MONTHS = "SELECT count(*) FROM monthly JOIN dim_api USING (zip_code)"
+# Months of zip codes without an API listing, and those of the unknown zip code.
+_LOST_MONTHS = """
+    SELECT (SELECT count(*) FROM monthly LEFT JOIN dim_api USING (zip_code) WHERE city IS NULL)
+         + (SELECT count(*) FROM monthly WHERE zip_code = (SELECT min(zip_code) FROM monthly))
+"""
+_LOADED = {
+    ("all", "dim_location"): "SELECT count(*) FROM dim",
+    ("kaggle", "fact_listings"): "SELECT count(*) FROM fact WHERE source = 'kaggle'",
+    ("rentcast", "fact_listings"): "SELECT count(*) FROM fact WHERE source = 'rentcast'",
+    # Staged market rows see the API feed's locations only.
+    ("rentcast", "fact_market_stats"): _KNOWN_MONTHS,
+}
+
+
 def _load_audit() -> str:
-    loaded = {
-        ("all", "dim_location"): "SELECT count(*) FROM dim",
-        ("kaggle", "fact_listings"): f"SELECT count(*) FROM fact WHERE {_KAGGLE}",
-        ("rentcast", "fact_listings"): f"SELECT count(*) FROM fact WHERE {_RENTCAST}",
-        # Staged market rows see the API feed's locations only.
-        ("rentcast", "fact_market_stats"):
-            "SELECT count(*) FROM monthly JOIN dim_api USING (zip_code)",
-    }
-    lost = "SELECT count(*) FROM monthly LEFT JOIN dim_api USING (zip_code) WHERE city IS NULL"
     rows = [
         f"SELECT cast({run} AS bigint) AS run, '{source}' AS source, '{table}' AS table_name,"
         f" {f'({sql})' if run == 1 else '0::bigint'} AS row_count,"
-        f" {f'({lost})' if table == 'fact_market_stats' and run == 1 else '0::bigint'}"
+        f" {f'({_LOST_MONTHS})' if table == 'fact_market_stats' and run == 1 else '0::bigint'}"
         " AS dropped_rows, 'SUCCESS' AS status"
         for run in (1, 2)
-        for (source, table), sql in loaded.items()
+        for (source, table), sql in _LOADED.items()
     ]
     return _with(["fact", "monthly", "dim_api"], " UNION ALL ".join(rows))
 
 
+def _failed_load() -> str:
+    """The first load breaks off in the market table; dimension and listings are loaded."""
+    again = {("all", "dim_location"): "SELECT 0::bigint"}
+    rows = ["SELECT 1::bigint AS load_id, 'all' AS source, 'pipeline' AS table_name,"
+            " 0::bigint AS row_count, 'FAILED' AS status"]
+    rows += [
+        f"SELECT {i}::bigint, '{source}', '{table}', ({again.get((source, table), sql)}), 'SUCCESS'"
+        for i, ((source, table), sql) in enumerate(_LOADED.items(), start=2)
+    ]
+    return _with(["fact", "monthly", "dim_api"], " UNION ALL ".join(rows))
+
+
+def _quality_log() -> str:
+    checks = [
+        ("null_price_fact_listings", "SELECT count(*) FROM fact WHERE price IS NULL"),
+        ("orphan_fk_location_fact_listings", "SELECT 0::bigint"),
+        ("orphan_fk_location_fact_market_stats", "SELECT 0::bigint"),
+        ("null_location_fields_dim_location", "SELECT 0::bigint"),
+    ]
+    rows = " UNION ALL ".join(
+        f"SELECT {i}::bigint AS check_id, '{name}' AS check_name, ({sql}) AS result_value"
+        for i, (name, sql) in enumerate(checks, start=1)
+    )
+    query = f"SELECT *, result_value <= 0 AS passed FROM ({rows})"
+    return _with(
+        ["fact"],
+        f"SELECT *, CASE WHEN (SELECT bool_and(passed) FROM ({query})) THEN 'passed'"
+        f" ELSE 'failed' END AS gate FROM ({query})",
+    )
+
+
+_OTHERS = f"SELECT * REPLACE (price + 1 AS price) FROM bulk_raw WHERE {shapes.EVERY_SEVENTH}"
+
+_PAGES = """
+    WITH paged AS (
+        SELECT event_type AS state, 500 * ((row_number() OVER (
+                   PARTITION BY event_type ORDER BY event_id) - 1) // 500) AS "offset"
+        FROM events),
+    landed AS (
+        SELECT state, "offset", count(*) AS record_count FROM paged GROUP BY 1, 2
+        HAVING ("offset" // 500 + length(state)) % 7 <> 2),
+    totals AS (SELECT event_type AS state, count(*) AS expected_total FROM events GROUP BY 1),
+    chained AS (
+        SELECT *, lag("offset") OVER (PARTITION BY state ORDER BY "offset") AS previous FROM landed),
+    summed AS (
+        SELECT state, count(*) AS pages, cast(sum(record_count) AS bigint) AS records,
+               max("offset") // 500 + 1 - count(*) AS missing_pages,
+               count(*) FILTER ("offset" > 0 AND coalesce(previous, -1) <> "offset" - 500) AS gaps,
+               max_by(record_count, "offset") < 500 AS ended_short
+        FROM chained GROUP BY 1)
+    SELECT state, pages, records, expected_total, cast(missing_pages AS bigint) AS missing_pages,
+           gaps, ended_short, missing_pages = 0 AND records >= expected_total AS complete
+    FROM summed JOIN totals USING (state)
+"""
+
+
 def _cross_source() -> str:
     return _with(
         ["fact", "stats"],
@@ -416,26 +508,117 @@ ORACLES: dict[str, str] = {
         FROM events GROUP BY 1
     """,
     "landing_by_state": _with(["bulk_raw"], _LANDED),
-    "incremental_landing": _with(["bulk_raw"], _LANDED),
+    # The feed and the other rows by the stream, and all of them once more as a whole.
+    "incremental_landing": _with(
+        ["bulk_raw"],
+        f"SELECT state, 2 * record_count AS record_count, 2 * with_city AS with_city,"
+        f" 2 * price_total AS price_total FROM ("
+        + _LANDED.replace("FROM bulk_raw", f"FROM (SELECT * FROM bulk_raw UNION ALL {_OTHERS})")
+        + ")",
+    ),
     "landing_api_by_state": _with(
         ["api_raw"],
         """
         SELECT state, cast(ceil(count(*) / 500.0) AS bigint) AS page_count,
                count(*) AS record_count, count(id) AS with_id,
-               cast(sum(cast(price AS decimal(18,4))) AS double) AS price_total
+               cast(sum(cast(CASE WHEN state < 'M' THEN price ELSE price + 1 END AS decimal(18,4)))
+                    AS double) AS price_total
         FROM api_raw GROUP BY 1
         """,
     ),
-    "page_reconciliation": """
-        SELECT event_type AS state, cast(ceil(count(*) / 500.0) AS bigint) AS pages,
-               count(*) AS records, count(*) AS expected_total,
-               0::bigint AS missing_pages, 0::bigint AS gaps,
-               count(*) % 500 > 0 AS ended_short, true AS complete
-        FROM events GROUP BY 1
+    "landed_totals": _with(
+        ["api_raw"],
+        """
+        SELECT count(DISTINCT state) AS states_processed, count(*) AS records_count,
+               (SELECT string_agg(s, ',' ORDER BY s)
+                FROM (VALUES ('AL'), ('CA'), ('FL'), ('XX')) AS t(s)
+                WHERE s NOT IN (SELECT state FROM api_raw)) AS absent
+        FROM api_raw WHERE state IN ('AL', 'CA', 'FL')
+        """,
+    ),
+    "page_reconciliation": _PAGES,
+    "load_fact_listings": _with(
+        ["fact"],
+        """
+        SELECT source, batch_id, city, state, zip_code, property_type_id,
+               count(*) AS listing_count, count(rentcast_id) AS with_id,
+               cast(sum(cast(price AS decimal(18,4))) AS double) AS price_total
+        FROM fact JOIN dim USING (location_id) GROUP BY ALL
+        """,
+    ),
+    "load_market_stats": _with(
+        ["monthly", "dim_api"],
+        """
+        SELECT city, state, zip_code,
+               CASE WHEN "totalListings" % 7 = 0 THEN NULL
+                    ELSE cast(month || '-01' AS date) END AS snapshot_date,
+               "medianPrice" AS median_listing_price, "totalListings" AS total_listings
+        FROM monthly JOIN dim_api USING (zip_code)
+        """,
+    ),
+    "load_quality_log": _quality_log(),
+    "failed_load": _failed_load(),
+    "market_files": _with(
+        ["monthly"],
+        """
+        SELECT zip_code,
+               CASE WHEN "totalListings" % 7 = 0 THEN NULL
+                    ELSE cast(month || '-01' AS date) END AS snapshot_date,
+               "medianPrice" AS median_listing_price,
+               "medianPricePerSquareFoot" AS median_price_per_sqft,
+               "medianDaysOnMarket" AS median_days_on_market,
+               "totalListings" AS total_listings, "newListings" AS new_listings
+        FROM monthly
+        """,
+    ),
+    "first_orders": """
+        SELECT row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS place,
+               o_orderkey, o_totalprice
+        FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100
+    """,
+    "median_by_position": """
+        SELECT l_returnflag, l_linestatus, round(median(l_extendedprice), 4) AS median_price
+        FROM lineitem GROUP BY 1, 2
     """,
+    "skewed_lookup": f"""
+        SELECT o_orderpriority, count(*) AS item_count, sum(l_quantity) AS quantity
+        FROM (SELECT {shapes.HOT_ORDER} AS o_orderkey, l_quantity FROM lineitem)
+             LEFT JOIN orders USING (o_orderkey) GROUP BY 1
+    """,
+    "whole_price_averages": _with(
+        ["fact"],
+        f"""
+        SELECT state, round(sum(floor(price)) / count(price), 2) AS avg_price,
+               count(*) AS listing_count
+        FROM fact JOIN dim USING (location_id) WHERE {_KAGGLE} GROUP BY state
+        """,
+    ),
+    "deduplicated_api": _with(
+        ["api"],
+        """
+        SELECT id, city, zip_code, price
+        FROM (SELECT * FROM api
+              UNION ALL SELECT * REPLACE (price - 1 AS price) FROM api WHERE id LIKE '%-1')
+        QUALIFY row_number() OVER (
+            PARTITION BY id ORDER BY "addressLine1", city, state, zip_code, latitude NULLS FIRST,
+                longitude NULLS FIRST, "propertyType" NULLS FIRST, price) = 1
+        """,
+    ),
+    "ranked_states": _with(
+        ["fact"],
+        f"""
+        SELECT state, row_number() OVER (ORDER BY avg_price DESC, state) AS place
+        FROM (SELECT state, {_mean('price')} AS avg_price
+              FROM fact JOIN dim USING (location_id) WHERE {_KAGGLE} GROUP BY state)
+        """,
+    ),
     "load_warehouse": _load_audit(),
 }
 
+# The named views answer the questions of two queries.
+ORACLES["view_price_comparison"] = ORACLES["price_comparison"]
+ORACLES["view_market_summary"] = ORACLES["market_latest"]
+
 # The SQL forms answer the same questions.
 ORACLES |= {
     f"sql_{name}": ORACLES[name]

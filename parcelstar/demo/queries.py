@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelstar.constants import PAGE_SIZE
@@ -19,19 +20,28 @@ from parcelstar.operators.dimensions import (
     dim_property_type,
     merge_dim_location,
 )
+from parcelstar.operators.median import median_by
 from parcelstar.operators.ordering import pages
 from parcelstar.operators.profiling import drop_empty, null_counts, profile
 from parcelstar.operators.quality import quality_checks
-from parcelstar.operators.reconciliation import reconcile_pages
+from parcelstar.operators.reconciliation import landing_totals, reconcile_pages
 from parcelstar.plans import analytics
 from parcelstar.plans.load import load
+from parcelstar.plans.pipeline import gate
 from parcelstar.plans.sql import QUERIES as SQL
 from parcelstar.plans.transform import transform_api, transform_bulk
 from parcelstar.session import scratch_path
-from parcelstar.sources.api import land_api_pages, read_api_listings, read_envelopes, shape_listing
+from parcelstar.sources.api import (
+    land_api_pages,
+    read_api_listings,
+    read_envelopes,
+    read_market,
+    shape_listing,
+)
 from parcelstar.sources.bulk import land_bulk, read_raw_bulk
-from parcelstar.sources.paths import raw_bulk
+from parcelstar.sources.paths import raw_bulk, staged
 from parcelstar.sources.staged import write_staged
+from parcelstar.sources.warehouse import Warehouse
 from parcelstar.streaming.landing import land_new_files, stream_bulk_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -174,14 +184,27 @@ def cross_source_preagg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.cross_source(feeds.star(spark, sf_dir), exact=True, per_snapshot=False)
 
 
+def _planted(df: DataFrame, defects: dict[str, str]) -> DataFrame:
+    """Columns replaced by expressions over the old ones."""
+    return df.select(
+        *[F.expr(defects[c]).cast(df.schema[c].dataType).alias(c) if c in defects else c for c in df.columns]
+    )
+
+
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks over a star with defects of every kind planted; few are allowed."""
     star = feeds.star(spark, sf_dir)
+    dim = _planted(star.dim_location, shapes.LOCATION_DEFECTS)
+    twice = star.dim_location.where(shapes.TWICE).withColumn(
+        "location_id", F.col("location_id") + 500_000
+    )
     checks = quality_checks(
-        star.fact_listings,
-        star.fact_market_stats,
-        star.dim_location,
+        _planted(star.fact_listings, shapes.LISTING_DEFECTS),
+        _planted(star.fact_market_stats, shapes.MARKET_DEFECTS),
+        dim.unionByName(twice),
         star.dim_property_type,
         extended=True,
+        max_allowed=shapes.ALLOWED,
     )
     return checks.drop("sql")
 
@@ -192,9 +215,17 @@ def profile_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    keys = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    return profile(keys).drop("column_type", "approx_distinct")
+    """Every column of the orders; the estimate of distinct values has a test of its own."""
+    return profile(table(spark, sf_dir, "orders")).select(
+        "column_name", "column_type", "row_count", "null_count"
+    )
+
+
+def first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dearest orders by a total order, with their place."""
+    orders = table(spark, sf_dir, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(100)
+    place = F.row_number().over(Window.orderBy(F.desc("o_totalprice"), "o_orderkey"))
+    return orders.select(place.cast("bigint").alias("place"), "o_orderkey", "o_totalprice")
 
 
 def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,8 +241,8 @@ def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _csv_of_bulk(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    feeds.bulk_raw(spark, sf_dir).write.mode("append").options(
+def _csv_of_bulk(raw: DataFrame, folder: str) -> None:
+    raw.write.mode("append").options(
         header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(folder)
 
@@ -224,21 +255,36 @@ def _landed_by_state(landed: DataFrame) -> DataFrame:
     )
 
 
+def _others(raw: DataFrame) -> DataFrame:
+    """Other rows than the feed has: every seventh, dearer."""
+    dearer = raw.withColumn("price", F.col("price") + 1)
+    return dearer.where(F.expr(shapes.EVERY_SEVENTH))
+
+
 def landing_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV to the raw zone by state; the second landing of the date is skipped."""
-    drop, raw = scratch_path(spark, "drop"), scratch_path(spark, "raw")
-    _csv_of_bulk(spark, sf_dir, drop)
-    for _ in range(2):
+    """CSV to the raw zone by state; a second landing, of other rows, is skipped."""
+    raw = scratch_path(spark, "raw")
+    feed = feeds.bulk_raw(spark, sf_dir)
+    for rows in (feed, _others(feed)):
+        drop = scratch_path(spark, "drop")
+        _csv_of_bulk(rows, drop)
         land_bulk(spark, drop, raw, DATE, shapes.BATCH_BULK, shapes.INGESTED_AT)
     return _landed_by_state(read_raw_bulk(spark, raw_bulk(raw, DATE)))
 
 
 def incremental_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV files through the landing stream, started twice; the second adds nothing."""
+    """CSV files through the landing stream, started three times.
+
+    The second run finds nothing new, the third one other rows, beside a whole landing.
+    """
     drop, raw = scratch_path(spark, "drop"), scratch_path(spark, "raw")
     checkpoint = scratch_path(spark, "stream")
-    _csv_of_bulk(spark, sf_dir, drop)
-    for _ in range(2):
+    feed = feeds.bulk_raw(spark, sf_dir)
+    _csv_of_bulk(feed, drop)
+    for run in range(3):
+        if run == 2:
+            _csv_of_bulk(_others(feed), drop)
+            land_bulk(spark, drop, raw, DATE, shapes.BATCH_BULK, shapes.INGESTED_AT)
         land_new_files(
             stream_bulk_csv(spark, drop), raw, DATE, checkpoint,
             shapes.BATCH_BULK, shapes.INGESTED_AT,
@@ -247,8 +293,35 @@ def incremental_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landing_api_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """API listings paged, landed as envelopes and read back."""
+    """API listings paged, landed as envelopes and read back.
+
+    A first landing has the states before M; a second one all states with other prices, of
+    which only the new states land.
+    """
+    root = scratch_path(spark, "raw")
+    raw = feeds.api_raw(spark, sf_dir)
+    landed = _land_pages(raw.where("state < 'M'"), root)
+    landed = _land_pages(raw.withColumn("price", F.col("price") + 1), root)
+    per_page = read_envelopes(spark, landed["path"]).groupBy("state").agg(
+        F.count(F.lit(1)).alias("page_count"), F.sum("record_count").alias("record_count")
+    )
+    listings = read_api_listings(spark, landed["path"]).groupBy("state").agg(
+        F.count("id").alias("with_id"),
+        F.sum(F.col("price").cast("decimal(18,4)")).cast("double").alias("price_total"),
+    )
+    return per_page.join(listings, "state")
+
+
+def landed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of a landing of requested states, one of them absent."""
     raw = feeds.api_raw(spark, sf_dir)
+    root = scratch_path(spark, "raw")
+    landed = _land_pages(raw, root, states=["AL", "CA", "FL", "XX"])
+    totals = landing_totals(read_envelopes(spark, landed["path"]))
+    return totals.withColumn("absent", F.lit(",".join(landed["states_absent"])))
+
+
+def _land_pages(raw: DataFrame, root: str, states: list[str] | None = None) -> dict:
     # Every listing, those without an id too, so the row itself orders the pages.
     order = ["id", "price", "addressLine1", "listedDate"]
     listings = shape_listing(raw).withColumn("_state", F.col("state"))
@@ -257,43 +330,168 @@ def landing_api_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_state").alias("state"), "offset", F.lit(None).cast("bigint").alias("total_count"),
         "records",
     )
-    landed = land_api_pages(
-        fetched, scratch_path(spark, "raw"), DATE, shapes.BATCH_API, shapes.INGESTED_AT,
-        known_states=False,
-    )
-    per_page = read_envelopes(spark, landed["path"]).groupBy("state").agg(
-        F.count(F.lit(1)).alias("page_count"), F.sum("record_count").alias("record_count")
+    return land_api_pages(
+        fetched, root, DATE, shapes.BATCH_API, shapes.INGESTED_AT, known_states=False, states=states
     )
-    listings = read_api_listings(spark, landed["path"]).groupBy("state").agg(
-        F.count("id").alias("with_id"),
-        F.sum(F.col("price").cast("decimal(18,4)")).cast("double").alias("price_total"),
-    )
-    return per_page.join(listings, "state")
 
 
 def page_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events of each type as fetched pages."""
+    """Events of each type as fetched pages, some of them lost and some landed twice."""
     events = table(spark, sf_dir, "events").withColumnRenamed("event_type", "state")
     expected = events.groupBy("state").agg(F.count(F.lit(1)).alias("total_count"))
     paged = pages(events.select("state", "event_id"), ["state"], ["event_id"], PAGE_SIZE)
     landed = paged.select("state", "offset", F.size("records").cast("bigint").alias("record_count"))
+    place = (F.col("offset") / PAGE_SIZE + F.length("state")) % 7
+    landed = landed.where(place != 2)
+    landed = landed.unionByName(landed.where(place == 3))
     return reconcile_pages(joins.lookup_join(landed, expected, ["state"]))
 
 
-def load_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both feeds staged and loaded twice: the load audit, one row per load and table."""
-    staging, root = scratch_path(spark, "staging"), scratch_path(spark, "warehouse")
+def _stage(spark: SparkSession, sf_dir: str) -> str:
+    """Both feeds staged; the market feed has a zip code that no listing has."""
+    staging = scratch_path(spark, "staging")
     bulk = transform_bulk(
         feeds.bulk_raw(spark, sf_dir), shapes.BATCH_BULK, shapes.INGESTED_AT
     )
     api = transform_api(
         feeds.api_raw(spark, sf_dir),
-        feeds.market_documents(spark, sf_dir),
+        feeds.market_documents(spark, sf_dir, unknown_zip="00000"),
         shapes.BATCH_API,
         shapes.INGESTED_AT,
     )
     write_staged(bulk, staging, "kaggle", DATE)
     write_staged(api, staging, "rentcast", DATE)
+    return staging
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> Warehouse:
+    root = scratch_path(spark, "warehouse")
+    load(spark, _stage(spark, sf_dir), root, DATE)
+    return Warehouse(spark, root)
+
+
+def load_fact_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Warehouse listings by place, with what identifies them."""
+    warehouse = _loaded(spark, sf_dir)
+    facts_ = warehouse.table("fact_listings").join(warehouse.table("dim_location"), "location_id")
+    return facts_.groupBy("source", "batch_id", "city", "state", "zip_code", "property_type_id").agg(
+        F.count(F.lit(1)).alias("listing_count"),
+        F.count("rentcast_id").alias("with_id"),
+        F.sum(F.col("price").cast("decimal(18,4)")).cast("double").alias("price_total"),
+    )
+
+
+def load_market_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Warehouse market months by place."""
+    warehouse = _loaded(spark, sf_dir)
+    stats = warehouse.table("fact_market_stats").join(warehouse.table("dim_location"), "location_id")
+    return stats.select(
+        "city", "state", "zip_code", "snapshot_date", "median_listing_price", "total_listings"
+    )
+
+
+def load_quality_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log that a load appends, and whether its gate is passed."""
+    root = scratch_path(spark, "warehouse")
+    summary = load(spark, _stage(spark, sf_dir), root, DATE)
+    try:
+        gate(summary)
+        outcome = "passed"
+    except ValueError:
+        outcome = "failed"
+    log = Warehouse(spark, root).table("data_quality_log")
+    return log.select("check_id", "check_name", "result_value", "passed", F.lit(outcome).alias("gate"))
+
+
+def failed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit after a load that broke off and the one that made up for it."""
+    staging, root = _stage(spark, sf_dir), scratch_path(spark, "warehouse")
+    path = staged(staging, "rentcast", DATE, "fact_market_stats")
+    good = spark.read.parquet(path)
+    bad = scratch_path(spark, "bad")
+    # A date as text that is none stops the load of the last table.
+    good.withColumn("snapshot_date", F.lit("no date")).write.parquet(bad)
+    spark.read.parquet(bad).write.mode("overwrite").parquet(path)
+    try:
+        load(spark, staging, root, DATE)
+    except Exception:  # noqa: BLE001 - the failure is the case
+        write_staged(
+            transform_api(
+                feeds.api_raw(spark, sf_dir),
+                feeds.market_documents(spark, sf_dir, unknown_zip="00000"),
+                shapes.BATCH_API,
+                shapes.INGESTED_AT,
+            ),
+            staging, "rentcast", DATE,
+        )
+        load(spark, staging, root, DATE)
+    audit = Warehouse(spark, root).table("pipeline_metadata")
+    return audit.select("load_id", "source", "table_name", "row_count", "status")
+
+
+def market_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Market documents written as JSON files and read back; a missing folder has none."""
+    folder = scratch_path(spark, "market")
+    feeds.market_documents(spark, sf_dir).write.json(folder)
+    both = read_market(spark, folder).unionByName(read_market(spark, f"{folder}-absent"))
+    return facts.market_rows(both)
+
+
+def view_price_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    analytics.register_views(feeds.star(spark, sf_dir, market=False), exact=True)
+    return spark.table("v_price_comparison_by_zip")
+
+
+def view_market_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    analytics.register_views(feeds.star(spark, sf_dir), exact=True)
+    return spark.table("v_market_summary")
+
+
+def median_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact median by the way for very many distinct values."""
+    items = table(spark, sf_dir, "lineitem")
+    found = median_by(items, ["l_returnflag", "l_linestatus"], "l_extendedprice", "median_price", small_values=0)
+    return found.withColumn("median_price", F.round("median_price", 4))
+
+
+def skewed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lookup too large to broadcast, and a key with a third of all rows."""
+    items = table(spark, sf_dir, "lineitem").select(
+        F.expr(shapes.HOT_ORDER).alias("o_orderkey"), "l_quantity"
+    )
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    joined = joins.lookup_join(items, orders, ["o_orderkey"], "left", max_rows=0)
+    return joined.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("item_count"), F.sum("l_quantity").alias("quantity")
+    )
+
+
+def whole_price_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Default averages, of doubles, over prices in whole units."""
+    star = feeds.star(spark, sf_dir, market=False)
+    whole = star.fact_listings.withColumn("price", F.floor("price").cast("double"))
+    means = analytics.avg_price_by_state(replace(star, fact_listings=whole))
+    return means.withColumn("avg_price", F.round("avg_price", 2))
+
+
+def deduplicated_api(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings that come twice with another price; the least row of an id stays."""
+    raw = feeds.api_raw(spark, sf_dir)
+    again = raw.where("id LIKE '%-1'").withColumn("price", F.col("price") - 1)
+    cleaned = clean_api(raw.unionByName(again), dedupe=True)
+    return cleaned.select("id", "city", "zip_code", "price")
+
+
+def ranked_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States with their place in the order of a statement, over a total order."""
+    means = analytics.avg_price_by_state(feeds.star(spark, sf_dir, market=False), exact=True)
+    place = Window.orderBy(F.desc_nulls_first("avg_price"), "state")
+    return means.select("state", F.row_number().over(place).cast("bigint").alias("place"))
+
+
+def load_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both feeds staged and loaded twice: the load audit, one row per load and table."""
+    staging, root = _stage(spark, sf_dir), scratch_path(spark, "warehouse")
     first = load(spark, staging, root, DATE)["batch_id"]
     load(spark, staging, root, DATE)
     audit = spark.read.parquet(f"{root}/pipeline_metadata")
@@ -345,4 +543,18 @@ QUERIES: dict[str, Query] = {
     "landing_api_by_state": landing_api_by_state,
     "page_reconciliation": page_reconciliation,
     "load_warehouse": load_warehouse,
+    "load_fact_listings": load_fact_listings,
+    "load_market_stats": load_market_stats,
+    "load_quality_log": load_quality_log,
+    "failed_load": failed_load,
+    "market_files": market_files,
+    "landed_totals": landed_totals,
+    "first_orders": first_orders,
+    "view_price_comparison": view_price_comparison,
+    "view_market_summary": view_market_summary,
+    "median_by_position": median_by_position,
+    "skewed_lookup": skewed_lookup,
+    "whole_price_averages": whole_price_averages,
+    "deduplicated_api": deduplicated_api,
+    "ranked_states": ranked_states,
 }

@@ -96,6 +96,28 @@ MARKET_FIGURES = {
     "newListings": "cast(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS int)",
 }
 
+# Defects planted in a star for the quality checks, by column.
+LISTING_DEFECTS = {
+    "price": "CASE WHEN cast(floor(price) AS bigint) % 50 = 0 THEN NULL ELSE price END",
+    "location_id": "CASE WHEN location_id % 17 = 0 THEN location_id + 1000000 ELSE location_id END",
+    "property_type_id": "CASE WHEN property_type_id = 4 AND location_id % 5 = 0 THEN 9"
+                        " ELSE property_type_id END",
+    "address": "CASE WHEN location_id % 23 = 0 THEN repeat('x', 300) ELSE address END",
+}
+MARKET_DEFECTS = {
+    "location_id": "CASE WHEN location_id % 19 = 0 THEN location_id + 1000000 ELSE location_id END",
+}
+LOCATION_DEFECTS = {
+    "city": "CASE WHEN location_id % 29 = 0 THEN NULL ELSE city END",
+    "state": "CASE WHEN location_id % 11 = 0 THEN 'tx' ELSE state END",
+}
+TWICE = "location_id % 37 = 3 AND location_id % 11 <> 0 AND location_id % 29 <> 0"
+ALLOWED = 15
+
+# Rows of a second feed, and the order that a third of the items is put on.
+EVERY_SEVENTH = "cast(brokered_by AS bigint) % 7 = 0"
+HOT_ORDER = "CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_orderkey END"
+
 BATCH_BULK, BATCH_API = "bulk-batch", "api-batch"
 INGESTED_AT = "2026-01-01T00:00:00+00:00"
 

@@ -11,13 +11,13 @@ from parcelstar.constants import API_PROPERTY_LABELS, UNKNOWN_TYPE
 def type_from_bedrooms(bed: Column) -> Column:
     """No bedroom is a studio, up to four a single family home, five or more multi family.
 
-    NULL and a fraction between four and five are unknown.
+    The first that holds counts. NULL and a fraction between four and five are unknown.
     """
     return (
-        F.when(bed.isNull() | ((bed > 4) & (bed < 5)), UNKNOWN_TYPE)
+        F.when(bed == 0, "studio")
+        .when(bed <= 4, "single_family")
         .when(bed >= 5, "multi_family")
-        .when(bed == 0, "studio")
-        .otherwise("single_family")
+        .otherwise(UNKNOWN_TYPE)
     )
 
 

@@ -53,7 +53,8 @@ def within_bounds(
 def clean_api(df: DataFrame, dedupe: bool = False) -> DataFrame:
     """Keep identified API listings in bounds and conform their text.
 
-    There is no price rule here: a missing price is left to the quality checks.
+    There is no price rule here: a missing price is left to the quality checks. Of rows
+    with one id, `dedupe` keeps the least, column by column from the left, NULLs first.
     """
     kept = within_bounds(df.where(F.col("id").isNotNull()))
     cleaned = kept.withColumnRenamed("zipCode", "zip_code").withColumns(
@@ -63,4 +64,7 @@ def clean_api(df: DataFrame, dedupe: bool = False) -> DataFrame:
             "city": clean_name(F.col("city")),
         }
     )
-    return cleaned.dropDuplicates(["id"]) if dedupe else cleaned
+    if not dedupe:
+        return cleaned
+    row = F.struct(*[F.col(f"`{c}`") for c in cleaned.columns])
+    return cleaned.groupBy("id").agg(F.min(row).alias("_row")).select("_row.*")

@@ -4,66 +4,64 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from parcelstar.constants import LOCATION_KEY
 from parcelstar.session import write_through
 
 BROADCAST_ROWS = 500_000
-BROADCAST_TEXT_BYTES = 64 << 20
-HOT_KEYS = 1000
-HOT_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 
 
 def fits_broadcast(
     lookup: DataFrame,
     max_rows: int = BROADCAST_ROWS,
-    max_text_bytes: int = BROADCAST_TEXT_BYTES,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> bool:
-    """Measure a lookup: is it few rows and little text?"""
-    texts = [f.name for f in lookup.schema if isinstance(f.dataType, StringType)]
-    length = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(0))
+    """Measure a lookup, columns of every type: is it few rows and few bytes?"""
+    length = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in lookup.columns])))
     size = lookup.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(length.cast("bigint")), F.lit(0)).alias("text_bytes"),
+        F.coalesce(F.sum(length.cast("bigint")), F.lit(0)).alias("bytes"),
     ).first()
-    return size["rows"] <= max_rows and size["text_bytes"] <= max_text_bytes
+    return size["rows"] <= max_rows and size["bytes"] <= max_bytes
 
 
-def hot_keys(large: DataFrame, on: list[str], min_rows: int = HOT_ROWS) -> DataFrame:
-    """Written table of the most frequent keys, at most `HOT_KEYS`.
+def hot_keys(large: DataFrame, on: list[str], slots: int) -> DataFrame:
+    """Written table of the keys with more rows than a mean partition, and their salts.
 
-    Every other key holds less than 1/HOT_KEYS of the rows, or less than `min_rows`.
+    A key of n mean partitions gets 2 n salts, rounded up, so that two that meet by chance do
+    not make a large partition. There are fewer such keys than partitions.
     """
-    counts = large.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    top = counts.where(F.col("_rows") >= min_rows).orderBy(F.desc("_rows")).limit(HOT_KEYS)
-    return write_through(top.select(*on, F.lit(True).alias("_hot")), "hot-keys")
+    counts = write_through(
+        large.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")), "key-counts"
+    )
+    share = max(1.0, (counts.agg(F.sum("_rows")).first()[0] or 0) / slots)
+    hot = counts.where(F.col("_rows") > share)
+    salts = F.least(F.ceil(2 * F.col("_rows") / share), F.lit(slots)).cast("int")
+    return write_through(hot.select(*on, salts.alias("_salts")), "hot-keys")
 
 
-def salted_join(
-    large: DataFrame, lookup: DataFrame, on: list[str], how: str, min_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Shuffle join in which a hot key spreads over all shuffle partitions.
+def salted_join(large: DataFrame, lookup: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Shuffle join in which a hot key spreads over as many tasks as its rows ask for.
 
-    Only the lookup's rows of hot keys are copied, once per partition. Rows with a NULL
-    key match nothing and are spread too. The salt depends on the row and its input
-    partition only, so a task that runs again sends each row to the same place.
+    The adaptive plan splits skewed partitions of two plain sides by itself; this join is
+    for lookups whose output goes on to be grouped or written, where it does not.
+    Only the lookup's rows of hot keys are copied, once per salt. Rows with a NULL key
+    match nothing and are spread too. The salt depends on the row and its input partition
+    only, so a task that runs again sends each row to the same place.
     """
     slots = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = F.broadcast(hot_keys(large, on, min_rows))  # at most HOT_KEYS rows
-    spread = F.pmod(F.xxhash64(*large.columns) + F.spark_partition_id(), F.lit(slots))
+    hot = F.broadcast(hot_keys(large, on, slots))  # fewer rows than partitions
     no_key = reduce(Column.__or__, [F.col(c).isNull() for c in on])
-    salted = large.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | no_key, spread).otherwise(0).cast("int")
-    )
-    every_slot = F.sequence(F.lit(0), F.lit(slots - 1))
-    copies = lookup.join(hot, on, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), every_slot).otherwise(F.array(F.lit(0))))
-    )
+    draw = F.xxhash64(*large.columns) + F.spark_partition_id()
+    salts = F.when(no_key, F.lit(slots)).otherwise(F.coalesce("_salts", F.lit(1)))
+    salted = large.join(hot, on, "left").withColumn("_salt", F.pmod(draw, salts).cast("int"))
+    every = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    copies = lookup.join(hot, on, "left").withColumn("_salt", F.explode(every))
     return (
-        salted.drop("_hot").join(copies.drop("_hot"), [*on, "_salt"], how).drop("_salt")
+        salted.drop("_salts").join(copies.drop("_salts"), [*on, "_salt"], how).drop("_salt")
     )
 
 
@@ -97,15 +95,30 @@ def location_bridge(staged_locations: DataFrame, dim_location: DataFrame) -> Dat
     ).select("source", "location_id", "_warehouse_id")
 
 
-def cross_bridge(fact: DataFrame, bridge: DataFrame, scope_by_source: bool = True) -> DataFrame:
+def cross_bridge(
+    fact: DataFrame,
+    bridge: DataFrame,
+    scope_by_source: bool = True,
+    seen: Observation | None = None,
+) -> DataFrame:
     """Replace a staged location_id by the warehouse one.
 
     Both feeds number their locations from 1, so the staged id is only unique together
     with `source`. `scope_by_source=False` matches on the id alone, which repeats a fact
-    for every feed that uses its id. Facts without a staged location are dropped.
+    for every feed that uses its id. Facts without a location in the bridge are dropped;
+    `seen` observes how many were kept and dropped, and a batch id.
     """
     key = ["source", "location_id"] if scope_by_source else ["location_id"]
-    joined = lookup_join(fact, bridge.select(*key, "_warehouse_id"), key, "inner")
+    joined = lookup_join(fact, bridge.select(*key, "_warehouse_id"), key, "left")
+    located = F.col("_warehouse_id").isNotNull()
+    if seen is not None:
+        joined = joined.observe(
+            seen,
+            F.count_if(located).alias("kept"),
+            F.count_if(~located).alias("dropped"),
+            F.max("batch_id").alias("batch_id"),
+        )
+    joined = joined.where(located)
     return joined.withColumn("location_id", F.col("_warehouse_id")).select(fact.columns)
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from parcelstar.operators.ordering import PLACE, RUN, join_heads, rows_before, sorted_runs
 from parcelstar.session import write_through
 
+#: Distinct values up to which a sort by group replaces the sort into runs. Both give the
+#: same value; only the plan differs.
 SMALL_VALUES = 1_000_000
 
 
@@ -25,15 +27,23 @@ def median_of_counts(
     name: str = "median",
     small_values: int = SMALL_VALUES,
 ) -> DataFrame:
-    """Exact, interpolated median of each group, from its value counts.
+    """Exact, interpolated median of each group as a double, from its value counts.
 
-    Few distinct values go to the built-in percentile; many are range-sorted and the
-    middle values picked by position, so no task holds a whole group.
+    The middle values are picked by position. Few distinct values are sorted by group;
+    many are range-sorted into runs, so no task holds a whole group.
     """
     known = counts.where(F.col(value).isNotNull())
     if known.count() <= small_values:
-        return known.groupBy(*groups).agg(F.percentile(value, 0.5, F.col("_n")).alias(name))
-    return _median_by_position(known, groups, value, name)
+        ordered = Window.partitionBy(*groups).orderBy(value)
+        ends = known.withColumns(
+            {
+                "_end": F.sum("_n").over(ordered),
+                "_total": F.sum("_n").over(Window.partitionBy(*groups)),
+            }
+        )
+    else:
+        ends = _ends_by_runs(known, groups, value)
+    return _middle(ends, groups, value, name)
 
 
 def median_by(
@@ -47,9 +57,8 @@ def median_by(
     return median_of_counts(value_counts(df, groups, value), groups, value, name, small_values)
 
 
-def _median_by_position(
-    counts: DataFrame, groups: list[str], value: str, name: str
-) -> DataFrame:
+def _ends_by_runs(counts: DataFrame, groups: list[str], value: str) -> DataFrame:
+    """Position after each value in its group, and the group's rows."""
     runs = sorted_runs(counts, [*groups, value])
     heads = runs.groupBy(RUN, *groups).agg(F.sum("_n").alias("_rows"))
     heads = heads.select(
@@ -59,21 +68,23 @@ def _median_by_position(
         F.sum("_rows").over(Window.partitionBy(*groups)).alias("_total"),
     )
     in_run = Window.partitionBy(RUN, *groups).orderBy(PLACE)
-    ends = join_heads(runs, heads, groups).withColumn(
+    return join_heads(runs, heads, groups).withColumn(
         "_end", F.col("_before") + F.sum("_n").over(in_run)
     )
 
+
+def _middle(ends: DataFrame, groups: list[str], value: str, name: str) -> DataFrame:
     def covers(position: Column) -> Column:
         return (position >= F.col("_end") - F.col("_n")) & (position < F.col("_end"))
 
     low = F.floor((F.col("_total") - 1) / 2)
     high = F.floor(F.col("_total") / 2)
     picked = ends.where(covers(low) | covers(high))
+    # Halves are added, so that the largest doubles do not overflow.
+    number = F.col(value).cast("double")
+    lower, upper = F.max(F.when(covers(low), number)), F.max(F.when(covers(high), number))
     return picked.groupBy(*groups).agg(
-        (
-            (F.max(F.when(covers(low), F.col(value))) + F.max(F.when(covers(high), F.col(value))))
-            / 2
-        ).alias(name)
+        F.when(lower == upper, lower).otherwise(lower / 2 + upper / 2).alias(name)
     )
 
 

@@ -78,6 +78,28 @@ def dense_keys(df: DataFrame, order: list[str], key: str, start: int = 1) -> Dat
     )
 
 
+def numbered(df: DataFrame, key: str, start: int = 1) -> DataFrame:
+    """Number the rows start, start+1, ... in any order, without a shuffle.
+
+    The rows are written once with their place in their task; the numbers follow from the
+    rows of the tasks before.
+    """
+    rows = write_through(
+        df.withColumn("_id", F.monotonically_increasing_id()).select(
+            *df.columns,
+            F.shiftright("_id", _ROW_BITS).cast("int").alias(RUN),
+            F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias(PLACE),
+        ),
+        "numbered",
+    )
+    heads = rows.groupBy(RUN).agg(F.count(F.lit(1)).alias("_rows"))
+    heads = heads.select(RUN, rows_before(heads, [], "_rows").alias("_before"))
+    # One row per task.
+    return rows.join(F.broadcast(heads), RUN).select(
+        (F.col("_before") + F.col(PLACE) + start).alias(key), *df.columns
+    )
+
+
 def group_positions(
     df: DataFrame, groups: list[str], order: list[str], name: str = "position"
 ) -> DataFrame:

@@ -15,7 +15,12 @@ from pyspark.sql import functions as F
 from parcelstar.constants import API_SOURCE, BULK_SOURCE
 from parcelstar.functions.aggregates import mean, percent_change, total
 from parcelstar.operators.joins import lookup_join
-from parcelstar.operators.median import approx_median_by, median_of_counts, value_counts
+from parcelstar.operators.median import (
+    approx_median_by,
+    median_by,
+    median_of_counts,
+    value_counts,
+)
 from parcelstar.sources.warehouse import Warehouse
 
 
@@ -267,6 +272,10 @@ def register_views(star: Star, exact: bool = False) -> SparkSession:
             tables[name] = tables[name].withColumn(column, fixed)
     for name, table in tables.items():
         table.createOrReplaceTempView(name)
-    price_comparison(star).createOrReplaceTempView("v_price_comparison_by_zip")
+    price_comparison(star, exact).createOrReplaceTempView("v_price_comparison_by_zip")
+    medians = median_by(
+        star.fact_listings.where(_of_source(API_SOURCE)), ["property_type_id"], "price", "median_price"
+    )
+    medians.createOrReplaceTempView("v_median_price_by_property_type")
     market_summary(star).createOrReplaceTempView("v_market_summary")
     return star.fact_listings.sparkSession

@@ -11,6 +11,7 @@ from parcelstar import schemas
 from parcelstar.constants import API_SOURCE, BULK_SOURCE
 from parcelstar.operators.dimensions import new_locations
 from parcelstar.operators.joins import batch_guard, cross_bridge, location_bridge
+from parcelstar.operators.ordering import numbered
 from parcelstar.operators.quality import quality_checks
 from parcelstar.runs import new_batch_id, today, utc_now
 from parcelstar.session import write_through
@@ -86,25 +87,22 @@ def append_fact(
 ) -> dict:
     """Append the staged rows of batches not loaded yet, with warehouse location ids.
 
-    Generated ids come after `start`; they may leave gaps.
+    A batch counts as loaded once its audit says so; what an unfinished load left of it is
+    removed first. Ids follow `start` without gaps. Rows whose location the bridge lacks
+    are dropped and counted.
     """
     new = batch_guard(staged_fact, warehouse.loaded_batches(table))
-    dropped = new.where(F.col("location_id").isNull()).count()
-    located = cross_bridge(new, bridge, scope_by_source)
-    numbered = located.withColumn(id_column, F.monotonically_increasing_id() + start + 1)
+    warehouse.discard_unfinished(table, new)
     seen = Observation()
-    watched = numbered.observe(
-        seen,
-        F.count(F.lit(1)).alias("rows"),
-        F.max(id_column).alias("max_id"),
-        F.max("batch_id").alias("batch_id"),
-    )
-    warehouse.append(table, watched)
+    located = cross_bridge(new, bridge, scope_by_source, seen)
+    rows = numbered(located, id_column, start + 1)
+    warehouse.append(table, rows)
     figures = seen.get
+    count = figures.get("kept") or 0
     return {
-        "row_count": figures.get("rows") or 0,
-        "dropped_rows": dropped,
-        "max_id": figures.get("max_id") or start,
+        "row_count": count,
+        "dropped_rows": figures.get("dropped") or 0,
+        "max_id": start + count,
         "fact_batch_id": figures.get("batch_id"),
     }
 

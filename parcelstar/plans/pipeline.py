@@ -27,6 +27,9 @@ def run_pipeline(
     staging_root: str,
     warehouse_root: str,
     execution_date: str | None = None,
+    zip_mode: str = "canonical",
+    dedupe: bool = False,
+    states: list[str] | None = None,
 ) -> dict:
     """Land both feeds, stage them, load them, then pass the quality gate.
 
@@ -37,9 +40,11 @@ def run_pipeline(
     bulk_batch = new_batch_id(BULK_SOURCE, execution_date)
     api_batch = new_batch_id(API_SOURCE, execution_date)
     land_bulk(spark, csv_path, raw_root, execution_date, bulk_batch, now)
-    land_api_pages(read_pages(spark, pages_path), raw_root, execution_date, api_batch, now)
-    stage_bulk(spark, raw_root, staging_root, execution_date, bulk_batch)
-    stage_api(spark, raw_root, staging_root, execution_date, api_batch)
+    land_api_pages(
+        read_pages(spark, pages_path), raw_root, execution_date, api_batch, now, states=states
+    )
+    stage_bulk(spark, raw_root, staging_root, execution_date, bulk_batch, zip_mode, dedupe)
+    stage_api(spark, raw_root, staging_root, execution_date, api_batch, dedupe=dedupe)
     summary = load(spark, staging_root, warehouse_root, execution_date)
     gate(summary)
     return summary

@@ -62,9 +62,10 @@ QUERIES = {
         )
         SELECT property_type,
                {_mean("sum(price * n)", "sum(n) FILTER (WHERE price IS NOT NULL)")} AS avg_price,
-               percentile(price, 0.5, n) AS median_price,
+               any_value(median_price) AS median_price,
                sum(n) AS listing_count
         FROM prices JOIN dim_property_type USING (property_type_id)
+                    LEFT JOIN v_median_price_by_property_type USING (property_type_id)
         GROUP BY property_type
         ORDER BY avg_price DESC NULLS FIRST
     """,

@@ -24,7 +24,8 @@ def transform_bulk(
     dedupe: bool = False,
 ) -> dict[str, DataFrame]:
     """Bulk listings to dim_location, dim_property_type and fact_listings."""
-    cleaned = clean_bulk(raw, zip_mode, dedupe)
+    # The dimension and the fact each read the listings: clean them once.
+    cleaned = write_through(clean_bulk(raw, zip_mode, dedupe), "cleaned")
     locations = build_dim_location(cleaned)
     types = dim_property_type(raw.sparkSession)
     return {
@@ -42,7 +43,7 @@ def transform_api(
     dedupe: bool = False,
 ) -> dict[str, DataFrame]:
     """API listings and market documents to the star tables and fact_market_stats."""
-    cleaned = clean_api(listings, dedupe)
+    cleaned = write_through(clean_api(listings, dedupe), "cleaned")
     locations = build_dim_location(cleaned)
     types = dim_property_type(listings.sparkSession)
     return {
@@ -70,12 +71,13 @@ def stage_bulk(
     execution_date: str | None = None,
     batch_id: str | None = None,
     zip_mode: str = "canonical",
+    dedupe: bool = False,
 ) -> dict:
     """Transform one date of the landed bulk feed into the staging zone."""
     execution_date = execution_date or today()
     batch_id = batch_id or new_batch_id()
     raw = read_raw_bulk(spark, raw_bulk(raw_root, execution_date))
-    tables = transform_bulk(raw, batch_id, utc_now().isoformat(), zip_mode)
+    tables = transform_bulk(raw, batch_id, utc_now().isoformat(), zip_mode, dedupe)
     counts = write_staged(tables, staging_root, BULK_SOURCE, execution_date)
     return _summary(BULK_SOURCE, batch_id, execution_date, counts)
 
@@ -87,14 +89,13 @@ def stage_api(
     execution_date: str | None = None,
     batch_id: str | None = None,
     multi_line: bool = False,
+    dedupe: bool = False,
 ) -> dict:
     """Transform one date of the landed API feed into the staging zone."""
     execution_date = execution_date or today()
     batch_id = batch_id or new_batch_id()
     listings = read_api_listings(spark, raw_api_listings(raw_root, execution_date), multi_line)
-    # The dimension and the fact each read the listings: parse the JSON once.
-    listings = write_through(listings, "listings")
     market = read_market(spark, raw_market(raw_root, execution_date), multi_line)
-    tables = transform_api(listings, market, batch_id, utc_now().isoformat())
+    tables = transform_api(listings, market, batch_id, utc_now().isoformat(), dedupe)
     counts = write_staged(tables, staging_root, API_SOURCE, execution_date)
     return _summary(API_SOURCE, batch_id, execution_date, counts)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from parcelstar.constants import API_ENDPOINT, API_SOURCE
 from parcelstar.functions.text import known_state
 from parcelstar.runs import new_batch_id, today, utc_now
 from parcelstar.schemas import ENVELOPE, LISTING, MARKET, PAGE, literal_frame
-from parcelstar.sources.paths import partition_values, path_exists, raw_api_listings
+from parcelstar.sources.paths import NULL_FOLDER, partition_values, path_exists, raw_api_listings
 
 
 def read_envelopes(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -79,12 +81,18 @@ def land_api_pages(
     batch_id: str | None = None,
     ingested_at: str | None = None,
     known_states: bool = True,
+    states: list[str] | None = None,
 ) -> dict:
     """Land the pages of the states that are not landed for this date yet.
 
-    A page whose state is not a full state name fails the write, so nothing lands. The
-    date is today's, the batch id a fresh one and the time now, unless given.
+    `states` are the requested ones: only these land, an empty list raises, and the summary
+    tells which were skipped as landed before and which had no page. A page whose state is
+    not a full state name fails the write, so nothing lands. Each landing has a folder of
+    its own (`drop`), and states that a stream landed count as landed. The date is
+    today's, the batch id a fresh one and the time now, unless given.
     """
+    if states is not None and not states:
+        raise ValueError("no states requested")
     execution_date = execution_date or today()
     batch_id = batch_id or new_batch_id()
     ingested_at = ingested_at or utc_now().isoformat()
@@ -92,9 +100,13 @@ def land_api_pages(
     path = raw_api_listings(raw_root, execution_date)
     if known_states:
         pages = pages.withColumn("state", known_state(F.col("state")))
-    landed = partition_values(spark, path, "state_part")
+    landed = set(partition_values(spark, f"{path}/drop=*", "state_part"))
+    if states is not None:
+        pages = pages.where(F.col("state").isin(states))
+    # Pages without a state land in a folder too.
+    folder = F.coalesce("state", F.lit(NULL_FOLDER))
     new = envelopes(
-        pages.where(~F.col("state").isin(landed)), execution_date, batch_id, ingested_at
+        pages.where(~folder.isin(sorted(landed))), execution_date, batch_id, ingested_at
     )
     seen = Observation()
     watched = by_state(new).observe(
@@ -102,8 +114,12 @@ def land_api_pages(
         F.collect_set("state").alias("states"),
         F.sum("record_count").alias("records"),
     )
-    write_envelopes(watched, path, "append")
+    write_envelopes(watched, f"{path}/drop={batch_id}-{uuid4().hex}", "errorifexists")
     figures = seen.get
+    requested = {
+        "states_skipped": sorted(set(states) & landed),
+        "states_absent": sorted(set(states) - landed - set(figures.get("states") or [])),
+    } if states is not None else {}
     return {
         "batch_id": batch_id,
         "execution_date": execution_date,
@@ -111,6 +127,7 @@ def land_api_pages(
         "path": path,
         "states_processed": len(figures.get("states") or []),
         "records_count": figures.get("records") or 0,
+        **requested,
     }
 
 

@@ -60,7 +60,10 @@ def land_bulk(
     batch_id: str | None = None,
     ingested_at: str | None = None,
 ) -> dict:
-    """Land the CSV for one date, unless a finished landing is there already.
+    """Land the CSV for one date, unless a finished landing of it is there already.
+
+    The landing has a folder of its own (`drop=whole`) beside those of streams, whose rows
+    stay.
 
     The date is today's, the batch id a fresh one and the time now, unless given.
     """
@@ -68,12 +71,13 @@ def land_bulk(
     batch_id = batch_id or new_batch_id()
     ingested_at = ingested_at or utc_now().isoformat()
     path = raw_bulk(raw_root, execution_date)
-    if path_exists(spark, f"{path}/_SUCCESS"):
+    own = f"{path}/drop=whole"
+    if path_exists(spark, f"{own}/_SUCCESS"):
         return {"status": "skipped", "path": path}
     rows = read_bulk_csv(spark, csv_path)
-    write_by_state(audit(rows, BULK_SOURCE, batch_id, ingested_at), path)
+    write_by_state(audit(rows, BULK_SOURCE, batch_id, ingested_at), own)
     landed = (
-        spark.read.parquet(path)
+        spark.read.parquet(own)
         .groupBy("state_part")
         .agg(F.count(F.lit(1)).alias("rows"))
         .agg(F.count(F.lit(1)).alias("states"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))

@@ -9,6 +9,9 @@ from pyspark.sql import SparkSession
 from parcelstar.constants import API_SOURCE, BULK_SOURCE
 
 
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _file_system(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
@@ -27,6 +30,17 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     return [unquote(name.split("=", 1)[1]) for name in folders]
 
 
+def drop_folders(spark: SparkSession, path: str, column: str, values: set[str]) -> list[str]:
+    """Delete the partition folders of these values; returns the folders that were there."""
+    fs, target = _file_system(spark, f"{path}/{column}=*")
+    gone = []
+    for status in fs.globStatus(target) or []:
+        folder = status.getPath()
+        if unquote(folder.getName().split("=", 1)[1]) in values and fs.delete(folder, True):
+            gone.append(folder.toString())
+    return gone
+
+
 def raw_bulk(raw_root: str, execution_date: str) -> str:
     return f"{raw_root}/{BULK_SOURCE}/execution_date={execution_date}"
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType
+from pyspark.sql import functions as F
 
 from parcelstar import schemas
 from parcelstar.operators.dimensions import dim_property_type
-from parcelstar.schemas import conform, literal_frame, struct
-from parcelstar.sources.paths import partition_values, path_exists
+from parcelstar.schemas import conform, literal_frame
+from parcelstar.sources.paths import drop_folders, path_exists
 
 SCHEMAS = {
     "dim_location": schemas.DIM_LOCATION,
@@ -20,14 +20,12 @@ SCHEMAS = {
     "data_quality_log": schemas.DATA_QUALITY_LOG,
 }
 
-# Queries filter facts by source, and the load looks batches up by folder.
+# Queries filter facts by source; a batch has a folder of its own.
 PARTITIONS = {
     "fact_listings": ["source", "batch_id"],
     "fact_market_stats": ["source", "batch_id"],
 }
 
-NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
-
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -48,10 +46,23 @@ class Warehouse:
         return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.names)
 
     def loaded_batches(self, name: str) -> DataFrame:
-        """Batch ids of a fact, taken from its folder names; one row per batch."""
-        names = partition_values(self.spark, f"{self.path(name)}/source=*", "batch_id")
-        rows = [(batch,) for batch in sorted(set(names)) if batch != NULL_FOLDER]
-        return literal_frame(self.spark, rows, struct(batch_id=StringType()))
+        """Batch ids of a fact whose load has been audited as a success; one row per batch."""
+        done = (F.col("table_name") == name) & (F.col("status") == "SUCCESS")
+        return (
+            self.table("pipeline_metadata")
+            .where(done & F.col("fact_batch_id").isNotNull())
+            .select(F.col("fact_batch_id").alias("batch_id"))
+            .distinct()
+        )
+
+    def discard_unfinished(self, name: str, new: DataFrame) -> list[str]:
+        """Delete what an unfinished load left of the batches that are about to load.
+
+        `new` holds the rows of batches without a SUCCESS row, as the batch guard gives them.
+        """
+        rows = new.select("batch_id").distinct().collect()  # a staged table's batches
+        batches = {r[0] for r in rows if r[0] is not None}
+        return drop_folders(self.spark, f"{self.path(name)}/source=*", "batch_id", batches)
 
     def append(self, name: str, df: DataFrame) -> None:
         rows = conform(df, SCHEMAS[name])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +39,12 @@ def stream_pages(
     return reader.json(drop_folder)
 
 
+def drop_name(checkpoint: str, number: int) -> str:
+    """Folder of a micro-batch: it is told apart by its checkpoint and its number."""
+    identity = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+    return f"drop=stream-{identity}-{number}"
+
+
 def _land(files: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]) -> None:
     """Run the stream over what arrived since the last call, then stop."""
     query = (
@@ -59,13 +66,13 @@ def land_new_files(
 ) -> None:
     """Land the bulk listings that arrived since the last call.
 
-    A micro-batch may run twice after a failure; each one overwrites a folder of its own
-    number, so the second run replaces the first.
+    A micro-batch may run twice after a failure; each one overwrites a folder of its own,
+    named by checkpoint and number, so the second run replaces the first and no other.
     """
     root = raw_bulk(raw_root, execution_date)
 
     def write(rows: DataFrame, number: int) -> None:
-        write_by_state(audit(rows, BULK_SOURCE, batch_id, ingested_at), f"{root}/drop={number}")
+        write_by_state(audit(rows, BULK_SOURCE, batch_id, ingested_at), f"{root}/{drop_name(checkpoint, number)}")
 
     _land(files, checkpoint, write)
 
@@ -84,6 +91,6 @@ def land_new_pages(
     def write(rows: DataFrame, number: int) -> None:
         named = rows.withColumn("state", known_state(F.col("state")))
         landed = by_state(envelopes(named, execution_date, batch_id, ingested_at))
-        write_envelopes(landed, f"{root}/drop={number}", "overwrite")
+        write_envelopes(landed, f"{root}/{drop_name(checkpoint, number)}", "overwrite")
 
     _land(pages, checkpoint, write)

@@ -36,13 +36,13 @@ def test_bulk_rules(spark, override, kept):
 
 def test_bulk_conforms_text_and_dates(spark):
     row = clean_bulk(
-        bulk(spark, {"city": "\t Austin \n", "state": " Texas", "zip_code": 601.0,
+        bulk(spark, {"city": "\t Eugene \n", "state": " Oregon", "zip_code": 601.0,
                      "prev_sold_date": "not-a-date"})
     ).first()
     assert (row.city, row.state, row.zip_code, row.prev_sold_date) == (
-        "austin", "texas", "00601", None,
+        "eugene", "oregon", "00601", None,
     )
-    assert clean_bulk(bulk(spark)).first().prev_sold_date == date(2020, 1, 15)
+    assert clean_bulk(bulk(spark)).first().prev_sold_date == date(2019, 7, 4)
 
 
 def test_bulk_dedupe_is_optional(spark):
@@ -68,7 +68,7 @@ def test_api_rules(spark):
     row = cleaned.first()
     assert "zipCode" not in cleaned.columns
     assert (row.zip_code, row.state, row.city, row.address) == (
-        "78701", "texas", "austin", "123 Main St",
+        "97401", "oregon", "eugene", "48 Cedar St",
     )
 
 

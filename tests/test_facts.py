@@ -22,7 +22,7 @@ def test_transform_bulk(spark):
     assert fact.columns == facts.BULK_FACT_COLUMNS + facts.AUDIT_COLUMNS
     rows = {r.location_id: r for r in fact.collect()}
     assert set(rows) == {1, 2}
-    assert (rows[1].property_type_id, rows[2].property_type_id) == (2, 1)
+    assert (rows[1].property_type_id, rows[2].property_type_id) == (1, 2)
     assert (rows[1].source, rows[1].batch_id, rows[1].ingested_at) == ("kaggle", BATCH, NOW)
     assert tables["dim_location"].count() == 2
 
@@ -37,7 +37,7 @@ def test_transform_api_types_and_keys(spark):
     assert fact.columns == facts.API_FACT_COLUMNS + facts.AUDIT_COLUMNS
     rows = {r.rentcast_id: r for r in fact.collect()}
     assert [rows[str(i)].property_type_id for i in range(6)] == [2, 4, 5, 3, 6, 6]
-    assert (rows["0"].location_id, rows["x"].location_id, rows["y"].location_id) == (1, 2, None)
+    assert (rows["0"].location_id, rows["x"].location_id, rows["y"].location_id) == (2, 1, None)
     assert tables["fact_market_stats"].count() == 0
     assert tables["fact_market_stats"].columns == facts.MARKET_COLUMNS + facts.AUDIT_COLUMNS
 
@@ -54,9 +54,9 @@ def test_market_rows(spark):
     documents = market(
         spark,
         {
-            "78701": {
+            "97401": {
                 "2025-01": market_entry("2025-01-01T00:00:00.000Z"),
-                "2025-02": market_entry(None, 301_000.0),
+                "2025-02": market_entry(None, 413_500.0),
                 "2025-03": market_entry("soon"),
             },
             "00000": {},
@@ -64,16 +64,16 @@ def test_market_rows(spark):
     )
     rows = sorted(facts.market_rows(documents).collect(), key=lambda r: str(r.snapshot_date))
     assert [r.snapshot_date for r in rows] == [date(2025, 1, 1), date(2025, 2, 1), None]
-    assert rows[1].median_listing_price == 301_000.0 and rows[1].zip_code == "78701"
+    assert rows[1].median_listing_price == 413_500.0 and rows[1].zip_code == "97401"
 
 
 def test_market_stats_fan_out_by_city(spark):
     dim = spark.createDataFrame(
-        [(1, "austin", "texas", "78701"), (2, "rollingwood", "texas", "78701")], DIM
+        [(1, "eugene", "oregon", "97401"), (2, "rollingwood", "oregon", "97401")], DIM
     )
     documents = market(
         spark,
-        {"78701": {f"2025-0{i}": market_entry() for i in range(1, 6)},
+        {"97401": {f"2025-0{i}": market_entry() for i in range(1, 6)},
          "99999": {"2025-01": market_entry()}},
     )
     stats = facts.market_stats_fact(documents, dim, BATCH, NOW).collect()
@@ -85,8 +85,8 @@ def test_unified_fact_and_conform(spark):
     a = transform_api(listings(spark), literal_frame(spark, [], MARKET), BATCH, NOW)
     rows = {r.source: r for r in facts.unified_fact(b, a["fact_listings"]).collect()}
     assert list(rows["kaggle"].asDict()) == FACT_LISTINGS.names
-    assert rows["kaggle"].brokered_by == "1" and rows["kaggle"].rentcast_id is None
-    assert rows["rentcast"].listed_date == date(2024, 1, 15) and rows["rentcast"].bed is None
+    assert rows["kaggle"].brokered_by == "7" and rows["kaggle"].rentcast_id is None
+    assert rows["rentcast"].listed_date == date(2023, 11, 20) and rows["rentcast"].bed is None
 
 
 def test_conform_by_name_in_any_case(spark):

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -31,9 +32,10 @@ def lookup(spark):
 def test_salted_join_equals_plain_join(large, lookup, how):
     plain = sorted(map(str, large.join(lookup, "k", how).collect()))
     assert sorted(map(str, joins.lookup_join(large, lookup, ["k"], how).collect())) == plain
-    for min_rows in (1, 200, joins.HOT_ROWS):
-        salted = joins.salted_join(large, lookup, ["k"], how, min_rows)
-        assert sorted(map(str, salted.collect())) == plain
+    for slots in ("2", "8", "900"):
+        with settings(large.sparkSession, spark__sql__shuffle__partitions=slots):
+            salted = joins.salted_join(large, lookup, ["k"], how)
+            assert sorted(map(str, salted.collect())) == plain
     shuffled = joins.lookup_join(large, lookup, ["k"], how, max_rows=0)
     assert sorted(map(str, shuffled.collect())) == plain
 
@@ -41,7 +43,7 @@ def test_salted_join_equals_plain_join(large, lookup, how):
 def test_large_lookup_is_not_broadcast_by_hint(large, lookup):
     assert "_salt" in plan(joins.lookup_join(large, lookup, ["k"], max_rows=2))
     assert "_salt" not in plan(joins.lookup_join(large, lookup, ["k"]))
-    assert not joins.fits_broadcast(lookup, max_text_bytes=3)
+    assert not joins.fits_broadcast(lookup, max_bytes=3)
 
 
 def test_hot_and_null_keys_spread_over_the_partitions(spark):
@@ -51,15 +53,28 @@ def test_hot_and_null_keys_spread_over_the_partitions(spark):
     )
     lookup = spark.createDataFrame([("k0", 1), ("2", 2)], "k string, x int")
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"), many_runs(spark):
-        joined = joins.salted_join(rows, lookup, ["k"], "left", min_rows=100)
+        joined = joins.salted_join(rows, lookup, ["k"], "left")
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
         assert joined.where("x = 1").count() == 2667
     assert len(sizes) == 8 and max(sizes) < 2200
 
 
 def test_hot_keys(large):
-    assert [r.k for r in joins.hot_keys(large, ["k"], min_rows=200).collect()] == ["k0"]
-    assert joins.hot_keys(large, ["k"], min_rows=100_000).count() == 0
+    total, n = large.count(), large.where("k = 'k0'").count()
+    (hot,) = joins.hot_keys(large, ["k"], 5).collect()
+    assert hot.k == "k0" and hot._salts == min(5, math.ceil(2 * n / (total / 5)))
+    assert joins.hot_keys(large, ["k"], 1).count() == 0
+
+
+def test_copies_follow_the_size_of_a_key(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") < 400, 0).otherwise(F.col("id")).alias("k"))
+    assert [tuple(r) for r in joins.hot_keys(rows, ["k"], 10).collect()] == [(0, 8)]
+
+
+def test_every_column_counts_towards_the_broadcast_bound(spark):
+    rows = spark.range(10).select("id", F.array_repeat(F.lit(7), 1000).alias("numbers"))
+    assert not joins.fits_broadcast(rows, max_bytes=10_000)
+    assert joins.fits_broadcast(rows.select("id"), max_bytes=10_000)
 
 
 def test_batch_guard_keeps_new_and_null_batches(spark):

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from parcelstar.constants import API_SOURCE, BULK_SOURCE
 from parcelstar.operators.quality import assert_quality, quality_checks
@@ -10,6 +11,7 @@ from parcelstar.plans.analytics import Star, price_gap
 from parcelstar.plans.load import load
 from parcelstar.plans.transform import stage_bulk, transform_api, transform_bulk
 from parcelstar.schemas import FACT_LISTINGS, FACT_MARKET_STATS, literal_frame
+from parcelstar.sources import paths
 from parcelstar.sources.bulk import land_bulk
 from parcelstar.sources.staged import write_staged
 from parcelstar.sources.warehouse import Warehouse
@@ -26,7 +28,7 @@ def stage(spark, root, tag="1", date=DATE):
         spark, {"id": "1"}, {"id": "2", "price": None},
         {"id": "3", "city": "Waco", "zipCode": "76701"}, {"id": "4", "city": None},
     )
-    m = market(spark, {"78701": {"2025-01": market_entry(), "2025-02": market_entry()},
+    m = market(spark, {"97401": {"2025-01": market_entry(), "2025-02": market_entry()},
                        "00000": {"2025-01": market_entry()}})
     write_staged(transform_bulk(b, f"bulk-{tag}", NOW), root, BULK_SOURCE, date)
     write_staged(transform_api(a, m, f"api-{tag}", NOW), root, API_SOURCE, date)
@@ -58,8 +60,8 @@ def test_facts_point_at_the_right_place(loaded):
     fact = warehouse.table("fact_listings").join(warehouse.table("dim_location"), "location_id")
     places = fact.groupBy("source", "city").count().collect()
     assert sorted(map(tuple, places)) == [
-        ("kaggle", "austin", 4), ("kaggle", "boerne", 2), ("kaggle", "dallas", 2),
-        ("rentcast", "austin", 4), ("rentcast", "waco", 2),
+        ("kaggle", "boerne", 2), ("kaggle", "dallas", 2), ("kaggle", "eugene", 4),
+        ("rentcast", "eugene", 4), ("rentcast", "waco", 2),
     ]
 
 
@@ -106,7 +108,7 @@ def test_queries_over_a_loaded_warehouse(loaded):
     star = Star.of(loaded[0])
     gap = price_gap(star).collect()
     assert [(r.zip_code, r.state, r.avg_kaggle_price, r.price_gap) for r in gap] == [
-        ("78701", "texas", 300_000.0, 50_000.0)
+        ("97401", "oregon", 412_500.0, 50_000.0)
     ]
     pruned = plan(star.fact_listings.where("source = 'kaggle'"))
     assert "PartitionFilters: [isnotnull(source" in pruned
@@ -116,10 +118,43 @@ def test_unscoped_load_repeats_facts(spark, tmp_path):
     stage(spark, str(tmp_path / "s"))
     summary = load(spark, str(tmp_path / "s"), str(tmp_path / "w"), DATE, scope_by_source=False)
     # Bulk ids 1..3 and API ids 1..2 meet in one list, so every shared id matches twice.
-    assert summary["rows_loaded"]["fact_listings_kaggle"] == 7
+    assert summary["rows_loaded"]["fact_listings_kaggle"] == 6
     assert summary["rows_loaded"]["fact_listings_rentcast"] == 6
 
 
+def test_an_unfinished_batch_is_loaded_whole(spark, tmp_path):
+    """A batch folder without a SUCCESS row is what a failed load left behind."""
+    staging, root = str(tmp_path / "s"), str(tmp_path / "w")
+    stage(spark, staging)
+    warehouse = Warehouse(spark, root)
+    leftover = spark.createDataFrame(
+        [(1, "kaggle", "bulk-1"), (1, "kaggle", "bulk-0")], "listing_id long, source string, batch_id string"
+    )
+    warehouse.append("fact_listings", leftover)
+    (tmp_path / "w" / "fact_listings" / "source=rentcast" / "batch_id=api-1").mkdir(parents=True)
+    assert load(spark, staging, root, DATE)["rows_loaded"]["fact_listings_kaggle"] == 4
+    counts = {r.batch_id: r["count"] for r in warehouse.table("fact_listings").groupBy("batch_id").count().collect()}
+    assert counts == {"bulk-1": 4, "api-1": 3, "bulk-0": 1}  # another batch's folder stays
+    assert set(load(spark, staging, root, DATE)["rows_loaded"].values()) == {0}
+
+
+def test_rows_the_bridge_lacks_are_counted(spark, tmp_path):
+    staging, root = str(tmp_path / "s"), str(tmp_path / "w")
+    stage(spark, staging)
+    path = paths.staged(staging, BULK_SOURCE, DATE, "fact_listings")
+    rows = spark.read.parquet(path)
+    strange = rows.limit(1).withColumn("location_id", F.lit(99).cast(rows.schema["location_id"].dataType))
+    missing = strange.withColumn("location_id", F.lit(None).cast(rows.schema["location_id"].dataType))
+    both = spark.createDataFrame(rows.union(strange).union(missing).collect(), rows.schema)
+    both.write.mode("overwrite").parquet(path)
+    load(spark, staging, root, DATE)
+    audit = Warehouse(spark, root).table("pipeline_metadata")
+    row = audit.where("table_name = 'fact_listings' AND source = 'kaggle'").first()
+    assert (row.row_count, row.dropped_rows) == (4, 2)
+    ids = [r.listing_id for r in Warehouse(spark, root).table("fact_listings").collect()]
+    assert sorted(ids) == list(range(1, 8))
+
+
 def test_failure_is_recorded_and_ids_go_on(spark, tmp_path, monkeypatch):
     staging, root = str(tmp_path / "s"), str(tmp_path / "w")
     stage(spark, staging)
@@ -159,7 +194,7 @@ def test_nothing_staged(spark, tmp_path):
 
 def test_quality_checks_find_every_defect(spark):
     dim = spark.createDataFrame(
-        [(1, "a", "texas", "1"), (2, "a", "texas", "1"), (3, None, "texas", "2"),
+        [(1, "a", "oregon", "1"), (2, "a", "oregon", "1"), (3, None, "oregon", "2"),
          (4, "b", "tx", "3")],
         "location_id long, city string, state string, zip_code string",
     )
@@ -194,9 +229,9 @@ def test_quality_checks_find_every_defect(spark):
 
 
 def test_pipeline_end_to_end(spark, tmp_path):
-    csv = write_csv(tmp_path / "in", "a.csv", ["Texas", "Utah"])
+    csv = write_csv(tmp_path / "in", "a.csv", ["Oregon", "Utah"])
     pages = tmp_path / "pages.json"
-    page = {"state": "Texas", "offset": 0, "total_count": 1, "records": [LISTING_ROW]}
+    page = {"state": "Oregon", "offset": 0, "total_count": 1, "records": [LISTING_ROW]}
     pages.write_text(json.dumps(page))
     zones = [str(tmp_path / z) for z in ("raw", "staging", "warehouse")]
     first = pipeline.run_pipeline(spark, csv, str(pages), *zones, DATE)
@@ -209,7 +244,7 @@ def test_pipeline_end_to_end(spark, tmp_path):
 
 
 def test_steps_default_to_today(spark, tmp_path):
-    csv = write_csv(tmp_path / "in", "a.csv", ["Texas"])
+    csv = write_csv(tmp_path / "in", "a.csv", ["Oregon"])
     raw, staging, root = (str(tmp_path / z) for z in ("raw", "staging", "warehouse"))
     landed = land_bulk(spark, csv, raw)
     staged = stage_bulk(spark, raw, staging)

@@ -5,7 +5,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelstar.operators.median import approx_median_by, median_by
-from parcelstar.operators.ordering import RUN, dense_keys, group_positions, pages, sorted_runs
+from parcelstar.operators.ordering import (
+    RUN,
+    dense_keys,
+    group_positions,
+    numbered,
+    pages,
+    sorted_runs,
+)
 from tests.conftest import many_runs
 
 
@@ -76,6 +83,32 @@ def test_median(spark, small_values):
     assert got["even"] == statistics.median([1, 2, 10, 20]) and got["heavy"] == 4.0
 
 
+@pytest.mark.parametrize("small_values", [1_000_000, 0])
+@pytest.mark.parametrize(
+    "kind, values, median",
+    [
+        ("decimal(12,2)", ["1.10", "2.20", "2.30", "9.00"], 2.25),
+        ("bigint", [str(2**63 - 1), str(2**63 - 3)], float(2**63)),
+        ("double", ["1e308", "1.5e308"], 1.25e308),
+        ("double", ["5e-324", "5e-324", "5e-324"], 5e-324),
+        ("int", ["7"], 7.0),
+    ],
+)
+def test_median_is_a_double_of_any_type(spark, small_values, kind, values, median):
+    df = spark.createDataFrame([(v,) for v in values], "v string").select(
+        F.lit("g").alias("g"), F.col("v").cast(kind).alias("v")
+    )
+    found = median_by(df, ["g"], "v", "m", small_values)
+    assert dict(found.dtypes)["m"] == "double" and found.first().m == median
+
+
+def test_numbers_without_gaps(spark):
+    df = spark.range(1000).repartition(7).withColumn("run", F.col("id") % 3)
+    out = numbered(df, "key", 5)
+    assert sorted(r.key for r in out.collect()) == list(range(5, 1005))
+    assert out.columns == ["key", *df.columns] and numbered(df.limit(0), "key").count() == 0
+
+
 def test_approx_median(spark):
     df = spark.range(1, 1002).select(F.lit("g").alias("g"), F.col("id").cast("double").alias("v"))
     assert abs(approx_median_by(df, ["g"], "v").first()["median"] - 501) <= 1

@@ -19,7 +19,7 @@ from parcelstar.streaming.landing import (
 from tests.conftest import BATCH, BULK_ROW, LISTING_ROW, NOW, bulk, settings
 
 DATE = "2024-06-01"
-STATES = ["California", "Texas", "California", None, "New York"]
+STATES = ["California", "Oregon", "California", None, "New York"]
 
 
 def write_csv(folder, name, states):
@@ -44,14 +44,14 @@ def page_frame(spark, *given):
 def test_read_csv(spark, tmp_path):
     path = write_csv(tmp_path / "in", "a.csv", STATES)
     rows = bulk_source.read_bulk_csv(spark, path).collect()
-    assert len(rows) == 5 and rows[0].city == " Padded " and rows[0].zip_code == 78701.0
+    assert len(rows) == 5 and rows[0].city == " Padded " and rows[0].zip_code == 97401.0
     assert bulk_source.read_bulk_csv(spark, path, limit=2).count() == 2
 
 
 def test_csv_with_bad_number_or_header_is_refused(spark, tmp_path):
-    path = write_csv(tmp_path / "in", "a.csv", ["Texas"])
+    path = write_csv(tmp_path / "in", "a.csv", ["Oregon"])
     bad = tmp_path / "bad.csv"
-    bad.write_text(open(path).read().replace("300000.0", "dear"))
+    bad.write_text(open(path).read().replace("412500.0", "dear"))
     with pytest.raises(Exception):
         bulk_source.read_bulk_csv(spark, str(bad)).collect()
     loose = bulk_source.read_bulk_csv(spark, str(bad), mode="PERMISSIVE").first()
@@ -66,8 +66,8 @@ def test_land_bulk_by_state_and_skip(spark, tmp_path):
     first = bulk_source.land_bulk(spark, path, raw, DATE, BATCH, NOW)
     assert (first["status"], first["records_count"], first["chunks_written"]) == ("success", 5, 4)
     folder = paths.raw_bulk(raw, DATE)
-    assert sorted(paths.partition_values(spark, folder, "state_part")) == [
-        "California", "New York", "Texas", "__HIVE_DEFAULT_PARTITION__",
+    assert sorted(paths.partition_values(spark, f"{folder}/drop=*", "state_part")) == [
+        "California", "New York", "Oregon", "__HIVE_DEFAULT_PARTITION__",
     ]
     again = bulk_source.land_bulk(spark, path, raw, DATE, "other", NOW)
     assert again["status"] == "skipped"
@@ -79,7 +79,8 @@ def test_land_bulk_by_state_and_skip(spark, tmp_path):
 def test_unfinished_landing_is_done_again(spark, tmp_path):
     path, raw = write_csv(tmp_path / "in", "a.csv", STATES), str(tmp_path / "raw")
     bulk_source.land_bulk(spark, path, raw, DATE, BATCH, NOW)
-    (tmp_path / "raw" / "kaggle" / f"execution_date={DATE}" / "_SUCCESS").unlink()
+    date_folder = tmp_path / "raw" / "kaggle" / f"execution_date={DATE}"
+    (date_folder / "drop=whole" / "_SUCCESS").unlink()
     assert bulk_source.land_bulk(spark, path, raw, DATE, "b2", NOW)["records_count"] == 5
 
 
@@ -92,14 +93,14 @@ def test_a_large_state_is_split_over_files(spark, tmp_path):
         spark__sql__adaptive__coalescePartitions__minPartitionSize="1k",
     ):
         bulk_source.write_by_state(big.repartition(8), str(tmp_path / "out"))
-    files = list((tmp_path / "out" / "state_part=Texas").glob("*.parquet"))
+    files = list((tmp_path / "out" / "state_part=Oregon").glob("*.parquet"))
     assert len(files) > 1
     assert spark.read.parquet(str(tmp_path / "out")).count() == 60_000
 
 
 def test_land_api_pages(spark, tmp_path):
     raw = str(tmp_path / "raw")
-    given = [page("Texas", 0, 3, 4), page("Texas", 500, 1, 4), page("New York", 0, 2, 2)]
+    given = [page("Oregon", 0, 3, 4), page("Oregon", 500, 1, 4), page("New York", 0, 2, 2)]
     first = api.land_api_pages(page_frame(spark, *given), raw, DATE, BATCH, NOW)
     assert (first["states_processed"], first["records_count"]) == (2, 6)
     second = api.land_api_pages(
@@ -116,23 +117,78 @@ def test_land_api_pages(spark, tmp_path):
 
 
 def test_unknown_state_is_refused(spark, tmp_path):
-    mixed = page_frame(spark, page("Texas", 0, 1), page("TX", 0, 1))
-    with pytest.raises(Exception, match="unknown state name: TX"):
+    mixed = page_frame(spark, page("Oregon", 0, 1), page("OR", 0, 1))
+    with pytest.raises(Exception, match="unknown state name: OR"):
         api.land_api_pages(mixed, str(tmp_path), DATE, BATCH, NOW)
     folder = paths.raw_api_listings(str(tmp_path), DATE)
-    assert paths.partition_values(spark, folder, "state_part") == []
+    assert paths.partition_values(spark, f"{folder}/drop=*", "state_part") == []
+
+
+def test_requested_states(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    given = page_frame(spark, page("Oregon", 0, 3), page("Utah", 0, 1), page("Ohio", 0, 2))
+    first = api.land_api_pages(given, raw, DATE, BATCH, NOW, states=["Utah"])
+    assert (first["states_skipped"], first["states_absent"], first["records_count"]) == ([], [], 1)
+    second = api.land_api_pages(given, raw, DATE, BATCH, NOW, states=["Utah", "Ohio", "Maine"])
+    assert (second["states_skipped"], second["states_absent"]) == (["Utah"], ["Maine"])
+    assert api.read_api_listings(spark, first["path"]).count() == 3
+    with pytest.raises(ValueError, match="no states"):
+        api.land_api_pages(given, raw, DATE, BATCH, NOW, states=[])
+
+
+def test_pages_without_a_state_land_once(spark, tmp_path):
+    given = [page("Oregon", 0, 1), page(None, 0, 2)]
+    frame = page_frame(spark, *given)
+    for rows in (page_frame(spark, given[0]), frame, frame):
+        landed = api.land_api_pages(rows, str(tmp_path), DATE, BATCH, NOW, known_states=False)
+    assert api.read_api_listings(spark, landed["path"]).count() == 3
+
+
+def test_batch_and_stream_landings_stand_side_by_side(spark, tmp_path):
+    csv, raw = write_csv(tmp_path / "in", "a.csv", STATES), str(tmp_path / "raw")
+    drops = [tmp_path / "one", tmp_path / "two"]
+    for drop in drops:
+        write_csv(drop, "b.csv", ["Utah", None, "Oregon"])
+
+    def stream(drop):
+        files = stream_bulk_csv(spark, str(drop))
+        land_new_files(files, raw, DATE, str(tmp_path / f"cp-{drop.name}"), BATCH, NOW)
+
+    def count():
+        return bulk_source.read_raw_bulk(spark, paths.raw_bulk(raw, DATE)).count()
+
+    stream(drops[0])
+    assert count() == 3
+    for _ in range(2):
+        bulk_source.land_bulk(spark, csv, raw, DATE, BATCH, NOW)
+        assert count() == 8
+    stream(drops[1])
+    stream(drops[0])
+    assert count() == 11
+
+
+def test_pages_of_batch_and_stream(spark, tmp_path):
+    drop, raw = tmp_path / "drop", str(tmp_path / "raw")
+    drop.mkdir()
+    lines = [{"state": s, "offset": 0, "records": [LISTING_ROW]} for s in ("Oregon", "Utah")]
+    (drop / "a.json").write_text("\n".join(map(json.dumps, lines)))
+    land_new_pages(stream_pages(spark, str(drop)), raw, DATE, str(tmp_path / "cp"), BATCH, NOW)
+    given = page_frame(spark, page("Oregon", 0, 3), page("Ohio", 0, 2))
+    landed = api.land_api_pages(given, raw, DATE, "b2", NOW)
+    assert (landed["states_processed"], landed["records_count"]) == (1, 2)
+    assert api.read_api_listings(spark, landed["path"]).count() == 4
 
 
 def test_envelope_files_of_one_line_or_many(spark, tmp_path):
-    envelope = {"batch_id": BATCH, "state": "Texas", "record_count": 2,
+    envelope = {"batch_id": BATCH, "state": "Oregon", "record_count": 2,
                 "records": [LISTING_ROW, {"id": "only"}]}
     (tmp_path / "one").mkdir()
-    (tmp_path / "one" / "Texas.json").write_text(json.dumps(envelope))
+    (tmp_path / "one" / "Oregon.json").write_text(json.dumps(envelope))
     (tmp_path / "many").mkdir()
-    (tmp_path / "many" / "Texas.json").write_text(json.dumps(envelope, indent=2))
+    (tmp_path / "many" / "Oregon.json").write_text(json.dumps(envelope, indent=2))
     for folder, multi in (("one", False), ("many", True)):
         rows = api.read_api_listings(spark, str(tmp_path / folder), multi).collect()
-        assert rows[0].daysOnMarket == 30 and rows[1].price is None
+        assert rows[0].daysOnMarket == 21 and rows[1].price is None
 
 
 def test_market_is_optional(spark, tmp_path):
@@ -140,7 +196,7 @@ def test_market_is_optional(spark, tmp_path):
     assert none.count() == 0 and none.schema == MARKET
     entry = {"medianPrice": 1, "totalListings": 3, "averagePrice": 9}
     (tmp_path / "m.json").write_text(
-        json.dumps({"id": "x", "zipCode": "78701", "saleData": {"history": {"2025-01": entry}}})
+        json.dumps({"id": "x", "zipCode": "97401", "saleData": {"history": {"2025-01": entry}}})
     )
     row = api.read_market(spark, str(tmp_path / "m.json")).first()
     assert row.saleData.history["2025-01"].totalListings == 3
@@ -187,10 +243,10 @@ def test_stream_lands_each_file_once(spark, tmp_path):
 
     write_csv(drop, "a.csv", STATES)
     assert [run(), run()] == [5, 5]
-    write_csv(drop, "b.csv", ["Utah", "Texas", "Utah"])
+    write_csv(drop, "b.csv", ["Utah", "Oregon", "Utah"])
     assert run() == 8
     landed = bulk_source.read_raw_bulk(spark, paths.raw_bulk(raw, DATE))
-    assert landed.where(F.col("state") == "Texas").count() == 2
+    assert landed.where(F.col("state") == "Oregon").count() == 2
 
 
 def test_stream_lands_each_page_once(spark, tmp_path):
@@ -205,11 +261,11 @@ def test_stream_lands_each_page_once(spark, tmp_path):
         land_new_pages(stream_pages(spark, str(drop), 1), raw, DATE, checkpoint, BATCH, NOW)
         return api.read_envelopes(spark, paths.raw_api_listings(raw, DATE)).collect()
 
-    put("a.json", "Texas", "Utah")
+    put("a.json", "Oregon", "Utah")
     assert [len(run()), len(run())] == [2, 2]
     put("b.json", "Ohio")
     landed = run()
-    assert sorted(r.state for r in landed) == ["Ohio", "Texas", "Utah"]
+    assert sorted(r.state for r in landed) == ["Ohio", "Oregon", "Utah"]
     assert {r.record_count for r in landed} == {1}
 
 
@@ -220,14 +276,14 @@ def test_staged_single_file_with_foreign_types(spark, tmp_path):
             "location_id": pyarrow.array([1, None], pyarrow.uint32()),
             "property_type_id": pyarrow.array([2, 6], pyarrow.int64()),
             "RENTCAST_ID": ["a", "b"],
-            "price": pyarrow.array([350_000, None], pyarrow.int64()),
-            "listed_date": ["2024-01-15T00:00:00.000Z", None],
-            "ingested_at": ["2026-01-01T00:00:00.123456+00:00"] * 2,
+            "price": pyarrow.array([462_500, None], pyarrow.int64()),
+            "listed_date": ["2023-11-20T00:00:00.000Z", None],
+            "ingested_at": ["2025-03-09T06:30:00.123456+00:00"] * 2,
         }
     )
     path = paths.staged(str(tmp_path), "rentcast", DATE, "fact_listings")
     (tmp_path / "rentcast" / DATE).mkdir(parents=True)
     pyarrow.parquet.write_table(table, path)
     row = read_staged(spark, path, STAGED_API_FACT).where("rentcast_id = 'a'").first()
-    assert (row.location_id, row.price, row.listed_date) == (1, 350_000.0, date(2024, 1, 15))
+    assert (row.location_id, row.price, row.listed_date) == (1, 462_500.0, date(2023, 11, 20))
     assert row.ingested_at.microsecond == 123456 and row.address is None
