@@ -5,25 +5,28 @@ within their prefixes, the first tokens in an order common to all. The order put
 tokens first, so that passages which many documents share come last. Rare tokens of a
 prefix are indexed one by one. Frequent ones are dealt into small groups, and pairs of one
 group are indexed: a group of c tokens only counts c - 1 towards the prefix, which is
-extended accordingly. Documents that meet under a key are compared: first by size, then by
-a parity bitmap that bounds the difference from below, then exactly on their texts.
+extended accordingly. A key keeps its level, how long the prefix must be to hold it: what two
+sets must share follows from both sizes, so a key above the prefix that this pair needs does
+not count. Documents that meet under a key are compared: first by parity bitmaps that bound
+the difference from below, then exactly on their texts.
 
 Keys with few documents compare them all. Under a key with many, each document is compared
-with one of them; only where the links found so far leave such a key in several components
-are the documents outside the largest of these compared with the others. So copies are
-joined without all their pairs, and no link that joins anything is lost.
+with some hubs, the documents that meet others under the most such keys: in a group of copies
+these are the ones closest to all. Only where the links found so far leave such a key in
+several components are the documents outside the largest of these compared with the others.
+So copies are joined without all their pairs, and no link that joins anything is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +43,10 @@ SKETCH, ROW = 1 << 22, 1 << 16
 FREQUENT = 64
 #: Documents under one key up to which all are compared at once.
 FEW = 32
+#: Documents of a larger key that all others are compared with first.
+HUBS = 3
+#: Words of a folded bitmap.
+FOLDED = 8
 #: Rows of the sketch that are added up in one task.
 FAN_IN = 64
 _PAIRED, _SINGLE = np.uint64(1), np.uint64(2)
@@ -62,6 +69,12 @@ def bitmap(tokens: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def folded(bits: bytes) -> list[int]:
+    """A bitmap folded to 512 bits, as eight numbers; the bound holds for these too."""
+    words = np.frombuffer(bits, dtype=np.int64).reshape(-1, FOLDED)
+    return np.bitwise_xor.reduce(words, axis=0).tolist()
+
+
 def may_link(n: int, m: int, left: bytes, right: bytes) -> bool:
     """False only for sets that cannot link."""
     small, large = min(n, m), max(n, m)
@@ -83,53 +96,65 @@ def _bands(n: int) -> list[int]:
     return [band, band + 1] if 100 * n >= PERCENT * (2 << band) else [band]
 
 
-def _grouped_keys(tokens: np.ndarray, need: int, band: int) -> tuple[np.ndarray, bool]:
-    """Pairs within groups until the groups count for `need`; whether they do."""
+def _grouped_keys(tokens: np.ndarray, have: int, need: int, band: int) -> tuple[list, list, bool]:
+    """Pairs within groups, from a level of `have` up to `need`: keys, levels, and whether
+    the level is reached."""
     groups = np.uint64(max(1, (1 << band) // 4))
     group = (tokens >> np.uint64(20)) % groups
     order = np.lexsort((tokens, group))
     tokens, group = tokens[order], group[order]
     starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
     ends = np.append(starts[1:], len(tokens))
-    keys = []
+    keys, levels = [], []
     for start, end in zip(starts.tolist(), ends.tolist(), strict=True):
-        if need <= 0:
+        if have >= need:
             break
-        end = min(end, start + need + 1)
-        need -= end - start - 1
+        end = min(end, start + need - have + 1)
         first, second = np.triu_indices(end - start, 1)
         own = tokens[start:end]
-        keys.append(mixed(mixed(own[first], own[second]), np.full(len(first), band, np.uint64)))
-    return (np.concatenate(keys) if keys else tokens[:0]), need <= 0
+        pair = mixed(mixed(own[first], own[second]), np.full(len(first), band, np.uint64))
+        keys.append(pair ^ _PAIRED)
+        levels.append(have + second)
+        have += end - start - 1
+    return keys, levels, have >= need
 
 
-def prefix_keys(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The index keys of a set; `frequent` marks its tokens."""
+def prefix_keys(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The index keys of a set and their levels; `frequent` marks its tokens."""
     n = len(tokens)
     need = n - _least_overlap(n) + 1
     rare, often = tokens[~frequent], tokens[frequent]
     if len(rare) >= need:
-        return rare[:need]
-    keys, rest = [rare], need - len(rare)
+        return rare[:need], np.arange(1, need + 1)
+    keys, levels = [rare], [np.arange(1, len(rare) + 1)]
     enough = True
     for band in _bands(n):
-        pairs, reached = _grouped_keys(often, rest, band)
-        keys.append(pairs ^ _PAIRED)
+        pairs, at, reached = _grouped_keys(often, len(rare), need, band)
+        keys += pairs
+        levels += at
         enough &= reached
     if not enough:  # too small to count in groups: the plain prefix as well
-        keys.append(mixed(often[:rest], np.full(len(often[:rest]), _SINGLE)))
-    return np.unique(np.concatenate(keys))
+        plain = often[: need - len(rare)]
+        keys.append(mixed(plain, np.full(len(plain), _SINGLE)))
+        levels.append(np.arange(len(rare) + 1, len(rare) + len(plain) + 1))
+    every, at = np.concatenate(keys), np.concatenate(levels)
+    order = np.lexsort((at, every))
+    every, at = every[order], at[order]
+    first = np.append(True, every[1:] != every[:-1])[: len(every)]
+    return every[first], at[first]
 
 
 # --- passes over the texts ---------------------------------------------------------------
 
 PROFILE = (
-    "doc_id long, n long, node long, bits binary, counter_row int, task int, counters binary"
+    "doc_id long, n long, node long, bits binary, folded array<long>, counter_row int, "
+    "task int, counters binary"
 )
 _PROFILE_TYPES = [
-    pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary(),
+    pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int32(),
+    pa.int32(), pa.binary(),
 ]
-_PROFILE_NAMES = ["doc_id", "n", "node", "bits", "counter_row", "task", "counters"]
+_PROFILE_NAMES = ["doc_id", "n", "node", "bits", "folded", "counter_row", "task", "counters"]
 
 
 def _node(tokens: np.ndarray) -> int:
@@ -154,18 +179,19 @@ def _profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokens = shingles(text, WORDS)
             if len(tokens):
                 np.add.at(counters, tokens & np.uint64(SKETCH - 1), 1)
-            rows.append(
-                (doc_id, len(tokens), _node(tokens), bitmap(tokens), None, None, None)
-                if len(tokens)
-                else (doc_id, 0, None, None, None, None, None)
-            )
+            if len(tokens):
+                bits = bitmap(tokens)
+                own = (doc_id, len(tokens), _node(tokens), bits, folded(bits))
+            else:
+                own = (doc_id, 0, None, None, None)
+            rows.append((*own, None, None, None))
         yield _batch(rows)
     task = TaskContext.get().partitionId()
     if counters.any():
         small = np.minimum(counters, 255).astype(np.uint8)
         yield _batch(
             [
-                (None, None, None, None, r, task, small[r * ROW : (r + 1) * ROW].tobytes())
+                (None, None, None, None, None, r, task, small[r * ROW : (r + 1) * ROW].tobytes())
                 for r in range(SKETCH // ROW)
             ]
         )
@@ -221,13 +247,23 @@ def frequent_tokens(profile: DataFrame) -> np.ndarray:
     return np.packbits(total > floor + 8 * floor**0.5 + FREQUENT, bitorder="little")
 
 
+INDEX = "key long, node long, level int"
+
+
+def _index_rows(key: np.ndarray, node: np.ndarray, level: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(key), pa.array(node), pa.array(level.astype(np.int32))],
+        names=["key", "node", "level"],
+    )
+
+
 def _indexing(frequent: np.ndarray):
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Keys of each distinct set; a task gives the keys of equal sets once."""
         flags = np.unpackbits(frequent, bitorder="little").astype(bool)
         seen: set[int] = set()
         for batch in batches:
-            keys, nodes = [], []
+            keys, nodes, levels = [], [], []
             for _, text in _texts(batch):
                 tokens = shingles(text, WORDS)
                 if not len(tokens):
@@ -236,16 +272,15 @@ def _indexing(frequent: np.ndarray):
                 if node in seen:
                     continue
                 seen.add(node)
-                own = prefix_keys(tokens, flags[tokens & np.uint64(SKETCH - 1)])
+                own, at = prefix_keys(tokens, flags[tokens & np.uint64(SKETCH - 1)])
                 keys.append(own)
+                levels.append(at)
                 nodes.append(np.full(len(own), node, dtype=np.int64))
             if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(keys).view(np.int64)),
-                        pa.array(np.concatenate(nodes)),
-                    ],
-                    names=["key", "node"],
+                yield _index_rows(
+                    np.concatenate(keys).view(np.int64),
+                    np.concatenate(nodes),
+                    np.concatenate(levels),
                 )
 
     return index
@@ -254,64 +289,94 @@ def _indexing(frequent: np.ndarray):
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by key and node, those of keys with two nodes or more, each once.
 
-    Runs in constant memory, however many rows a key has.
+    Runs in constant memory, however many rows a key has: only the last row of a batch is
+    kept, with whether it has been given out.
     """
-    last_key = last_node = None
-    given = False  # whether the last row has been given out
+    last: tuple[int, int, int] | None = None
+    given = False
     for batch in batches:
-        key = batch.column(0).to_numpy()
-        node = batch.column(1).to_numpy()
-        new = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))
-        new[0] = (key[0], node[0]) != (last_key, last_node) if len(key) else True
-        key, node = key[new], node[new]
-        if not len(key):
+        if not batch.num_rows:
             continue
+        key, node, level = (batch.column(i).to_numpy() for i in range(3))
+        if last is not None:
+            key, node = np.append(last[0], key), np.append(last[1], node)
+            level = np.append(last[2], level)
+        new = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))
+        key, node, level = key[new], node[new], level[new]
         same = key[1:] == key[:-1]
         keep = np.append(same, False) | np.append(False, same)
-        out_key, out_node = key[keep], node[keep]
-        if last_key is not None and key[0] == last_key:
-            if not keep[0]:
-                out_key, out_node = np.append(key[0], out_key), np.append(node[0], out_node)
-            if not given:
-                out_key = np.append(np.int64(last_key), out_key)
-                out_node = np.append(np.int64(last_node), out_node)
-            ends_given = True if len(key) == 1 else bool(keep[-1])
-        else:
-            ends_given = bool(keep[-1])
-        last_key, last_node, given = int(key[-1]), int(node[-1]), ends_given
-        if len(out_key):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out_key.astype(np.int64)), pa.array(out_node.astype(np.int64))],
-                names=["key", "node"],
-            )
+        ends_given = bool(keep[-1]) or (len(keep) == 1 and given)
+        if given:
+            keep[0] = False
+        last, given = (int(key[-1]), int(node[-1]), int(level[-1])), ends_given
+        if keep.any():
+            yield _index_rows(key[keep], node[keep], level[keep])
 
 
 # --- candidates and links ----------------------------------------------------------------
 
 
-def _buckets(documents: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """key, node and the bucket's size; of keys with the same nodes only one stays."""
-    index = documents.select("doc_id", "text").mapInArrow(
-        _indexing(frequent), "key long, node long"
-    )
+def _buckets(documents: DataFrame, nodes: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """key, node, n, level and the bucket's size.
+
+    Keys with the same nodes are one bucket, with each node's least level.
+    """
+    index = documents.select("doc_id", "text").mapInArrow(_indexing(frequent), INDEX)
     shared = write_through(
-        index.repartition("key")
-        .sortWithinPartitions("key", "node")
-        .mapInArrow(_shared, "key long, node long"),
+        index.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_shared, INDEX),
         "jaccard-index",
     )
-    kept = (
-        shared.groupBy("key")
-        .agg(
-            F.count("*").alias("size"),
-            F.bit_xor(F.xxhash64("node")).alias("x"),
-            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
-        )
-        .groupBy("size", "x", "y")
-        .agg(F.min("key").alias("key"))
-        .select("key", "size")
+    held = ["size", "x", "y"]
+    keys = shared.groupBy("key").agg(
+        F.count("*").alias("size"),
+        F.bit_xor(F.xxhash64("node")).alias("x"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
+    )
+    same = keys.join(keys.groupBy(*held).agg(F.min("key").alias("bucket")), held)
+    return write_through(
+        shared.join(same.select("key", "bucket", "size"), "key")
+        .groupBy(F.col("bucket").alias("key"), "node")
+        .agg(F.min("level").alias("level"), F.first("size").alias("size"))
+        .join(nodes.select("node", "n", "folded"), "node"),
+        "jaccard-buckets",
     )
-    return write_through(shared.join(kept, "key"), "jaccard-buckets")
+
+
+def _least_shared() -> Column:
+    """Tokens that a linking pair (nx, ny) must share at least."""
+    return F.ceil(PERCENT * (F.col("nx") + F.col("ny")) / (100 + PERCENT))
+
+
+def _near() -> Column:
+    """Folded bitmaps (fx, fy) that differ in no more bits than a linking pair may."""
+    apart = reduce(
+        Column.__add__,
+        [F.bit_count(F.get("fx", i).bitwiseXOR(F.get("fy", i))) for i in map(F.lit, range(FOLDED))],
+    )
+    return apart <= F.col("nx") + F.col("ny") - 2 * _least_shared()
+
+
+def _counts() -> Column:
+    """Whether a key lies in the prefixes that this pair of sizes needs, of both sets."""
+    return (F.col("lx") <= F.col("nx") - _least_shared() + 1) & (
+        F.col("ly") <= F.col("ny") - _least_shared() + 1
+    )
+
+
+def _side(rows: DataFrame, name: str, *more: str) -> DataFrame:
+    """One side of a join of bucket rows."""
+    return rows.select(
+        "key",
+        F.col("node").alias(name),
+        F.col("n").alias(f"n{name}"),
+        F.col("level").alias(f"l{name}"),
+        F.col("folded").alias(f"f{name}"),
+        *[F.col(m).alias(f"{m}_{name}") for m in more],
+    )
+
+
+def _ordered_pairs(joined: DataFrame) -> DataFrame:
+    return joined.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
 @F.pandas_udf(T.BooleanType())
@@ -383,41 +448,45 @@ def _own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _first_pairs(buckets: DataFrame) -> DataFrame:
-    """All pairs of small buckets, and each node of a large one with its least."""
-    small = buckets.where(F.col("size") <= FEW).select("key", "node")
-    left, right = small.toDF("key", "a"), small.toDF("key", "b")
-    pairs = left.join(right, "key").where("a < b").select("a", "b")
+    """All pairs of small buckets, and each node of a large one with its hubs."""
+    small = buckets.where(F.col("size") <= FEW)
+    pairs = (
+        _side(small, "x")
+        .join(_side(small, "y"), "key")
+        .where((F.col("x") < F.col("y")) & _counts() & _near())
+    )
     large = buckets.where(F.col("size") > FEW)
-    least = large.groupBy("key").agg(F.min("node").alias("a"))
-    stars = large.join(least, "key").select("a", F.col("node").alias("b")).where("a < b")
-    return pairs.union(stars)
+    weighed = large.join(large.groupBy("node").agg(F.count("*").alias("weight")), "node")
+    # The limit on the row number is applied in each task before the shuffle.
+    order = Window.partitionBy("key").orderBy(F.desc("weight"), "node")
+    hubs = weighed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= HUBS)
+    stars = (
+        _side(large, "x")
+        .join(_side(hubs, "y"), "key")
+        .where((F.col("x") != F.col("y")) & _near())
+    )
+    return _ordered_pairs(pairs).union(_ordered_pairs(stars))
 
 
 def _remaining_pairs(buckets: DataFrame, found: DataFrame) -> DataFrame:
     """In large buckets of several components: nodes outside the largest, with all others."""
     large = (
         buckets.where(F.col("size") > FEW)
-        .select("key", "node")
         .join(found, "node", "left")
-        .select("key", "node", F.coalesce("component", "node").alias("component"))
+        .withColumn("component", F.coalesce("component", "node"))
     )
     counted = large.groupBy("key", "component").count()
     largest = counted.groupBy("key").agg(
         F.max_by("component", F.struct("count", "component")).alias("main"),
         F.count("*").alias("components"),
     )
-    mixed_keys = largest.where("components > 1").select("key", "main")
-    rows = large.join(mixed_keys, "key")
-    left = rows.where("component != main").select(
-        "key", F.col("node").alias("x"), F.col("component").alias("cx")
-    )
-    right = rows.select("key", F.col("node").alias("y"), F.col("component").alias("cy"))
-    return (
-        left.join(right, "key")
-        .where("cx != cy")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
+    rows = large.join(largest.where("components > 1").select("key", "main"), "key")
+    joined = (
+        _side(rows.where("component != main"), "x", "component")
+        .join(_side(rows, "y", "component"), "key")
+        .where((F.col("component_x") != F.col("component_y")) & _counts() & _near())
     )
+    return _ordered_pairs(joined).distinct()
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -433,7 +502,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")
     )
     profile = write_through(source.mapInArrow(_profiled, PROFILE), "jaccard-profile")
-    rows = profile.where(F.col("n").isNotNull()).select("doc_id", "n", "node", "bits")
+    rows = profile.where(F.col("n").isNotNull()).select(
+        "doc_id", "n", "node", "bits", "folded"
+    )
     nodes = write_through(
         rows.where(F.col("n") > 0)
         .groupBy("node")
@@ -441,10 +512,11 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
             F.min("doc_id").alias("example"),
             F.first("n").alias("n"),
             F.first("bits").alias("bits"),
+            F.first("folded").alias("folded"),
         ),
         "jaccard-nodes",
     )
-    buckets = _buckets(source, frequent_tokens(profile))
+    buckets = _buckets(source, nodes, frequent_tokens(profile))
     first = write_through(_filtered(_first_pairs(buckets), nodes), "jaccard-pairs")
     links = _links(first, nodes, source)
     found = write_through(components(links), "jaccard-components")
