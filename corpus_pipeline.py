@@ -15,7 +15,7 @@ from parcelstar.llm.decontamination import decontaminate
 from parcelstar.llm.jaccard_join import keep_one_of_each
 from parcelstar.llm.packing import op7_best_fit_packing
 from parcelstar.llm.quality_rules import keep_quality
-from parcelstar.llm.workers import ship
+from parcelstar.llm.workers import prepare
 from parcelstar.session import write_through
 
 
@@ -26,7 +26,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    ship(spark)
+    prepare(spark)
     return keep_one_of_each(docs)
 
 
@@ -37,7 +37,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences, as few as possible, a row per piece."""
-    ship(spark)
+    prepare(spark)
     return op7_best_fit_packing(docs)
 
 

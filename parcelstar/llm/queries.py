@@ -18,11 +18,11 @@ from parcelstar.llm import (
     sharding,
     token_counts,
 )
-from parcelstar.llm.workers import ship
+from parcelstar.llm.workers import prepare
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

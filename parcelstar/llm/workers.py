@@ -1,4 +1,4 @@
-"""The package's code for Python workers on machines that do not have it."""
+"""What the Python workers of a session need: the package's code, and batches of bounded size."""
 
 from __future__ import annotations
 
@@ -8,12 +8,16 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+#: Bytes of rows sent to a worker at a time; the default is four times as much.
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+
 _shipped: set[str] = set()
 
 
-def ship(spark: SparkSession) -> None:
-    """Send the package to the executors, once per application."""
+def prepare(spark: SparkSession) -> None:
+    """Send the package to the executors, once per application, and bound the batches."""
     context = spark.sparkContext
+    spark.conf.set(*BATCH)
     if context.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parent.parent

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from parcelstar.llm.workers import ship
+from parcelstar.llm.workers import prepare
 
 SCHEMA = "doc_id long, text string"
 #: Names that operators use inside; a table may have them too.
@@ -13,7 +13,7 @@ CLASHING = [
 
 @pytest.fixture(autouse=True)
 def shipped(spark):
-    ship(spark)
+    prepare(spark)
 
 
 @pytest.fixture
