@@ -69,19 +69,14 @@ class EliasFano:
         """Place of the k-th one (or zero, if `flip`), from 0."""
         block = np.searchsorted(before, k, side="right") - 1
         left = k - before[block]
-        word = block * _BLOCK_WORDS
-        bits = self.highs[word]
-        bits = ~bits if flip else bits
-        count = np.bitwise_count(bits).astype(np.int64)
-        for _ in range(_BLOCK_WORDS - 1):
-            on = left >= count
-            if not on.any():
-                break
-            left = np.where(on, left - count, left)
-            word = word + on
-            moved = self.highs[word[on]]
-            bits[on] = ~moved if flip else moved
-            count = np.bitwise_count(bits).astype(np.int64)
+        words = self.highs[(block * _BLOCK_WORDS)[:, None] + np.arange(_BLOCK_WORDS)]
+        words = ~words if flip else words
+        counts = np.cumsum(np.bitwise_count(words), axis=1, dtype=np.int16)
+        skip = (counts <= left[:, None]).sum(axis=1)
+        rows = np.arange(len(k))
+        bits = words[rows, skip]
+        left = left - np.where(skip > 0, counts[rows, skip - 1], 0)
+        word = block * _BLOCK_WORDS + skip
         place = np.zeros(len(k), np.int64)
         for step in (32, 16, 8, 4, 2, 1):
             count = np.bitwise_count(bits & U((1 << step) - 1)).astype(np.int64)
@@ -91,6 +86,14 @@ class EliasFano:
             bits = np.where(on, bits >> U(step), bits)
         return word * 64 + place
 
+    def _run(self, place: np.ndarray) -> np.ndarray:
+        """How many ones follow one another from a place on; 64 stands for 64 or more."""
+        word, offset = place >> 6, (place & 63).astype(U)
+        after = self.highs[np.minimum(word + 1, len(self.highs) - 1)]
+        window = (self.highs[word] >> offset) | ((after << U(1)) << (U(63) - offset))
+        gap = ~window
+        return np.bitwise_count((gap & (~gap + U(1))) - U(1)).astype(np.int64)
+
     def get(self, i: np.ndarray) -> np.ndarray:
         """The values at places i."""
         i = np.asarray(i, dtype=np.int64)
@@ -102,10 +105,16 @@ class EliasFano:
         x = np.asarray(x, dtype=U)
         high = (x >> U(self.low_bits)).astype(np.int64)
         low = x & U((1 << self.low_bits) - 1)
-        start = np.where(
-            high > 0, self._select(np.maximum(high - 1, 0), self.zeros_before, True) - high + 1, 0
+        # The ones after the zero before are the values with these high bits.
+        zero = np.where(
+            high > 0, self._select(np.maximum(high - 1, 0), self.zeros_before, True), -1
         )
-        stop = self._select(high, self.zeros_before, True) - high
+        start = zero - high + 1
+        run = self._run(zero + 1)
+        stop = start + run
+        long = np.flatnonzero(run == 64)
+        if len(long):
+            stop[long] = self._select(high[long], self.zeros_before, True) - high[long]
         a, b = start, stop.copy()
         while True:
             on = np.flatnonzero(a < b)

@@ -16,12 +16,13 @@ first word of a text.
 from __future__ import annotations
 
 import math
-import os
 import tempfile
 import uuid
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -39,11 +40,13 @@ END = b"\n"  # no word holds white space
 DISCOUNT = 0.75
 FOLDS, HELD_OUT = 7, 2
 #: Words and tokens of one shard.
-WORDS_PER_SHARD, TOKENS_PER_SHARD = 1 << 19, 1 << 22
+WORDS_PER_SHARD, TOKENS_PER_SHARD = 1 << 19, 1 << 20
+#: First bits of a word's hash that tell the pieces in which tasks hand on their counts.
+PIECE_BITS = 10
 #: Words kept per Python worker; beyond, its cache starts anew.
 CACHE = 400_000
 #: Bytes of text scored, and pairs counted, at a time.
-BLOCK, PAIRS = 1 << 21, 1 << 22
+BLOCK, PAIRS = 1 << 22, 1 << 22
 #: Steps of a quantised log probability, two bytes.
 STEPS = 1 << 16
 
@@ -85,13 +88,13 @@ def _mapped(path: str) -> np.ndarray:
     """The words of a file, memory-mapped; one from afar gets a local copy without a name."""
     store, name = _opened(path)
     if isinstance(store, fs.LocalFileSystem):
-        return np.memmap(name, dtype=np.uint64, mode="r")
+        return np.memmap(name, dtype=np.uint64, mode="r").view(np.ndarray)
     with tempfile.NamedTemporaryFile() as local:
         with store.open_input_stream(name) as source:
             while block := source.read(1 << 24):
                 local.write(block)
         local.flush()
-        return np.memmap(local.name, dtype=np.uint64, mode="r")
+        return np.memmap(local.name, dtype=np.uint64, mode="r").view(np.ndarray)
 
 
 # --- level one: words --------------------------------------------------------------------
@@ -225,23 +228,25 @@ def _pair_shards(model: Model, codes: np.ndarray) -> np.ndarray:
     return np.searchsorted(np.array(model.bounds, dtype=np.uint64), codes, side="right")
 
 
-def find_pairs(model: Model, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """log10 p of pairs of known words, and which were seen."""
-    log_p, seen = np.zeros(len(first)), np.zeros(len(first), bool)
-    codes = first.astype(np.uint64) * np.uint64(model.n_words) + second.astype(np.uint64)
-    shards = _pair_shards(model, codes)
-    order = np.argsort(shards, kind="stable")
-    cuts = np.flatnonzero(np.diff(shards[order])) + 1
-    for own in np.split(order, cuts) if len(order) else []:
-        shard = int(shards[own[0]])
+def pair_codes(model: Model, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return first.astype(np.uint64) * np.uint64(model.n_words) + second.astype(np.uint64)
+
+
+def find_pairs(model: Model, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log10 p of pairs of known words by sorted codes, and which were seen."""
+    log_p, seen = np.zeros(len(codes)), np.zeros(len(codes), bool)
+    cuts = np.searchsorted(codes, np.array(model.bounds, dtype=np.uint64))
+    edges = np.concatenate([[0], cuts, [len(codes)]])
+    for shard in np.flatnonzero(np.diff(edges)).tolist():
         level = _pairs_or_none(model, shard)
         if level is None:
             continue
-        start = np.uint64(level.first * model.n_words)
-        stop = start + np.uint64(level.contexts * model.n_words)
-        own = own[(codes[own] >= start) & (codes[own] < stop)]
-        if len(own):
-            log_p[own], seen[own] = level.find(codes[own] - start)
+        start = level.first * model.n_words
+        a, b = np.searchsorted(
+            codes[edges[shard] : edges[shard + 1]],
+            np.array([start, start + level.contexts * model.n_words], dtype=np.uint64),
+        ) + edges[shard]
+        log_p[a:b], seen[a:b] = level.find(codes[a:b] - np.uint64(start))
     return log_p, seen
 
 
@@ -302,35 +307,71 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[list
             yield ids, words
 
 
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    return counts.astype(np.uint8 if counts.max() < 256 else np.uint64)
+
+
+def _widened(counts: bytes, n: int) -> np.ndarray:
+    """The counts of `n` entries, whose width follows from the length."""
+    kind = np.uint8 if len(counts) == n else np.uint64
+    return np.frombuffer(counts, dtype=kind).astype(np.int64)
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the totals of their counts."""
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[starts], np.add.reduceat(counts, starts)
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: dict[bytes, int] = {}
+    counts: Counter = Counter()
 
     def flushed() -> pa.RecordBatch:
         n = len(counts)
         hashes = np.fromiter(map(word_hash, counts), dtype=np.uint64, count=n)
-        out = pa.RecordBatch.from_arrays(
-            [pa.array(hashes.view(np.int64)), pa.array(list(counts.values()), type=pa.int64())],
-            names=["hash", "n"],
-        )
+        numbers = np.fromiter(counts.values(), dtype=np.int64, count=n)
         counts.clear()
-        return out
-
-    from collections import Counter
+        order = np.argsort(hashes)
+        hashes, numbers = hashes[order], numbers[order]
+        pieces = (hashes >> np.uint64(64 - PIECE_BITS)).astype(np.int32)
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(pieces)) + 1, [n]]).tolist()
+        spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(pieces[cuts[:-1]]),
+                pa.array([b - a for a, b in spans], type=pa.int64()),
+                pa.array([hashes[a:b].tobytes() for a, b in spans], type=pa.binary()),
+                pa.array([_narrow(numbers[a:b]).tobytes() for a, b in spans], type=pa.binary()),
+            ],
+            names=["piece", "entries", "hashes", "counts"],
+        )
 
     for ids, words in _blocks(batches):
-        block: Counter = Counter()
-        for doc_id, own in zip(ids, words, strict=True):
-            if in_training(doc_id):
-                block.update(own)
-                block[END] += 1
-        for word, n in block.items():
-            counts[word] = counts.get(word, 0) + n
+        texts = [own for i, own in zip(ids, words, strict=True) if in_training(i)]
+        if texts:
+            counts.update(chain.from_iterable(texts))
+            counts[END] += len(texts)
         if len(counts) > CACHE:
             yield flushed()
     if counts:
         yield flushed()
 
 
+class Places(dict):
+    """Place of each word met, a new one the next place; new ones are listed in order."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        place = self[word] = len(self)
+        self.new.append(word)
+        return place
+
+
 class Lexicon:
     """Words met by a worker, with id, count and what scoring needs, in arrays."""
 
@@ -339,28 +380,28 @@ class Lexicon:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[bytes, int] = {}
+        self.index = Places()
         self.ids = np.zeros(0, np.int64)
         self.log_p = np.zeros(0)
         self.log_rest = np.zeros(0)
-        self.places([[END]])
+        self.places([[]])
 
     def places(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Places of all words in the arrays, an end after each text; and text lengths."""
-        flat: list[bytes] = []
-        for words in texts:
-            flat += words
-            flat.append(END)
-        new = list(set(flat).difference(self.index))
-        if new:
-            self._learn(new)
         lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1
-        known = self.index.__getitem__
-        return np.fromiter(map(known, flat), dtype=np.int64, count=len(flat)), lengths
+        for words in texts:
+            words.append(END)
+        places = np.fromiter(
+            map(self.index.__getitem__, chain.from_iterable(texts)),
+            dtype=np.int64,
+            count=int(lengths.sum()),
+        )
+        if self.index.new:
+            self._learn(self.index.new)
+            self.index.new = []
+        return places, lengths
 
     def _learn(self, words: list[bytes]) -> None:
-        at = len(self.index)
-        self.index.update(zip(words, range(at, at + len(words)), strict=True))
         hashes = np.fromiter(map(word_hash, words), dtype=np.uint64, count=len(words))
         ids, counts = find_words(self.model, hashes)
         self.ids = np.concatenate([self.ids, ids])
@@ -410,7 +451,7 @@ def _counting(model: Model):
             places, lengths = own.places(texts)
             second = own.ids[places]
             first = own.ids[_previous(places, lengths, own.index[END])]
-            held.append(first.astype(np.uint64) * np.uint64(model.n_words) + second.astype(np.uint64))
+            held.append(pair_codes(model, first, second))
             size += len(second)
             if size >= PAIRS:
                 yield _rows_of_pairs(model, np.concatenate(held))
@@ -435,7 +476,7 @@ def _rows_of_pairs(model: Model, codes: np.ndarray) -> pa.RecordBatch:
                 int(shards[a]),
                 int(codes[a]),
                 steps.astype(np.uint32 if narrow else np.uint64).tobytes(),
-                n.astype(np.uint8 if n.max() < 256 else np.uint64).tobytes(),
+                _narrow(n).tobytes(),
             )
         )
     columns = list(zip(*rows, strict=True))
@@ -453,9 +494,7 @@ def _codes_of_row(first: int, steps: bytes, counts: bytes) -> tuple[np.ndarray,
     codes = np.empty(n, np.uint64)
     codes[0] = first
     codes[1:] = np.frombuffer(steps, dtype=width)
-    return np.cumsum(codes, dtype=np.uint64), np.frombuffer(
-        counts, dtype=np.uint8 if len(counts) == n else np.uint64
-    ).astype(np.int64)
+    return np.cumsum(codes, dtype=np.uint64), _widened(counts, n)
 
 
 def _building(model: Model):
@@ -465,18 +504,14 @@ def _building(model: Model):
             _codes_of_row(*row)
             for row in zip(frame["first"], frame["steps"], frame["counts"], strict=True)
         ]
-        codes = np.concatenate([p[0] for p in parts])
-        counts = np.concatenate([p[1] for p in parts])
-        order = np.argsort(codes, kind="stable")
-        codes, counts = codes[order], counts[order]
-        starts = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
-        codes, counts = codes[starts], np.add.reduceat(counts, starts)
+        codes, counts = _summed(*(np.concatenate(side) for side in zip(*parts, strict=True)))
         first = (codes // np.uint64(model.n_words)).astype(np.int64)
         second = (codes % np.uint64(model.n_words)).astype(np.int64)
         contexts, at = np.unique(first, return_inverse=True)
         here = np.bincount(at)
         of_context = counts_of_ids(model, contexts)
-        of_word = counts_of_ids(model, second)
+        distinct, place = np.unique(second, return_inverse=True)
+        of_word = counts_of_ids(model, distinct)[place]
         n_after = here.copy()
         for i in (0, len(contexts) - 1):  # only these can go on in other shards
             n_after[i] = model.split.get(int(contexts[i]), int(here[i]))
@@ -518,40 +553,50 @@ def _source(documents: DataFrame) -> DataFrame:
 
 def _train_words(documents: DataFrame, path: str) -> tuple[Model, list[tuple[int, int]]]:
     """Level one; also the heavy words (id, count), which fill shards of pairs alone."""
-    counts = write_through(
-        _source(documents)
-        .mapInArrow(_word_counts, "hash long, n long")
-        .groupBy("hash")
-        .agg(F.sum("n").alias("n")),
+    pieces = write_through(
+        _source(documents).mapInArrow(
+            _word_counts, "piece int, entries long, hashes binary, counts binary"
+        ),
         "words",
     )
-    n_words, n_tokens = counts.agg(F.count("*"), F.sum("n")).collect()[0]
-    bits = max(0, math.ceil(math.log2(max(1, n_words / WORDS_PER_SHARD))))
-    shard = F.shiftrightunsigned("hash", 64 - bits).cast("int") if bits else F.lit(0)
+    entries = pieces.agg(F.sum("entries")).collect()[0][0] or 0
+    # A word comes as an entry from several tasks.
+    wanted = max(1, entries / (4 * WORDS_PER_SHARD))
+    bits = min(PIECE_BITS, max(0, math.ceil(math.log2(wanted))))
+    rest = 64 - bits
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
-        rest = 64 - bits
-        hashes = frame["hash"].to_numpy().view(np.uint64) & np.uint64((1 << rest) - 1)
-        order = np.argsort(hashes)
-        number = int(frame["shard"].iloc[0])
-        Words.write(_word_path(path, number), hashes[order], frame["n"].to_numpy()[order], 1 << rest)
-        return pd.DataFrame({"shard": [number], "n": [len(frame)]})
-
-    sizes = {
-        r["shard"]: r["n"]
-        for r in counts.withColumn("shard", shard)
-        .groupBy("shard")
-        .applyInPandas(build, "shard int, n long")
-        .collect()
-    }
+        hashes = np.concatenate([np.frombuffer(h, dtype=np.uint64) for h in frame["hashes"]])
+        counts = np.concatenate(
+            [_widened(c, n) for c, n in zip(frame["counts"], frame["entries"], strict=True)]
+        )
+        hashes, counts = _summed(hashes, counts)
+        number = int(frame["piece"].iloc[0]) >> (PIECE_BITS - bits)
+        own = hashes & np.uint64((1 << rest) - 1)
+        Words.write(_word_path(path, number), own, counts, 1 << rest)
+        heavy = counts > TOKENS_PER_SHARD / 2
+        return pd.DataFrame(
+            {
+                "shard": [number],
+                "n": [len(hashes)],
+                "total": [int(counts.sum())],
+                "heavy": [hashes[heavy].view(np.int64)],
+            }
+        )
+
+    shards = (
+        pieces.groupBy(F.shiftright("piece", PIECE_BITS - bits))
+        .applyInPandas(build, "shard int, n long, total long, heavy array<long>")
+        .collect()  # a row per shard, with less than two heavy words for each shard of pairs
+    )
+    sizes = {r["shard"]: r["n"] for r in shards}
     bases = [0]
     for s in range(1 << bits):
         bases.append(bases[-1] + sizes.get(s, 0))
-    model = Model(path, bits, bases, n_words or 0, n_tokens or 0, -1, [], {})
-    if not n_words:
+    model = Model(path, bits, bases, bases[-1], sum(r["total"] for r in shards), -1, [], {})
+    if not model.n_words:
         return model, []
-    rows = counts.where(F.col("n") > TOKENS_PER_SHARD / 2).collect()  # two per shard at most
-    heavy = np.array([r["hash"] for r in rows], dtype=np.int64).view(np.uint64)
+    heavy = np.array([h for r in shards for h in r["heavy"]], dtype=np.int64).view(np.uint64)
     ids, of_ids = find_words(model, heavy)
     end = find_words(model, np.array([word_hash(END)], dtype=np.uint64))[0]
     return model._replace(end_id=int(end[0])), list(zip(ids.tolist(), of_ids.tolist(), strict=True))
@@ -595,7 +640,14 @@ def train(documents: DataFrame) -> Model:
         "pairs",
     )
     if split:
-        rows = pairs.groupBy("shard").applyInPandas(_outer(model), "context long, n long")
+        first = np.array(sorted(split), dtype=np.uint64) * np.uint64(model.n_words)
+        spans = zip(
+            _pair_shards(model, first),
+            _pair_shards(model, first + np.uint64(model.n_words - 1)),
+            strict=True,
+        )
+        shards = sorted({s for a, b in spans for s in range(int(a), int(b) + 1)})
+        rows = pairs.where(F.col("shard").isin(shards)).groupBy("shard").applyInPandas(_outer(model), "context long, n long")
         totals = rows.groupBy("context").agg(F.sum("n").alias("n")).collect()
         model = model._replace(split={r["context"]: r["n"] for r in totals})
     pairs.groupBy("shard").applyInPandas(_building(model), "shard int, n long").agg(
@@ -624,7 +676,11 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
             log_p = own.log_rest[before] + base
             known = own.ids[places] >= 0
             both = np.flatnonzero(known & (own.ids[before] >= 0))
-            found, seen = find_pairs(model, own.ids[before[both]], own.ids[places[both]])
+            # Each pair is looked up once, in order: neighbours lie on the same pages.
+            codes = pair_codes(model, own.ids[before[both]], own.ids[places[both]])
+            codes, back = np.unique(codes, return_inverse=True)
+            found, seen = find_pairs(model, codes)
+            found, seen = found[back], seen[back]
             log_p[both[seen]] = found[seen]
             starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
             yield pa.RecordBatch.from_arrays(
