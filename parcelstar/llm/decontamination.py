@@ -22,6 +22,7 @@ from parcelstar.llm.expressions import (
     window_minima,
     words_between,
 )
+from parcelstar.llm.membership import split_by_membership
 from parcelstar.session import write_through
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -340,18 +341,17 @@ def is_contaminated(n_hit: Column, n_words: Column) -> Column:
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without those of which a twentieth or more is benchmark text."""
-    bad = (
+    bad = write_through(
         contamination(documents, benchmark)
         .where(is_contaminated(F.col("n_hit"), F.col("n_words")))
         .select(F.col("doc_id").alias("_bad_doc"), F.col("text_key").alias("_bad_text"))
-        .distinct()
-    )
-    return documents.join(
-        bad,
-        documents["doc_id"].eqNullSafe(bad["_bad_doc"])
-        & (F.xxhash64(documents["text"]) == bad["_bad_text"]),
-        "left_anti",
+        .distinct(),
+        "contaminated",
     )
+    maybe, clean = split_by_membership(documents, "doc_id", bad, "_bad_doc")
+    own = maybe["doc_id"].eqNullSafe(bad["_bad_doc"])
+    same = F.xxhash64(maybe["text"]) == bad["_bad_text"]
+    return clean.union(maybe.join(bad, own & same, "left_anti"))
 
 
 def op1_decontamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelstar.llm.components import components
+from parcelstar.llm.membership import split_by_membership
 from parcelstar.llm.shingles import mixed, shingles
 from parcelstar.session import write_through
 
@@ -424,9 +425,10 @@ def _links(pairs: DataFrame, nodes: DataFrame, documents: DataFrame) -> DataFram
         .distinct()
         .join(nodes.select("node", "example"), "node")
     )
+    wanted = write_through(wanted, "jaccard-wanted")
+    near, _ = split_by_membership(documents.select("doc_id", "text"), "doc_id", wanted, "example")
     texts = write_through(
-        documents.select("doc_id", "text")
-        .join(wanted, F.col("doc_id").eqNullSafe(F.col("example")))
+        near.join(wanted, F.col("doc_id").eqNullSafe(F.col("example")))
         .select("node", "text"),
         "jaccard-texts",
     )
@@ -545,13 +547,15 @@ def keep_one_of_each(documents: DataFrame) -> DataFrame:
 
     Rows that repeat an id are one document and stay or go together.
     """
-    gone = (
+    gone = write_through(
         near_duplicates(documents)
         .where(F.col("doc_id") != F.col("component_id"))
         .select(F.col("doc_id").alias("_gone"))
-        .distinct()
+        .distinct(),
+        "jaccard-gone",
     )
-    return documents.join(gone, documents["doc_id"] == gone["_gone"], "left_anti")
+    maybe, kept = split_by_membership(documents, "doc_id", gone, "_gone")
+    return kept.union(maybe.join(gone, maybe["doc_id"] == gone["_gone"], "left_anti"))
 
 
 def op4_ngram_jaccard_join(documents: DataFrame) -> DataFrame:
