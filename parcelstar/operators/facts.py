@@ -11,6 +11,7 @@ from parcelstar.functions.property_types import type_from_bedrooms, type_from_la
 from parcelstar.operators.joins import lookup_join
 from parcelstar.schemas import FACT_LISTINGS, conform
 
+# The columns of the staged facts, and the API fields they stand for.
 AUDIT_COLUMNS = ["source", "batch_id", "ingested_at"]
 
 BULK_FACT_COLUMNS = [

@@ -71,21 +71,25 @@ def lookup_join(
     on: list[str],
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Join a large table with a lookup on equal columns (inner, left, semi or anti).
 
     A lookup of measured small size is broadcast, so the large side is not shuffled
-    and hot keys do not matter; a larger one goes through the salted join.
+    and hot keys do not matter; a larger one goes through the salted join. `fits` is the
+    answer for a lookup that has been measured before.
     """
-    if fits_broadcast(lookup, max_rows):
+    if fits_broadcast(lookup, max_rows) if fits is None else fits:
         return large.join(F.broadcast(lookup), on, how)
     return salted_join(large, lookup, on, how)
 
 
 def batch_guard(new: DataFrame, existing: DataFrame) -> DataFrame:
-    """Rows of `new` whose batch_id is not in `existing` yet; a NULL batch passes."""
-    loaded = existing.select("batch_id").distinct()
-    return lookup_join(new, loaded, ["batch_id"], "left_anti")
+    """Rows of `new` whose batch_id is not in `existing` yet; a NULL batch passes.
+
+    There are far fewer batches than rows, so the plan is left to Catalyst.
+    """
+    return new.join(existing.select("batch_id").distinct(), "batch_id", "left_anti")
 
 
 def location_bridge(staged_locations: DataFrame, dim_location: DataFrame) -> DataFrame:
@@ -100,16 +104,18 @@ def cross_bridge(
     bridge: DataFrame,
     scope_by_source: bool = True,
     seen: Observation | None = None,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Replace a staged location_id by the warehouse one.
 
     Both feeds number their locations from 1, so the staged id is only unique together
     with `source`. `scope_by_source=False` matches on the id alone, which repeats a fact
     for every feed that uses its id. Facts without a location in the bridge are dropped;
-    `seen` observes how many were kept and dropped, and a batch id.
+    `seen` observes how many were kept and dropped, and a batch id; `fits` tells whether
+    the bridge may be broadcast, if that has been measured.
     """
     key = ["source", "location_id"] if scope_by_source else ["location_id"]
-    joined = lookup_join(fact, bridge.select(*key, "_warehouse_id"), key, "left")
+    joined = lookup_join(fact, bridge.select(*key, "_warehouse_id"), key, "left", fits=fits)
     located = F.col("_warehouse_id").isNotNull()
     if seen is not None:
         joined = joined.observe(

@@ -12,6 +12,7 @@ from parcelstar.constants import LOCATION_KEY
 from parcelstar.operators.joins import duplicate_keys
 from parcelstar.schemas import FACT_LISTINGS, TEXT_LIMITS
 
+# The names of the checks.
 CHECK_SQL = {
     "null_price_fact_listings":
         "SELECT count_if(price IS NULL) FROM fact_listings",

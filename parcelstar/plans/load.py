@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from parcelstar import schemas
 from parcelstar.constants import API_SOURCE, BULK_SOURCE
 from parcelstar.operators.dimensions import new_locations
-from parcelstar.operators.joins import batch_guard, cross_bridge, location_bridge
+from parcelstar.operators.joins import (
+    batch_guard,
+    cross_bridge,
+    fits_broadcast,
+    location_bridge,
+)
 from parcelstar.operators.ordering import numbered
 from parcelstar.operators.quality import quality_checks
 from parcelstar.runs import new_batch_id, today, utc_now
@@ -84,6 +89,7 @@ def append_fact(
     bridge: DataFrame,
     start: int,
     scope_by_source: bool = True,
+    fits: bool | None = None,
 ) -> dict:
     """Append the staged rows of batches not loaded yet, with warehouse location ids.
 
@@ -94,7 +100,7 @@ def append_fact(
     new = batch_guard(staged_fact, warehouse.loaded_batches(table))
     warehouse.discard_unfinished(table, new)
     seen = Observation()
-    located = cross_bridge(new, bridge, scope_by_source, seen)
+    located = cross_bridge(new, bridge, scope_by_source, seen, fits)
     rows = numbered(located, id_column, start + 1)
     warehouse.append(table, rows)
     figures = seen.get
@@ -185,12 +191,13 @@ def load(
         bridge = write_through(
             location_bridge(locations, warehouse.table("dim_location")), "bridge"
         )
+        fits = fits_broadcast(bridge)
         for source, table, schema, id_column in FACT_LOADS:
             fact = read_staged(spark, staged(staging_root, source, execution_date, table), schema)
             if table not in top_ids:
                 top_ids[table] = last_id(warehouse, table, id_column)
             figures = append_fact(
-                warehouse, table, id_column, fact, bridge, top_ids[table], scope_by_source
+                warehouse, table, id_column, fact, bridge, top_ids[table], scope_by_source, fits
             )
             top_ids[table] = figures["max_id"]
             entries.append({"source": source, "table_name": table, **figures})

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from parcelstar import schemas
 from parcelstar.operators.dimensions import dim_property_type
 from parcelstar.schemas import conform, literal_frame
-from parcelstar.sources.paths import drop_folders, path_exists
+from parcelstar.sources.paths import drop_folders, partition_values, path_exists
 
 SCHEMAS = {
     "dim_location": schemas.DIM_LOCATION,
@@ -60,9 +60,12 @@ class Warehouse:
 
         `new` holds the rows of batches without a SUCCESS row, as the batch guard gives them.
         """
+        folders = f"{self.path(name)}/source=*"
+        if not partition_values(self.spark, folders, "batch_id"):
+            return []
         rows = new.select("batch_id").distinct().collect()  # a staged table's batches
         batches = {r[0] for r in rows if r[0] is not None}
-        return drop_folders(self.spark, f"{self.path(name)}/source=*", "batch_id", batches)
+        return drop_folders(self.spark, folders, "batch_id", batches)
 
     def append(self, name: str, df: DataFrame) -> None:
         rows = conform(df, SCHEMAS[name])
