@@ -38,7 +38,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences, as few as possible, a row per piece."""
     prepare(spark)
-    return op7_best_fit_packing(docs)
+    # The workers also hold what the stages before left in memory: a smaller cache.
+    return op7_best_fit_packing(docs, cache=100_000)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

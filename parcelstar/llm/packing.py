@@ -162,8 +162,9 @@ class Encoder(dict):
     the older to the younger one.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, size: int = CACHE) -> None:
         super().__init__()
+        self.size = size
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
@@ -201,7 +202,7 @@ class Encoder(dict):
         return before + self._merged(symbols) + after
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self) > CACHE:
+        if len(self) > self.size:
             self.older = dict(self)
             self.clear()
         known = self.__getitem__
@@ -229,22 +230,29 @@ def _symbols(word: bytes) -> str:
     return text.lower().encode().decode("latin-1").translate(_BYTE_SYMBOLS)
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+@lru_cache(maxsize=1)
+def encoder(path: str, size: int = CACHE) -> Encoder:
+    return Encoder(path, size)
 
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def pieces_of(
-    documents: DataFrame, tokenizer: str = NAME, capacity: int = CAPACITY, end: int = END_ID
+    documents: DataFrame,
+    tokenizer: str = NAME,
+    capacity: int = CAPACITY,
+    end: int = END_ID,
+    cache: int = CACHE,
 ) -> DataFrame:
-    """Pieces of every document: its ids and the end id, cut after each `capacity` ids."""
+    """Pieces of every document: its ids and the end id, cut after each `capacity` ids.
+
+    `cache` bounds the pieces of text whose ids a worker keeps; it trades memory for time.
+    """
     tail = np.array([end], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer_path(tokenizer))
+        own = encoder(tokenizer_path(tokenizer), cache)
         width = 4 * capacity
 
         def rows(ids: list, texts: list[bytes]) -> pa.RecordBatch:
@@ -317,10 +325,10 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
-def op7_best_fit_packing(documents: DataFrame) -> DataFrame:
+def op7_best_fit_packing(documents: DataFrame, cache: int = CACHE) -> DataFrame:
     """A row per piece of every document row.
 
     Null and empty texts are one piece, the end id alone. Rows without id and repeated rows
     are packed one by one. An empty table has no pieces.
     """
-    return place(write_through(pieces_of(documents), "pieces"))
+    return place(write_through(pieces_of(documents, cache=cache), "pieces"))

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Words kept per Python worker; beyond, the cache starts anew.
-CACHE = 200_000
+CACHE = 100_000
 _ODD, _MULTIPLY = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _HIGH, _LOW = np.uint64(31), np.uint64(27)
 
