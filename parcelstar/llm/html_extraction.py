@@ -1,10 +1,11 @@
 """Main text of web pages by two passes of block rules.
 
-A page is cut into blocks at block-level tags. The first pass labels a block good or bad:
-by the elements it lies in, where these say what it is (an article, a menu, an advert, a
-form), and else by its length, its share of stop words and its share of linked text. Short
-blocks and those near the thresholds stay undecided; in the second pass they take the label
-of the nearest decided neighbours.
+A page is cut into blocks at block-level tags; what lies in a menu, an advert or a form goes.
+The first pass labels every other block, in an article or not, by its length, its share of
+stop words and its share of linked text. Short blocks and those near the thresholds stay
+undecided; in the second pass they take the label of the nearest decided neighbours. An
+article is evidence for its blocks: they may hold more links, few stop words leave them
+undecided, and they look for neighbours in their article only, which itself counts as good.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ GOOD, BAD, NEAR, SHORT = "good", "bad", "near", "short"
 SHORT_CHARS, LONG_CHARS = 70, 200
 STOP_LOW, STOP_HIGH = 0.05, 0.10
 LINK_SHARE = 0.3
+#: The share of linked characters that makes a block bad inside an article.
+ARTICLE_LINK_SHARE = 0.5
 
 #: Frequent words of the four languages of the corpus.
 STOP_WORDS = frozenset(
@@ -94,21 +97,26 @@ class Block(NamedTuple):
     text: str
     linked: int  # characters inside links
     label: str | None  # what the elements around it say
+    article: int  # where the innermost article around it begins, 0 if there is none
 
 
 class Element(NamedTuple):
     tag: str
     label: str | None
+    article: int
 
 
-def _label(tag: str, attrs: str, inside: str | None) -> str | None:
-    """What an element says of its content; boilerplate stays so all the way down."""
+def _label(tag: str, attrs: str, inside: str | None) -> tuple[str | None, bool]:
+    """What an element says of its content, and whether it marks an article.
+
+    Boilerplate stays so all the way down.
+    """
     if inside == BAD or tag in AROUND or (tag == "header" and inside != GOOD):
-        return BAD
+        return BAD, False
     names: set[str] = set()
     if attrs:
         if _HIDDEN.search(attrs):
-            return BAD
+            return BAD, False
         for kind, *values in _NAMED.findall(attrs):
             value = "".join(values)
             if kind.lower() == "itemprop" and value.lower() == "articlebody":
@@ -116,12 +124,12 @@ def _label(tag: str, attrs: str, inside: str | None) -> str | None:
             elif kind.lower() != "itemprop":
                 names |= {p.lower() for p in _NAME_PARTS.findall(value)}
     if tag not in ("body", "html") and names & NAMES:
-        return BAD
+        return BAD, False
     if tag in ARTICLE or names & BODY_NAMES:
-        return GOOD
+        return GOOD, True
     if inside != GOOD and names & OUTSIDE_NAMES:
-        return BAD
-    return inside
+        return BAD, False
+    return inside, False
 
 
 def blocks(page: str) -> list[Block]:
@@ -136,11 +144,14 @@ def blocks(page: str) -> list[Block]:
     def inside() -> str | None:
         return stack[-1].label if stack else None
 
+    def article() -> int:
+        return stack[-1].article if stack else 0
+
     def close_block() -> None:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            found.append(Block(text, min(linked, len(text)), inside()))
+            found.append(Block(text, min(linked, len(text)), inside(), article()))
         parts.clear()
         linked = 0
 
@@ -200,16 +211,17 @@ def blocks(page: str) -> list[Block]:
             elif tag in INLINE:
                 if tag == "a":
                     links += 1
-                label = _label(tag, attrs, inside()) if attrs else inside()
+                label, marks = _label(tag, attrs, inside()) if attrs else (inside(), False)
                 if label != inside():
-                    stack.append(Element(tag, label))
+                    stack.append(Element(tag, label, at if marks else article()))
             else:
                 close_block()
                 links = 0  # a link left open ends with its block
                 close("p", "div section article main td th li body table ul ol dl blockquote")
                 if tag in SIBLINGS:
                     close(tag, SIBLINGS[tag])
-                stack.append(Element(tag, _label(tag, attrs, inside())))
+                label, marks = _label(tag, attrs, inside())
+                stack.append(Element(tag, label, at if marks else article()))
     add(page[at:])
     close_block()
     return found
@@ -217,18 +229,20 @@ def blocks(page: str) -> list[Block]:
 
 def first_pass(block: Block) -> str:
     """good, bad, or undecided: near (long enough, few stop words) or short."""
-    if block.label:
-        return block.label
-    chars = len(block.text)
-    if block.linked > LINK_SHARE * chars or "©" in block.text:
+    if block.label == BAD:
+        return BAD
+    chars, article = len(block.text), block.label == GOOD
+    if block.linked > (ARTICLE_LINK_SHARE if article else LINK_SHARE) * chars:
+        return BAD
+    if "©" in block.text and not article:
         return BAD
     if chars < SHORT_CHARS:
-        return BAD if block.linked else SHORT
+        return BAD if block.linked and not article else SHORT
     words = [w.strip(".,;:!?\"'()[]").lower() for w in block.text.split()]
     stops = sum(w in STOP_WORDS for w in words) / len(words)
     if stops >= STOP_HIGH:
         return GOOD if chars > LONG_CHARS else NEAR
-    return NEAR if stops >= STOP_LOW else BAD
+    return NEAR if stops >= STOP_LOW or article else BAD
 
 
 def second_pass(labels: list[str]) -> list[bool]:
@@ -264,14 +278,29 @@ def second_pass(labels: list[str]) -> list[bool]:
     return kept
 
 
+def keep(found: list[Block]) -> list[bool]:
+    """Both passes over the blocks of a page, first within each article, then around them."""
+    labels = [first_pass(b) for b in found]
+    articles: dict[int, list[int]] = {}
+    for i, block in enumerate(found):
+        if block.label == GOOD:
+            articles.setdefault(block.article, []).append(i)
+    for own in articles.values():
+        # Between good and bad, the article speaks for its blocks, short ones too.
+        decided = second_pass([NEAR if labels[i] == SHORT else labels[i] for i in own])
+        for i, good in zip(own, decided, strict=True):
+            labels[i] = GOOD if good else BAD
+    kept = second_pass(labels)
+    # Where the text of no block is good, the elements alone decide.
+    return kept if any(kept) else [b.label == GOOD for b in found]
+
+
 def main_text(page: str | None) -> str:
-    """The good blocks, a line each. Where a page marks its article, others are bad."""
+    """The good blocks, a line each."""
     if not page:
         return ""
     found = blocks(page)
-    marked = any(b.label == GOOD for b in found)
-    labels = [BAD if marked and b.label is None else first_pass(b) for b in found]
-    return "\n".join(b.text for b, keep in zip(found, second_pass(labels), strict=True) if keep)
+    return "\n".join(b.text for b, good in zip(found, keep(found), strict=True) if good)
 
 
 def extract(pages: DataFrame, column: str = "html", into: str = "text") -> DataFrame:

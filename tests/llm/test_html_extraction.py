@@ -30,6 +30,26 @@ def test_blocks_without_marked_article():
     assert main_text(AROUND.format(body)) == f"A heading\n{LONG}\nShort.\n{LONG}"
 
 
+def test_prose_beside_marked_teasers_is_kept():
+    cards = "".join(f"<article><h3><a href={i}>Story number {i}</a></h3><p>Read on.</p></article>" for i in range(3))
+    body = f"<div><h1>A title</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p></div>"
+    assert main_text(AROUND.format(body + cards)) == f"A title\n{LONG}\nShort.\n{LONG}"
+    assert main_text(AROUND.format(f"<div id=main>{cards}</div><p>{LONG}</p><p>Short.</p>")) == f"{LONG}\nShort."
+
+
+def test_both_passes_run_inside_articles():
+    links = "".join(f"<li><a href={i}>A story of the day, number {i}</a>" for i in range(3))
+    table = "<p>" + "x1 = 0x2f; " * 20 + "</p>"
+    article = f"<article><h1>T</h1><p>{LONG}</p>{table}<p>See <a>it</a> there.</p><h2>More</h2><p>On:</p><ul>{links}</ul></article>"
+    shown = f"T\n{LONG}\n{('x1 = 0x2f; ' * 20).strip()}\nSee it there."
+    assert main_text(AROUND.format(article)) == shown
+
+
+def test_an_article_of_links_alone_is_kept():
+    page = "<article><h1>Links</h1><p><a>One story</a></p><p><a>Two</a></p></article>"
+    assert main_text(AROUND.format(page)) == "Links\nOne story\nTwo"
+
+
 def test_link_lists_go():
     links = "<div>" + "".join(f"<p><a href={i}>A story of the day, number {i}</a></p>" for i in range(5)) + "</div>"
     assert main_text(f"<body><p>{LONG}</p>{links}</body>") == LONG
