@@ -6,6 +6,11 @@ words in common gives a hit. Hits of one template near one diagonal are aligned
 text around them, word by word within a band of that diagonal, which reports the words that
 match, the share of the template they cover, and where they lie.
 
+Templates of like wording, as of two versions, name word runs that tell them apart, of which
+a match must have all. Each place of such a run is a candidate, so these templates need no
+fingerprints, and short ones are found by whatever words they share besides. Of matches that
+lie on the same words the best is reported.
+
 The index holds the templates alone, a set fixed by the caller; its size is checked before
 it is sent to the tasks. Each document is scanned where it is read.
 """
@@ -13,7 +18,7 @@ it is sent to the tasks. Each document is scanned where it is read.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -21,12 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelstar.llm.license_texts import TEMPLATES
+from parcelstar.llm.license_texts import REQUIRED, SIDE, TEMPLATES
 from parcelstar.llm.shingles import mixed
 
 K, WINDOW = 3, 3
 #: Least share of a template's words that a reported alignment matches.
 COVERAGE = 0.75
+#: Templates up to this many words are indexed by every k-gram.
+SHORT_WORDS = 16
 #: Words that may be missing or extra: this many and a tenth of the template.
 BAND = 4
 #: Score of a match, a mismatch and a skipped word.
@@ -72,58 +79,123 @@ def winnowed(hashes: np.ndarray, window: int) -> np.ndarray:
 class Index:
     """Templates as word ids, and the inverted index of their fingerprints."""
 
-    def __init__(self, templates: dict[str, str]) -> None:
+    def __init__(
+        self, templates: dict[str, str], required: dict[str, list[list[str]]] | None = None
+    ) -> None:
+        required = REQUIRED if required is None else required
         words = {name: license_words(text.encode()) for name, text in templates.items()}
         total = sum(map(len, words.values()))
         if total > MOST_WORDS:
             raise ValueError(f"templates of {total} words; scan for {MOST_WORDS} at a time")
         self.names = [name for name in sorted(words) if len(words[name]) >= K]
-        vocabulary = sorted({w for own in words.values() for w in own})
+        runs = {
+            name: [[run.encode().split() for run in group] for group in required.get(name, [])]
+            for name in self.names
+        }
+        vocabulary = sorted(
+            {w for own in words.values() for w in own}
+            | {w for own in runs.values() for group in own for run in group for w in run}
+        )
         self.ids = {w: i + 1 for i, w in enumerate(vocabulary)}  # 0 for all other words
         self.templates = [
             np.array([self.ids[w] for w in words[name]], dtype=np.int64) for name in self.names
         ]
-        entries = []
+        #: By template: groups of runs, each as text of word ids.
+        self.runs = [
+            [[_shown(self.ids[w] for w in run) for run in group] for group in runs[name]]
+            for name in self.names
+        ]
+        self._index_runs([runs[name] for name in self.names])
+        entries: list[tuple[int, int, int]] = []
+        short: list[tuple[int, int, int]] = []
         for number, template in enumerate(self.templates):
+            if self.runs[number]:
+                continue
             grams = _grams(template, K)
-            entries += [(int(grams[p]), number, int(p)) for p in winnowed(grams, WINDOW)]
-        entries.sort()
-        self.hashes = np.array([e[0] for e in entries], dtype=np.uint64)
-        self.places = [(e[1], e[2]) for e in entries]
+            if len(template) <= SHORT_WORDS:
+                short += [(int(g), number, p) for p, g in enumerate(grams)]
+            else:
+                entries += [(int(grams[p]), number, int(p)) for p in winnowed(grams, WINDOW)]
+        self.winnowed = _sorted(entries)
+        self.short = _sorted(short)
+
+    def _index_runs(self, runs: list[list[list[list[bytes]]]]) -> None:
+        """Runs of each first group by their rarest word, with their places in the template."""
+        count = np.bincount(np.concatenate([*self.templates, [0]]), minlength=len(self.ids) + 1)
+        self.anchors: dict[int, list[tuple[int, int, list[int], list[int]]]] = defaultdict(list)
+        for number, groups in enumerate(runs):
+            places: list[int] = []
+            for run in groups[0] if groups else []:
+                own = [self.ids[w] for w in run]
+                template = self.templates[number].tolist()
+                here = [
+                    p for p in range(len(template)) if template[p : p + len(own)] == own
+                ]
+                places = places or here
+                offset = min(range(len(own)), key=lambda i: count[own[i]] or len(self.ids))
+                self.anchors[own[offset]].append((number, offset, own, here or places or [0]))
+        self.is_anchor = np.zeros(len(self.ids) + 1, bool)
+        self.is_anchor[list(self.anchors)] = True
 
     def hits(self, words: np.ndarray) -> dict[int, list[tuple[int, int]]]:
         """By template: (place in the document, place in the template), sorted."""
-        found: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        if len(words) < K:
-            return found
-        grams = _grams(words, K)
-        places = winnowed(grams, WINDOW)
-        start = np.searchsorted(self.hashes, grams[places], side="left")
-        stop = np.searchsorted(self.hashes, grams[places], side="right")
-        for i in np.flatnonzero(stop > start).tolist():
-            for number, place in self.places[start[i] : stop[i]]:
-                found[number].append((int(places[i]), place))
-        return found
+        found: dict[int, set[tuple[int, int]]] = defaultdict(set)
+        for at in np.flatnonzero(self.is_anchor[words]).tolist():
+            for number, offset, run, places in self.anchors[int(words[at])]:
+                first = at - offset
+                if first >= 0 and words[first : first + len(run)].tolist() == run:
+                    found[number].update((first, place) for place in places)
+        if len(words) >= K:
+            grams = _grams(words, K)
+            every = np.arange(len(grams))
+            for (hashes, entries), own in (
+                (self.winnowed, winnowed(grams, WINDOW)),
+                (self.short, every),
+            ):
+                if not len(hashes):
+                    continue
+                start = np.searchsorted(hashes, grams[own], side="left")
+                stop = np.searchsorted(hashes, grams[own], side="right")
+                for i in np.flatnonzero(stop > start).tolist():
+                    for number, place in entries[start[i] : stop[i]]:
+                        found[number].add((int(own[i]), place))
+        return {number: sorted(places) for number, places in found.items()}
 
     def scan(self, text: bytes | None, coverage: float = COVERAGE) -> list[Match]:
-        """All matches of all templates, by their place in the document."""
+        """The best matches of all templates, by their place in the document."""
         known = self.ids.get
         words = np.array([known(w, 0) for w in license_words(text)], dtype=np.int64)
+        found = self.hits(words)
+        if not found:
+            return []
+        places = _Places(words)
         matches = []
-        for number, hits in self.hits(words).items():
-            matches += self._of_template(words, number, hits, coverage)
-        return sorted(matches, key=lambda m: (m.first, m.last, m.template))
+        for number, hits in found.items():
+            matches += self._of_template(words, places, number, hits, coverage)
+        groups = {name: len(own) for name, own in zip(self.names, self.runs, strict=True)}
+        return sorted(best(matches, groups), key=lambda m: (m.first, m.last, m.template))
 
     def _of_template(
-        self, words: np.ndarray, number: int, hits: list[tuple[int, int]], least: float
+        self,
+        words: np.ndarray,
+        places: _Places,
+        number: int,
+        hits: list[tuple[int, int]],
+        least: float,
     ) -> Iterator[Match]:
         template = self.templates[number]
         band = BAND + len(template) // 10
         while hits:
             at, place = hits[0]
             diagonal = at - place
-            found = align(template, words, diagonal, band)
-            near = found is not None and found[0] >= least * len(template)
+            found = None
+            if places.most(template, diagonal, band) >= least * len(template):
+                found = align(template, words, diagonal, band)
+            near = (
+                found is not None
+                and found[0] >= least * len(template)
+                and self._has_runs(words, number, found[1], found[2])
+            )
             if near:
                 matched, first, last = found
                 yield Match(self.names[number], matched, matched / len(template), first, last)
@@ -137,6 +209,60 @@ class Index:
             hits = rest if len(rest) < len(hits) else hits[1:]
 
 
+    def _has_runs(self, words: np.ndarray, number: int, first: int, last: int) -> bool:
+        if not self.runs[number]:
+            return True
+        shown = _shown(words[max(0, first - SIDE) : last + 1 + SIDE].tolist())
+        return all(any(run in shown for run in group) for group in self.runs[number])
+
+
+class _Places:
+    """Where a document has each word."""
+
+    def __init__(self, words: np.ndarray) -> None:
+        self.step = len(words) + 1
+        self.keys = np.sort(words * self.step + np.arange(len(words)))
+
+    def most(self, template: np.ndarray, diagonal: int, band: int) -> int:
+        """No alignment within the band matches more words of the template."""
+        at = np.arange(len(template)) + diagonal
+        low = np.clip(at - band, 0, self.step - 1)
+        high = np.clip(at + band + 1, 0, self.step - 1)
+        base = template * self.step
+        start = np.searchsorted(self.keys, base + low)
+        return int((np.searchsorted(self.keys, base + high) > start).sum())
+
+
+def _shown(ids: Iterable[int]) -> str:
+    return " " + " ".join(map(str, ids)) + " "
+
+
+def _sorted(entries: list[tuple[int, int, int]]) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    entries.sort()
+    return np.array([e[0] for e in entries], dtype=np.uint64), [(e[1], e[2]) for e in entries]
+
+
+def best(matches: list[Match], groups: dict[str, int]) -> list[Match]:
+    """Matches without those that lie by more than half on a better one, or it on them.
+
+    Better has more words that match, then more groups of runs that tell it from others, then
+    fewer words that do not match.
+    """
+
+    def rank(m: Match) -> tuple[int, int, float, int, str]:
+        return -m.matched, -groups[m.template], -m.coverage, m.first, m.template
+
+    kept: list[Match] = []
+    for m in sorted(matches, key=rank):
+        for other in kept:
+            shared = min(m.last, other.last) - max(m.first, other.first) + 1
+            if 2 * shared > min(m.last - m.first, other.last - other.first) + 1:
+                break
+        else:
+            kept.append(m)
+    return kept
+
+
 def align(
     template: np.ndarray, words: np.ndarray, diagonal: int, band: int
 ) -> tuple[int, int, int] | None:
@@ -146,7 +272,7 @@ def align(
     """
     n, width = len(template), 2 * band + 1
     steps = np.arange(width)
-    score = np.zeros((n + 1, width + 2), np.int64)
+    score = np.zeros((n + 1, width + 2), np.int32)
     for i in range(n):
         j = i + diagonal - band + steps
         inside = (j >= 0) & (j < len(words))

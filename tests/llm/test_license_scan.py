@@ -43,6 +43,51 @@ def test_repeated_notices_are_found_each():
     assert [m.template for m in INDEX.scan(text.encode())] == ["MIT notice"] * 50
 
 
+@pytest.mark.parametrize(
+    "text, name",
+    [
+        ("This work is licensed under the GNU General Public License, version 2", "GPL-2.0 notice"),
+        ("This work is licensed under the GNU General Public License v3", "GPL-3.0 notice"),
+        ("This work is licensed under the GNU General Public License.", "GPL notice"),
+        ("This work is licensed under the GNU General Public License, version 7.", "GPL notice"),
+        ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0 notice"),
+        ("This work is licensed under the GNU Lesser General Public License, version 2.1.", "LGPL-2.1 notice"),
+        ("Licensed under the Apache License, Version 1.1", "Apache-1.1 notice"),
+        ("Licensed under Apache License 2.0", "Apache-2.0 notice"),
+        ("Licensed under the CC BY-NC-SA 3.0 license", "CC-BY-NC-SA-3.0 notice"),
+        ("Licensed under CC BY 2.5", "CC-BY-2.5 notice"),
+        ("Released under MIT License", "MIT notice"),
+        ("Released under the BSD License.", "BSD notice"),
+        ("Released under the Sleepycat License.", None),
+        (TEMPLATES["GPL-3.0 header"].replace("version 3", "version 2"), "GPL-2.0 header"),
+        (TEMPLATES["GPL-3.0 header"].replace("General", "Lesser General"), "LGPL-3.0 header"),
+    ],
+)
+def test_sibling_licenses_are_told_apart(text, name):
+    found = INDEX.scan(f"{prose(30, 1)}\n{text}\n{prose(30, 2)}".encode())
+    assert [m.template for m in found] == [name] * bool(name)
+
+
+def test_whole_texts_give_their_own_name_alone():
+    for name in ("Unlicense", *(n for n in TEMPLATES if n.endswith(" text"))):
+        assert [m.template for m in INDEX.scan(TEMPLATES[name].encode())] == [name], name
+
+
+def test_the_whole_affero_license_is_not_the_general_one():
+    names = [("GNU Affero General", "GNU X"), ("GNU GENERAL", "GNU AFFERO GENERAL"), ("GNU G", "GNU Affero G"), ("GNU X", "GNU General")]
+    text = TEMPLATES["GPL-3.0 text"]  # nearly all of its words are the same
+    for old, new in names:
+        text = text.replace(old, new)
+    found = {m.template for m in INDEX.scan(text.encode())}
+    assert "AGPL-3.0 header" in found and "GPL-3.0 text" not in found
+
+
+def test_every_gram_of_a_short_template_is_met():
+    index = Index({"own": "one two three four five six"}, {})
+    for i in range(40):
+        assert len(index.scan(f"{prose(i, i)} one two three other five six {prose(40, i)}".encode())) == 1
+
+
 def whole_alignment(template, words):
     """Smith-Waterman over the full table: the best score."""
     table = np.zeros((len(template) + 1, len(words) + 1), int)
