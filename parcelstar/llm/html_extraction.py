@@ -3,9 +3,10 @@
 A page is cut into blocks at block-level tags; what lies in a menu, an advert or a form goes.
 The first pass labels every other block, in an article or not, by its length, its share of
 stop words and its share of linked text. Short blocks and those near the thresholds stay
-undecided; in the second pass they take the label of the nearest decided neighbours. An
-article is evidence for its blocks: they may hold more links, few stop words leave them
-undecided, and they look for neighbours in their article only, which itself counts as good.
+undecided, as tables and code do, which have few stop words; in the second pass they take the
+label of the nearest decided neighbours. A page in a language without stop words here is
+judged by length and links alone. An article is evidence for its blocks: they may hold more
+links, and they look for neighbours in their article only, which itself counts as good.
 """
 
 from __future__ import annotations
@@ -90,6 +91,8 @@ _TOKEN = re.compile(
 )
 _NAMED = re.compile(r"(?:^|\s)(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+#: Characters of scripts that write a word in one or two; they count twice.
+_WIDE = re.compile("[\u2e80-\ud7ff\uf900-\ufaff\uff00-\uff60\U00020000-\U0003ffff]")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
@@ -227,22 +230,33 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
-def first_pass(block: Block) -> str:
-    """good, bad, or undecided: near (long enough, few stop words) or short."""
+def stop_share(block: Block) -> float:
+    words = [w.strip(".,;:!?\"'()[]").lower() for w in block.text.split()]
+    return sum(w in STOP_WORDS for w in words) / len(words)
+
+
+def linked(block: Block) -> bool:
+    share = ARTICLE_LINK_SHARE if block.label == GOOD else LINK_SHARE
+    return block.linked > share * len(block.text)
+
+
+def first_pass(block: Block, stops: float, known: bool = True) -> str:
+    """good, bad, or undecided: near (long enough, not many stop words) or short, or without any.
+
+    On a page in another language than the stop words', length decides without them.
+    """
     if block.label == BAD:
         return BAD
     chars, article = len(block.text), block.label == GOOD
-    if block.linked > (ARTICLE_LINK_SHARE if article else LINK_SHARE) * chars:
+    if linked(block) or ("©" in block.text and not article):
         return BAD
-    if "©" in block.text and not article:
-        return BAD
-    if chars < SHORT_CHARS:
+    if chars + (0 if known else len(_WIDE.findall(block.text))) < SHORT_CHARS:
         return BAD if block.linked and not article else SHORT
-    words = [w.strip(".,;:!?\"'()[]").lower() for w in block.text.split()]
-    stops = sum(w in STOP_WORDS for w in words) / len(words)
+    if not known:
+        return GOOD
     if stops >= STOP_HIGH:
         return GOOD if chars > LONG_CHARS else NEAR
-    return NEAR if stops >= STOP_LOW or article else BAD
+    return NEAR if stops >= STOP_LOW else SHORT
 
 
 def second_pass(labels: list[str]) -> list[bool]:
@@ -280,7 +294,11 @@ def second_pass(labels: list[str]) -> list[bool]:
 
 def keep(found: list[Block]) -> list[bool]:
     """Both passes over the blocks of a page, first within each article, then around them."""
-    labels = [first_pass(b) for b in found]
+    stops = [stop_share(b) for b in found]
+    # The language is known if blocks with stop words hold half of the text outside link lists.
+    free = [(len(b.text), s) for b, s in zip(found, stops, strict=True) if not linked(b)]
+    known = 2 * sum(n for n, s in free if s >= STOP_LOW) >= sum(n for n, _ in free)
+    labels = [first_pass(b, s, known) for b, s in zip(found, stops, strict=True)]
     articles: dict[int, list[int]] = {}
     for i, block in enumerate(found):
         if block.label == GOOD:

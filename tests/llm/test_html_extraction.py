@@ -50,6 +50,26 @@ def test_an_article_of_links_alone_is_kept():
     assert main_text(AROUND.format(page)) == "Links\nOne story\nTwo"
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Мы живём в большом городе, где каждый день происходит что-то новое, и люди рассказывают об этом друг другу. " * 2,
+        "我们住在一个很大的城市里，每天都有新的事情发生，人们互相讲述这些故事，晚上大家一起回家吃饭。",
+        "Nós vivemos numa cidade grande, com gente boa; hoje acontece algo novo, todos falam disso, amanhã virá outra história.",
+    ],
+)
+def test_other_languages_are_judged_by_length_and_links(text):
+    links = "<ul>" + "".join(f"<li><a href={i}>{text[:30]} {i}</a>" for i in range(4)) + "</ul>"
+    page = f"<body>{links}<p>{text}</p>{links}<p>{text}</p>{links}</body>"
+    assert main_text(page) == f"{text.strip()}\n{text.strip()}"
+
+
+def test_tables_and_code_of_a_good_page_are_kept():
+    code = "x1 = 0x2f; " * 20
+    links = "<p>" + f"<a href=x>{code}</a></p><p>{code[:80]}</p><p><a href=x>{code}</a></p>"
+    assert main_text(f"<body><p>{LONG}</p><pre>{code}</pre><p>{LONG}</p>{links}</body>") == f"{LONG}\n{code.strip()}\n{LONG}"
+
+
 def test_link_lists_go():
     links = "<div>" + "".join(f"<p><a href={i}>A story of the day, number {i}</a></p>" for i in range(5)) + "</div>"
     assert main_text(f"<body><p>{LONG}</p>{links}</body>") == LONG
