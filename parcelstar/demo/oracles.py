@@ -257,6 +257,17 @@ def _profile() -> str:
     )
 
 
+def _extremes() -> str:
+    def shown(value: str, kind: str) -> str:
+        return f"printf('%.6f', {value})" if kind == "double" else f"cast({value} AS varchar)"
+
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {shown(f'min({c})', kind)} AS min_value,"
+        f" {shown(f'max({c})', kind)} AS max_value FROM orders"
+        for c, kind in _ORDER_TYPES.items()
+    )
+
+
 _KNOWN_MONTHS = "SELECT count(*) FROM monthly JOIN dim_api USING (zip_code)"
 # Months of zip codes without an API listing, and those of the unknown zip code.
 _LOST_MONTHS = """
@@ -501,6 +512,7 @@ ORACLES: dict[str, str] = {
     "quality_checks": _quality(),
     "profile_nulls": _with(["bulk_raw"], _null_counts()),
     "profile_orders": _profile(),
+    "profile_orders_extremes": _extremes(),
     "json_props": """
         SELECT event_type,
                cast(sum(cast(json_extract(props, '$.k') AS bigint)) AS bigint) AS k_total,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelstar.constants import PAGE_SIZE
@@ -221,6 +221,19 @@ def profile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def profile_orders_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The least and greatest value of every column of the orders; doubles to six places."""
+    rows = profile(table(spark, sf_dir, "orders"))
+    return rows.select(
+        "column_name", *[_places(value).alias(value) for value in ("min_value", "max_value")]
+    )
+
+
+def _places(value: str) -> Column:
+    double = F.format_string("%.6f", F.col(value).cast("double"))
+    return F.when(F.col("column_type") == "double", double).otherwise(F.col(value))
+
+
 def first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dearest orders by a total order, with their place."""
     orders = table(spark, sf_dir, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(100)
@@ -537,6 +550,7 @@ QUERIES: dict[str, Query] = {
     "quality_checks": quality,
     "profile_nulls": profile_nulls,
     "profile_orders": profile_orders,
+    "profile_orders_extremes": profile_orders_extremes,
     "json_props": json_props,
     "landing_by_state": landing_by_state,
     "incremental_landing": incremental_landing,
