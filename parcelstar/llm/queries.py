@@ -13,8 +13,11 @@ from parcelstar.llm import (
     jaccard_join,
     language_model,
     license_scan,
+    line_dedup,
+    merkle_manifest,
     packing,
     quality_rules,
+    ranked_search,
     sharding,
     token_counts,
 )
@@ -64,6 +67,20 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.op10_lm_scoring(_table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.op11_line_dedup(_table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.op12_merkle_manifest(_table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.op13_ranked_search(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.op3_html_extraction(_table(spark, sf_dir, "pages"))
 
@@ -79,10 +96,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_license_scan": op9_license_scan,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLES: dict[str, str] = {
     "op1_decontamination": decontamination.ORACLE,
     "op2_quality_rules": quality_rules.ORACLE,
     "op5_chat_format": chat_format.ORACLE,
+    "op11_line_dedup": line_dedup.ORACLE,
+    "op12_merkle_manifest": merkle_manifest.ORACLE,
+    "op13_ranked_search": ranked_search.ORACLE,
 }

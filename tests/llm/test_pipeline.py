@@ -17,7 +17,13 @@ def text(value):
     return repr(value)
 
 
-@pytest.mark.parametrize("name", ["op1_decontamination", "op2_quality_rules", "op5_chat_format"])
+@pytest.mark.parametrize(
+    "name",
+    [
+        "op1_decontamination", "op2_quality_rules", "op5_chat_format", "op11_line_dedup",
+        "op12_merkle_manifest", "op13_ranked_search",
+    ],
+)
 def test_query_equals_oracle(spark, name):
     con = duckdb.connect()
     for table in ("documents", "benchmark", "conversations"):
@@ -31,7 +37,7 @@ def test_query_equals_oracle(spark, name):
 
 
 def test_every_operator_has_a_query():
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in entry_points.queries() if q.startswith(f"op{n}_")]) == 1
     assert "pipeline" in entry_points.queries()
 
