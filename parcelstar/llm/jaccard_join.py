@@ -148,14 +148,16 @@ def prefix_keys(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, n
 # --- passes over the texts ---------------------------------------------------------------
 
 PROFILE = (
-    "doc_id long, n long, node long, bits binary, folded array<long>, counter_row int, "
-    "task int, counters binary"
+    "doc_id long, text_key long, n long, node long, bits binary, folded array<long>, "
+    "counter_row int, task int, counters binary"
 )
 _PROFILE_TYPES = [
-    pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int32(),
-    pa.int32(), pa.binary(),
+    pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()),
+    pa.int32(), pa.int32(), pa.binary(),
+]
+_PROFILE_NAMES = [
+    "doc_id", "text_key", "n", "node", "bits", "folded", "counter_row", "task", "counters",
 ]
-_PROFILE_NAMES = ["doc_id", "n", "node", "bits", "folded", "counter_row", "task", "counters"]
 
 
 def _node(tokens: np.ndarray) -> int:
@@ -176,15 +178,16 @@ def _profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counters = np.zeros(SKETCH, dtype=np.uint32)
     for batch in batches:
         rows = []
-        for doc_id, text in _texts(batch):
+        keys = batch.column(2).to_pylist()
+        for (doc_id, text), key in zip(_texts(batch), keys, strict=True):
             tokens = shingles(text, WORDS)
             if len(tokens):
                 np.add.at(counters, tokens & np.uint64(SKETCH - 1), 1)
             if len(tokens):
                 bits = bitmap(tokens)
-                own = (doc_id, len(tokens), _node(tokens), bits, folded(bits))
+                own = (doc_id, key, len(tokens), _node(tokens), bits, folded(bits))
             else:
-                own = (doc_id, 0, None, None, None)
+                own = (doc_id, key, 0, None, None, None)
             rows.append((*own, None, None, None))
         yield _batch(rows)
     task = TaskContext.get().partitionId()
@@ -192,7 +195,7 @@ def _profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         small = np.minimum(counters, 255).astype(np.uint8)
         yield _batch(
             [
-                (None, None, None, None, None, r, task, small[r * ROW : (r + 1) * ROW].tobytes())
+                (None, None, None, None, None, None, r, task, small[r * ROW : (r + 1) * ROW].tobytes())
                 for r in range(SKETCH // ROW)
             ]
         )
@@ -491,21 +494,15 @@ def _remaining_pairs(buckets: DataFrame, found: DataFrame) -> DataFrame:
     return _ordered_pairs(joined).distinct()
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """A row per document row: doc_id, n_shingles, component_id.
-
-    Texts without words, empty and null ones have no shingles and link with nothing: their
-    component is their own id. Equal sets are one node, whatever the number of their
-    copies. component_id is the least id of the component's documents; rows without id
-    take part, and are null only where no document of the component has an id. Repeated
-    rows give repeated rows. An empty table has no rows.
-    """
+def _components(documents: DataFrame) -> DataFrame:
+    """A row per document row: doc_id, text_key, n_shingles and its component, if it has shingles."""
+    text = F.col("text").cast("binary")
     source = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")
+        F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64("text").alias("text_key")
     )
     profile = write_through(source.mapInArrow(_profiled, PROFILE), "jaccard-profile")
     rows = profile.where(F.col("n").isNotNull()).select(
-        "doc_id", "n", "node", "bits", "folded"
+        "doc_id", "text_key", "n", "node", "bits", "folded"
     )
     nodes = write_through(
         rows.where(F.col("n") > 0)
@@ -529,9 +526,24 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     if not more.isEmpty():
         links = links.union(_links(more, nodes, source))
         found = write_through(components(links), "jaccard-components")
-    of_rows = rows.select("doc_id", "n", "node").join(found, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("_c")
+    return rows.select("doc_id", "text_key", "n", "node").join(found, "node", "left").select(
+        "doc_id",
+        "text_key",
+        F.col("n").alias("n_shingles"),
+        F.coalesce("component", "node").alias("_c"),
     )
+
+
+def near_duplicates(documents: DataFrame) -> DataFrame:
+    """A row per document row: doc_id, n_shingles, component_id.
+
+    Texts without words, empty and null ones have no shingles and link with nothing: their
+    component is their own id. Equal sets are one node, whatever the number of their
+    copies. component_id is the least id of the component's documents; rows without id
+    take part, and are null only where no document of the component has an id. Repeated
+    rows give repeated rows. An empty table has no rows.
+    """
+    of_rows = _components(documents)
     least = of_rows.where(F.col("_c").isNotNull()).groupBy("_c").agg(
         F.min("doc_id").alias("_least")
     )
@@ -543,19 +555,37 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 
 def keep_one_of_each(documents: DataFrame) -> DataFrame:
-    """The documents without near duplicates: of each component the least id stays.
+    """The documents without near duplicates: one row of each component stays.
 
-    Rows that repeat an id are one document and stay or go together.
+    That is the row with the least id, or one without id where no row has one. Rows are told
+    apart by id and text: of rows that repeat an id with other texts each is judged by its own
+    text, and of rows that repeat both, any one stays. Texts without words all stay.
     """
-    gone = write_through(
-        near_duplicates(documents)
-        .where(F.col("doc_id") != F.col("component_id"))
-        .select(F.col("doc_id").alias("_gone"))
-        .distinct(),
-        "jaccard-gone",
+    rows = write_through(
+        _components(documents).where(F.col("_c").isNotNull()).select("doc_id", "text_key", "_c"),
+        "jaccard-rows",
+    )
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    kept = rows.groupBy("_c").agg(F.min(own).alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    # A mark for each text that goes, and for each that stays but comes twice.
+    marks = (
+        rows.join(kept.where(F.col("_rows") > 1), "_c")
+        .groupBy("doc_id", "text_key")
+        .agg(F.first(own != F.col("_first")).alias("_goes"), F.count(F.lit(1)).alias("_times"))
+        .where(F.col("_goes") | (F.col("_times") > 1))
+    )
+    marks = write_through(
+        marks.select(F.col("doc_id").alias("_of"), F.col("text_key").alias("_key_of"), "_goes"),
+        "jaccard-marks",
     )
-    maybe, kept = split_by_membership(documents, "doc_id", gone, "_gone")
-    return kept.union(maybe.join(gone, maybe["doc_id"] == gone["_gone"], "left_anti"))
+    maybe, others = split_by_membership(documents, "doc_id", marks, "_of")
+    of = marks.select(F.col("_of").alias("_doc_of"), F.col("_key_of").alias("_text_of"), F.col("_goes").alias("_gone"))
+    same = maybe["doc_id"].eqNullSafe(of["_doc_of"]) & (F.xxhash64(maybe["text"]) == of["_text_of"])
+    columns = [maybe[c] for c in documents.columns]
+    judged = maybe.join(of, same, "left")
+    once = judged.where(of["_gone"].isNull()).select(*columns)
+    twice = judged.where(~of["_gone"]).select(*columns).dropDuplicates(["doc_id", "text"])
+    return others.union(once).union(twice)
 
 
 def op4_ngram_jaccard_join(documents: DataFrame) -> DataFrame:

@@ -92,6 +92,20 @@ def test_one_document_of_each_component_stays(docs):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in brute(rows)})
 
 
+def test_texts_are_judged_by_id_and_text(docs):
+    a, b, c = prose(40, 1), prose(40, 2), prose(40, 3)
+    rows = [(1, a), (5, b), (5, a), (None, c), (None, c), (None, a), (7, b.upper()), (8, ""), (8, ""), (9, None)]
+    rows += [(2, prose(30, 4)), (2, prose(30, 4)), (None, prose(30, 5)), (None, prose(30, 6))]
+    kept = sorted(((r.doc_id, r.text) for r in keep_one_of_each(docs(rows)).collect()), key=repr)
+    stay = [(1, a), (5, b), (None, c), (8, ""), (8, ""), (9, None), (2, prose(30, 4)), (None, prose(30, 5)), (None, prose(30, 6))]
+    assert kept == sorted(stay, key=repr)
+
+
+def test_a_text_with_a_shared_id_and_no_copies_stays(docs):
+    rows = [(1, prose(40, 1)), (1, prose(40, 2)), (1, prose(40, 3)), (2, prose(40, 3))]
+    assert keep_one_of_each(docs(rows)).count() == 3
+
+
 def meets(x, y, of_x, of_y):
     """Do the sets share a key in the prefixes that their sizes need?"""
     overlap = -(-80 * (len(x) + len(y)) // 180)
