@@ -191,6 +191,6 @@ def op8_sharding(documents: DataFrame) -> DataFrame:
         "text_crc32",
         F.lit("bytes").alias("law"),
         "shard",
-        F.col("slot").cast("int").alias("slot"),
+        F.col("slot").cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )

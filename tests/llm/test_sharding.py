@@ -35,6 +35,8 @@ def test_a_text_larger_than_a_shard_is_split(docs):
 
 def test_few_and_no_rows(docs):
     assert op8_sharding(docs([(1, None)])).first().slot == 0
+    kinds = dict(op8_sharding(docs([(1, None)])).dtypes)
+    assert [kinds[c] for c in ("size", "text_crc32", "shard", "slot", "grown_shard")] == ["bigint", "bigint", "int", "bigint", "int"]
     assert op8_sharding(docs([])).count() == 0
 
 
