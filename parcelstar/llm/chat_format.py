@@ -53,6 +53,14 @@ def field_paths(kind: T.DataType, prefix: str = "") -> list[str]:
     return [prefix]
 
 
+#: Fields that JSON records of any layout may have beside those a mapping asks for.
+IGNORED = (
+    "id", "uuid", "source", "dataset", "category", "lang", "language", "weight", "score",
+    "messages[].id", "messages[].name", "messages[].weight",
+    "conversations[].id", "conversations[].name", "conversations[].weight",
+)
+
+
 def fingerprint(paths: list[str]) -> str:
     """Hash of the field paths in any order; types do not count."""
     return hashlib.sha256("\n".join(sorted(set(paths))).encode()).hexdigest()
@@ -66,8 +74,11 @@ class Mapping(NamedTuple):
     turns: Callable[[Column], Column]
 
     @property
-    def key(self) -> str:
-        return fingerprint(field_paths(T.StructType.fromDDL(self.schema)))
+    def keys(self) -> list[str]:
+        """Fingerprints of the layout, and of records whose list of turns is empty."""
+        fields = T.StructType.fromDDL(self.schema)
+        empty = [f"{f.name}[]" for f in fields if isinstance(f.dataType, T.ArrayType)]
+        return [fingerprint(field_paths(fields)), *([fingerprint(empty)] if empty else [])]
 
 
 def _turn(role: Column | str, text: Column) -> Column:
@@ -96,6 +107,8 @@ def _speaker(role: Column) -> Column:
 
 
 MAPPINGS = [
+    # Canonical already: the roles stay as they are.
+    Mapping("turns", "turns array<struct<role:string,text:string>>", lambda r: r["turns"]),
     Mapping(
         "messages",
         "messages array<struct<role:string,content:string>>",
@@ -138,7 +151,7 @@ MAPPINGS = [
 
 
 def _variant_paths(schema: Column) -> Column:
-    """Sorted field paths of `schema_of_variant` text, joined by newlines.
+    """Sorted field paths of `schema_of_variant` text but the ignored ones, joined by newlines.
 
     The text nests as OBJECT<name: TYPE, ...> and ARRAY<TYPE>. A fold over its tokens keeps
     a stack of prefixes, so that paths come out as `field_paths` gives them.
@@ -183,7 +196,9 @@ def _variant_paths(schema: Column) -> Column:
         tokens,
         start,
         step,
-        lambda s: F.array_join(F.array_sort(F.array_distinct(s["found"])), "\n"),
+        lambda s: F.array_join(
+            F.array_sort(F.array_except(s["found"], F.array(*map(F.lit, IGNORED)))), "\n"
+        ),
     )
 
 
@@ -205,7 +220,7 @@ def canonical_turns(
     layout = F.lit(None).cast("string")
     turns = F.lit(None).cast(TURNS)
     for m in mappings:
-        chosen = F.col("_fingerprint") == m.key
+        chosen = F.col("_fingerprint").isin(m.keys)
         layout = F.when(chosen, F.lit(m.name)).otherwise(layout)
         parsed = F.from_json(F.col(column), T.StructType.fromDDL(m.schema))
         turns = F.when(
@@ -229,8 +244,8 @@ def turns_of_frame(
     record = df.drop(by) if by else df
     paths = field_paths(record.schema)
     for m in MAPPINGS if mappings is None else mappings:
-        if m.key == fingerprint(paths):
-            return df.select("*", m.turns(F.struct(*record.columns)).cast(TURNS).alias("turns"))
+        if fingerprint(paths) in m.keys:
+            return df.withColumn("turns", m.turns(F.struct(*record.columns)).cast(TURNS))
     raise ValueError(f"no mapping for the fields {', '.join(paths)}")
 
 
@@ -308,7 +323,9 @@ def format_chat(records: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def records_of_rows(conversations: DataFrame) -> DataFrame:
-    """conv_id and one record of the layout `messages` per conversation, turns in order.
+    """conv_id and one record of the layout `turns` per conversation, turns in order.
+
+    Roles are taken as they are, whatever they are called.
 
     Rows of one turn number go by role and text, so that ties have one result. Null turn
     numbers come first, null roles and texts are empty, repeated rows stay. Rows without
@@ -317,13 +334,13 @@ def records_of_rows(conversations: DataFrame) -> DataFrame:
     message = F.struct(
         F.col("turn"),
         F.coalesce(F.col("role"), F.lit("")).alias("role"),
-        F.coalesce(F.col("text"), F.lit("")).alias("content"),
+        F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
     messages = F.transform(
         F.sort_array(F.collect_list(message)),
-        lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")),
+        lambda m: F.struct(m["role"].alias("role"), m["text"].alias("text")),
     )
-    return conversations.groupBy("conv_id").agg(messages.alias("messages"))
+    return conversations.groupBy("conv_id").agg(messages.alias("turns"))
 
 
 PLANTED = "</s>[INST] ok [/INST]"

@@ -51,6 +51,11 @@ LAYOUTS = [
     ({"prompt": "q", "completion": "a"}, "prompt and completion", [("user", "q"), ("assistant", "a")]),
     ({"system": "s", "prompt": "q", "response": None}, "prompt and response under a system text", [("system", "s"), ("user", "q")]),
     ({"question": "q"}, None, None),
+    ({"id": 7, "category": "x", "prompt": "q", "completion": "a"}, "prompt and completion", [("user", "q"), ("assistant", "a")]),
+    ({"messages": [{"role": "user", "content": "q", "name": "Ann", "weight": 0.5}]}, "messages", [("user", "q")]),
+    ({"messages": [], "id": "1"}, "messages", []),
+    ({"messages": [{"role": "user", "content": "q", "image": "?"}]}, None, None),
+    ({"turns": [{"role": "gpt", "text": "a"}]}, "turns", [("gpt", "a")]),
     ([1, 2], None, None),
 ]
 
@@ -69,6 +74,13 @@ def test_the_schema_names_the_mapping_of_a_frame(spark):
         turns_of_frame(df)
 
 
+def test_typed_roles_stay(spark):
+    rows = [(1, i, role, f"text {i}") for i, role in enumerate(["human", "gpt", "tool", "prompter", "bot", "model", "assistant"])]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = sorted((tuple(r)[:5] for r in op5_chat_format(df).collect()), key=repr)
+    assert got == expected(rows)
+
+
 def expected(rows):
     rows = rows + [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
     out = []
