@@ -1,6 +1,9 @@
 """Main text of web pages by two passes of block rules.
 
-A page is cut into blocks at block-level tags; what lies in a menu, an advert or a form goes.
+A page is cut into blocks at block-level tags; what lies in a menu, a footer or a hidden element
+goes. Forms and elements whose class, id or role names boilerplate are suspects: their blocks
+go, too, unless the element holds most of the page's prose and no marked article lies outside
+it. Comments, adverts and consent notices are never overruled so.
 The first pass labels every other block, in an article or not, by its length, its share of
 stop words and its share of linked text. Short blocks and those near the thresholds stay
 undecided, as tables and code do, which have few stop words; in the second pass they take the
@@ -13,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -26,6 +30,8 @@ GOOD, BAD, NEAR, SHORT = "good", "bad", "near", "short"
 SHORT_CHARS, LONG_CHARS = 70, 200
 STOP_LOW, STOP_HIGH = 0.05, 0.10
 LINK_SHARE = 0.3
+#: Suspects around a block that are looked at, from outside.
+NESTED = 8
 #: The share of linked characters that makes a block bad inside an article.
 ARTICLE_LINK_SHARE = 0.5
 
@@ -51,8 +57,11 @@ STOP_WORDS = frozenset(
 
 #: Elements whose content is no text of the page.
 RAW = frozenset("script style textarea title iframe noscript noembed noframes xmp template svg math object canvas audio video select datalist".split())
-#: Elements that hold what is around an article.
-AROUND = frozenset("nav footer aside form button dialog menu fieldset label".split())
+#: Elements that hold what is around an article, and those that may hold the page, too.
+AROUND = frozenset("nav footer aside button dialog menu fieldset label".split())
+SUSPECT = frozenset(["form"])
+#: Elements that no name makes a suspect.
+PLAIN = frozenset("html body main article".split())
 ARTICLE = frozenset("article main".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -64,20 +73,34 @@ SIBLINGS = {
     "li": "ul ol menu", "dt": "dl", "dd": "dl", "tr": "table", "td": "tr table",
     "th": "tr table", "option": "select",
 }
-#: Words of class, id and role that name boilerplate anywhere, and those that do so outside
-#: an article only, where a title may be called a header.
-NAMES = frozenset(
+#: Words of class, id and role that name boilerplate, with those that always do, and those
+#: that do so outside an article only, where a title may be called a header.
+FIRM_NAMES = frozenset(
     """
-    ad ads adv advert adverts advertisement advertising adbox adslot sponsor sponsored promo
-    promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay
-    newsletter subscribe subscription signup login share sharing social related recommended
-    recommendations sidebar widget widgets menu nav navbar navigation breadcrumb breadcrumbs
-    pagination pager footer comment comments commentlist disqus replies reply respond
-    search toolbar skip complementary contentinfo paywall
+    ad ads adv advert adverts advertisement advertising adbox adslot sponsor sponsored cookie
+    cookies consent gdpr newsletter comment comments commentlist disqus replies reply respond
+    """.split()
+)
+NAMES = FIRM_NAMES | frozenset(
+    """
+    promo promotion banner notice notices alert popup modal overlay subscribe subscription
+    signup login share sharing social related recommended recommendations sidebar widget
+    widgets menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer search
+    toolbar skip complementary contentinfo paywall
     """.split()
 )
 OUTSIDE_NAMES = frozenset("header masthead topbar".split())
-BODY_NAMES = frozenset("articlebody main".split())
+BODY_NAME = "main"
+#: Words that say nothing by themselves. A name counts if all its other words are such.
+STRUCTURE = frozenset(
+    """
+    area article articles bar block body bottom box boxes button buttons col column container
+    content desktop fixed footer form global group header holder icon icons inner item items
+    left link links list lists local main mobile module outer page pane panel post posts
+    primary region right row secondary section site small sticky story stories text title top
+    wrap wrapper
+    """.split()
+)
 
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"
@@ -89,8 +112,8 @@ _TOKEN = re.compile(
     r"(?P<attrs>(?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^>=]|=)*+)(?:>|\Z)",
     re.S,
 )
-_NAMED = re.compile(r"(?:^|\s)(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?=\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 #: Characters of scripts that write a word in one or two; they count twice.
 _WIDE = re.compile("[\u2e80-\ud7ff\uf900-\ufaff\uff00-\uff60\U00020000-\U0003ffff]")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -101,38 +124,54 @@ class Block(NamedTuple):
     linked: int  # characters inside links
     label: str | None  # what the elements around it say
     article: int  # where the innermost article around it begins, 0 if there is none
+    suspects: tuple[tuple[int, bool], ...] = ()  # suspects around it, and whether they are firm
 
 
 class Element(NamedTuple):
     tag: str
     label: str | None
     article: int
+    suspects: tuple[tuple[int, bool], ...] = ()
 
 
-def _label(tag: str, attrs: str, inside: str | None) -> tuple[str | None, bool]:
-    """What an element says of its content, and whether it marks an article.
+class Says(NamedTuple):
+    """What an element says of its content: a label, an article, a suspicion and how firm."""
 
-    Boilerplate stays so all the way down.
-    """
+    label: str | None
+    marks: bool = False
+    suspect: bool = False
+    firm: bool = False
+
+
+def _names(value: str) -> Iterator[frozenset[str]]:
+    """The words of each name in a class, id or role that has one to look at."""
+    for name in value.split():
+        words = frozenset(w.lower() for w in _NAME_PARTS.findall(name))
+        if words and words <= STRUCTURE | NAMES | OUTSIDE_NAMES:
+            yield words
+
+
+def _says(tag: str, attrs: str, inside: str | None) -> Says:
     if inside == BAD or tag in AROUND or (tag == "header" and inside != GOOD):
-        return BAD, False
-    names: set[str] = set()
-    if attrs:
-        if _HIDDEN.search(attrs):
-            return BAD, False
-        for kind, *values in _NAMED.findall(attrs):
-            value = "".join(values)
-            if kind.lower() == "itemprop" and value.lower() == "articlebody":
-                names.add("articlebody")
-            elif kind.lower() != "itemprop":
-                names |= {p.lower() for p in _NAME_PARTS.findall(value)}
-    if tag not in ("body", "html") and names & NAMES:
-        return BAD, False
-    if tag in ARTICLE or names & BODY_NAMES:
-        return GOOD, True
-    if inside != GOOD and names & OUTSIDE_NAMES:
-        return BAD, False
-    return inside, False
+        return Says(BAD)
+    marks, suspect, firm = tag in ARTICLE, tag in SUSPECT, False
+    for name, *values in _ATTRIBUTE.findall(attrs) if attrs else ():
+        name, value = name.lower(), "".join(values)
+        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
+            return Says(BAD)
+        if name == "style" and _NO_DISPLAY.search(value):
+            return Says(BAD)
+        if name == "itemprop":
+            marks |= value.lower() == "articlebody"
+        elif name in ("class", "id", "role"):
+            for words in _names(value):
+                if tag not in PLAIN and words & (NAMES if inside == GOOD else NAMES | OUTSIDE_NAMES):
+                    suspect, firm = True, firm or bool(words & FIRM_NAMES)
+                elif BODY_NAME in words:
+                    marks = True
+    if suspect:
+        return Says(inside, False, True, firm)
+    return Says(GOOD, True) if marks else Says(inside)
 
 
 def blocks(page: str) -> list[Block]:
@@ -142,6 +181,7 @@ def blocks(page: str) -> list[Block]:
     linked = 0
     links = 0  # open <a> elements
     stack: list[Element] = []
+    open_tags: Counter[str] = Counter()
     at, size = 0, len(page)
 
     def inside() -> str | None:
@@ -150,11 +190,27 @@ def blocks(page: str) -> list[Block]:
     def article() -> int:
         return stack[-1].article if stack else 0
 
+    def suspects() -> tuple[tuple[int, bool], ...]:
+        return stack[-1].suspects if stack else ()
+
+    def enter(tag: str, says: Says) -> None:
+        around = suspects()
+        # Within a firm suspect, or many, another one changes nothing.
+        if says.suspect and not (around and (around[-1][1] or len(around) >= NESTED)):
+            around = (*around, (at, says.firm))
+        stack.append(Element(tag, says.label, at if says.marks else article(), around))
+        open_tags[tag] += 1
+
+    def leave(place: int) -> None:
+        """Close the elements from a place of the stack on."""
+        open_tags.subtract(e.tag for e in stack[place:])
+        del stack[place:]
+
     def close_block() -> None:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            found.append(Block(text, min(linked, len(text)), inside(), article()))
+            found.append(Block(text, min(linked, len(text)), inside(), article(), suspects()))
         parts.clear()
         linked = 0
 
@@ -168,10 +224,12 @@ def blocks(page: str) -> list[Block]:
 
     def close(tag: str, limits: str = "") -> None:
         """Close the innermost element of this tag, unless a limit lies between."""
+        if not open_tags[tag]:
+            return
         stops = limits.split()
         for i in range(len(stack) - 1, -1, -1):
             if stack[i].tag == tag:
-                del stack[i:]
+                leave(i)
                 return
             if stack[i].tag in stops:
                 return
@@ -197,8 +255,8 @@ def blocks(page: str) -> list[Block]:
                 close_block()
                 if tag not in VOID:
                     close(tag)
-            elif stack and stack[-1].tag == tag:  # only labelled ones are kept
-                stack.pop()
+            elif stack and stack[-1].tag == tag:  # only those that say something are kept
+                leave(len(stack) - 1)
         elif token["start"]:
             tag, attrs = token["start"].lower(), token["attrs"] or ""
             if tag in RAW and not attrs.endswith("/"):
@@ -214,17 +272,16 @@ def blocks(page: str) -> list[Block]:
             elif tag in INLINE:
                 if tag == "a":
                     links += 1
-                label, marks = _label(tag, attrs, inside()) if attrs else (inside(), False)
-                if label != inside():
-                    stack.append(Element(tag, label, at if marks else article()))
+                says = _says(tag, attrs, inside()) if attrs else Says(inside())
+                if says.suspect or says.label != inside():
+                    enter(tag, says)
             else:
                 close_block()
                 links = 0  # a link left open ends with its block
                 close("p", "div section article main td th li body table ul ol dl blockquote")
                 if tag in SIBLINGS:
                     close(tag, SIBLINGS[tag])
-                label, marks = _label(tag, attrs, inside())
-                stack.append(Element(tag, label, at if marks else article()))
+                enter(tag, _says(tag, attrs, inside()))
     add(page[at:])
     close_block()
     return found
@@ -292,12 +349,51 @@ def second_pass(labels: list[str]) -> list[bool]:
     return kept
 
 
+def language_known(found: list[Block], stops: list[float]) -> bool:
+    """Do blocks with stop words hold half of the text outside link lists?"""
+    free = [(len(b.text), s) for b, s in zip(found, stops, strict=True) if not linked(b)]
+    return 2 * sum(n for n, s in free if s >= STOP_LOW) >= sum(n for n, _ in free)
+
+
+def without_suspects(found: list[Block]) -> list[Block]:
+    """The blocks but those in suspects.
+
+    A suspect that is not firm is overruled if it holds more than half of the page's prose,
+    which is in long blocks with few links, and no marked article has any outside it.
+    """
+    found = [b for b in found if not any(firm for _, firm in b.suspects)]
+    if not any(b.suspects for b in found):
+        return found
+    stops = [stop_share(b) for b in found]
+    trusted = [(b, s) for b, s in zip(found, stops, strict=True) if not b.suspects]
+    known = language_known(*map(list, zip(*trusted, strict=True))) if trusted else True
+    prose = [
+        len(b.text)
+        if not linked(b) and len(b.text) >= SHORT_CHARS and (s >= STOP_LOW or not known)
+        else 0
+        for b, s in zip(found, stops, strict=True)
+    ]
+    total, marked = sum(prose), sum(n for b, n in zip(found, prose, strict=True) if b.label == GOOD)
+    inside: Counter[int] = Counter()
+    marked_inside: Counter[int] = Counter()
+    for block, n in zip(found, prose, strict=True):
+        for number, _ in block.suspects:
+            inside[number] += n
+            marked_inside[number] += n if block.label == GOOD else 0
+    return [
+        b
+        for b in found
+        if not any(
+            2 * inside[number] <= total or marked_inside[number] < marked
+            for number, _ in b.suspects
+        )
+    ]
+
+
 def keep(found: list[Block]) -> list[bool]:
     """Both passes over the blocks of a page, first within each article, then around them."""
     stops = [stop_share(b) for b in found]
-    # The language is known if blocks with stop words hold half of the text outside link lists.
-    free = [(len(b.text), s) for b, s in zip(found, stops, strict=True) if not linked(b)]
-    known = 2 * sum(n for n, s in free if s >= STOP_LOW) >= sum(n for n, _ in free)
+    known = language_known(found, stops)
     labels = [first_pass(b, s, known) for b, s in zip(found, stops, strict=True)]
     articles: dict[int, list[int]] = {}
     for i, block in enumerate(found):
@@ -317,7 +413,7 @@ def main_text(page: str | None) -> str:
     """The good blocks, a line each."""
     if not page:
         return ""
-    found = blocks(page)
+    found = without_suspects(blocks(page))
     return "\n".join(b.text for b, good in zip(found, keep(found), strict=True) if good)
 
 

@@ -96,6 +96,57 @@ def test_broken_markup(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "wrapped",
+    [
+        "<div class='content has-sidebar'>{}</div>",
+        "<article class='post comments-open'>{}</article>",
+        "<main class='with-sidebar'>{}</main>",
+        "<main><section id=search-algorithms>{}</section></main>",
+        "<form id=aspnetForm>{}</form>",
+        "<form><article>{}</article></form>",
+        "<body class='comments related'>{}</body>",
+        "<div class='content-sidebar-wrap'><main>{}</main></div>",
+        "<div class=paywall><div class=widget>{}</div></div>",
+        "<div class=search-page>{}</div>",
+        "<div data-hidden=1 class='mt-4 hidden-xs md:block'>{}</div>",
+    ],
+)
+@pytest.mark.parametrize(
+    "around",
+    [
+        "{}",
+        "<nav><a>One</a><p>Two</p></nav>{}<footer>&copy; 2024</footer>",
+        "<div class='cookie-notice'><p>" + LONG + "</p></div>{}",
+        "{}<div id=comments><article><p>" + LONG + "</p></article><p>" + LONG * 5 + "</p></div>",
+        "<div class='sidebar widget-area'><p>Follow us on the web, and see what is new with us in the world.</p></div>{}",
+        "{}<div class='related-posts'><h3>More</h3><p><a>Another story of the day</a></p></div><aside>x</aside>",
+    ],
+)
+def test_names_are_evidence_only(wrapped, around):
+    """66 pages: 11 ways to hold an article, 6 to put something around it."""
+    article = f"<h1>A title</h1><p>{LONG}</p><p>Short.</p><p>{LONG} Some <a title='a hidden gem'>linked</a> words.</p>"
+    inner = wrapped.format(article)
+    page = inner if around == "{}" else around.format(inner)
+    assert main_text(page) == f"A title\n{LONG}\nShort.\n{LONG} Some linked words."
+
+
+def test_parts_of_an_article_with_telling_names():
+    body = "<section id=related-work><h2>Related work</h2><p>{0}</p></section><div class='post-share'>Share</div><p hidden>{0}</p>"
+    assert main_text(f"<article><p>{LONG}</p>{body.format(LONG)}</article>") == f"{LONG}\nRelated work\n{LONG}"
+    gone = ["class=cookieNotice", "class='x ad-banner'", "id=comment-list", "role=complementary", "style='display: none'", "aria-hidden=true", "class=newsletter"]
+    rest = "".join(f"<div {name}><p>{LONG}</p></div>" for name in gone)
+    assert main_text(f"<div><p>{LONG}</p><p>{LONG}</p></div>{rest}") == f"{LONG}\n{LONG}"
+
+
+def test_unmatched_end_tags_take_linear_time():
+    for page in ("<div>" * 100_000 + "</p>" * 100_000, "<x>" * 50_000 + "<li>" * 50_000 + "</td>" * 50_000,
+                 "<div class=menu>" * 50_000 + "x<p>" * 50_000):
+        began = time.time()
+        blocks(page)
+        assert time.time() - began < 10
+
+
 def test_long_pages_take_linear_time():
     for unit in ("<p>", "<div>", "<", '<a href="', "<!--", "<b class=x>", "&", "</p>", "<p>word "):
         began = time.time()
