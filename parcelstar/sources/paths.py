@@ -30,6 +30,22 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     return [unquote(name.split("=", 1)[1]) for name in folders]
 
 
+def finished_folders(spark: SparkSession, path: str, column: str) -> tuple[list[str], list[str]]:
+    """The partition folders of a path that a finished write left, and the others."""
+    fs, target = _file_system(spark, f"{path}/{column}=*")
+    done: tuple[list[str], list[str]] = ([], [])
+    for status in fs.globStatus(target) or []:
+        folder = status.getPath().toString()
+        done[not path_exists(spark, f"{folder}/_SUCCESS")].append(folder)
+    return done
+
+
+def delete_folders(spark: SparkSession, folders: list[str]) -> None:
+    for folder in folders:
+        fs, target = _file_system(spark, folder)
+        fs.delete(target, True)
+
+
 def drop_folders(spark: SparkSession, path: str, column: str, values: set[str]) -> list[str]:
     """Delete the partition folders of these values; returns the folders that were there."""
     fs, target = _file_system(spark, f"{path}/{column}=*")
