@@ -57,6 +57,44 @@ MARKET_ENTRY = struct(
 
 MARKET = struct(zipCode=_STR, saleData=struct(history=MapType(_STR, MARKET_ENTRY)))
 
+# Market documents with their breakdowns, and property records.
+
+MARKET_STATISTICS = struct(
+    averagePrice=_DBL, medianPrice=_DBL, minPrice=_DBL, maxPrice=_DBL, averageDaysOnMarket=_DBL,
+    newListings=_INT, totalListings=_INT,
+)
+
+FULL_MARKET = struct(
+    zipCode=_STR,
+    saleData=StructType(
+        [
+            StructField("lastUpdatedDate", _STR),
+            *MARKET_STATISTICS.fields,
+            *struct(
+                dataByPropertyType=ArrayType(
+                    StructType([StructField("propertyType", _STR), *MARKET_STATISTICS.fields])
+                ),
+                dataByBedrooms=ArrayType(
+                    StructType([StructField("bedrooms", _INT), *MARKET_STATISTICS.fields])
+                ),
+                history=MapType(_STR, MARKET_STATISTICS),
+            ).fields,
+        ]
+    ),
+)
+
+PROPERTY = struct(
+    id=_STR, addressLine1=_STR, city=_STR, state=_STR, zipCode=_STR, county=_STR,
+    latitude=_DBL, longitude=_DBL, propertyType=_STR, bedrooms=_DBL, bathrooms=_DBL,
+    squareFootage=_DBL, lotSize=_DBL, yearBuilt=_INT, lastSaleDate=_STR, lastSalePrice=_DBL,
+    hoa=struct(fee=_DBL),
+    features=struct(cooling=BooleanType(), garage=BooleanType(), pool=BooleanType()),
+    taxAssessments=MapType(_STR, struct(value=_DBL, land=_DBL, improvements=_DBL)),
+    propertyTaxes=MapType(_STR, struct(total=_DBL)),
+    history=MapType(_STR, struct(event=_STR, date=_STR, price=_DBL)),
+    ownerOccupied=BooleanType(),
+)
+
 # ---- dimensions
 
 DIM_LOCATION = struct(location_id=_LONG, city=_STR, state=_STR, zip_code=_STR)
