@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry_points
-from parcelstar.demo.queries import QUERIES
+from parcelstar.demo.registry import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 DATA = Path("/root/testdata/sf0.001")
