@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +17,15 @@ from parcelstar.operators.joins import (
     fits_broadcast,
     location_bridge,
 )
-from parcelstar.operators.ordering import numbered
-from parcelstar.operators.quality import quality_checks
+from parcelstar.operators.quality import (
+    COVERED,
+    merged_checks,
+    partial_checks,
+    partial_location_checks,
+)
 from parcelstar.runs import new_batch_id, today, utc_now
 from parcelstar.session import write_through
-from parcelstar.sources.paths import staged
+from parcelstar.sources.paths import NULL_FOLDER, staged
 from parcelstar.sources.staged import read_staged
 from parcelstar.sources.warehouse import Warehouse
 
@@ -94,21 +99,21 @@ def append_fact(
     """Append the staged rows of batches not loaded yet, with warehouse location ids.
 
     A batch counts as loaded once its audit says so; what an unfinished load left of it is
-    removed first. Ids follow `start` without gaps. Rows whose location the bridge lacks
-    are dropped and counted.
+    removed first. Ids come after `start`, in steps of 2^33 from task to task, so a row is
+    written once and a task that runs again gives it the same id. Rows whose location the
+    bridge lacks are dropped and counted.
     """
     new = batch_guard(staged_fact, warehouse.loaded_batches(table))
     warehouse.discard_unfinished(table, new)
-    seen = Observation()
+    seen, written = Observation(), Observation()
     located = cross_bridge(new, bridge, scope_by_source, seen, fits)
-    rows = numbered(located, id_column, start + 1)
-    warehouse.append(table, rows)
+    rows = located.withColumn(id_column, F.monotonically_increasing_id() + (start + 1))
+    warehouse.append(table, rows.observe(written, F.max(id_column).alias("top")))
     figures = seen.get
-    count = figures.get("kept") or 0
     return {
-        "row_count": count,
+        "row_count": figures.get("kept") or 0,
         "dropped_rows": figures.get("dropped") or 0,
-        "max_id": start + count,
+        "max_id": written.get.get("top") or start,
         "fact_batch_id": figures.get("batch_id"),
     }
 
@@ -143,15 +148,39 @@ def append_metadata(
     warehouse.append("pipeline_metadata", frame)
 
 
+def checked_quality(warehouse: Warehouse, extended: bool = False) -> DataFrame:
+    """The checks over the whole warehouse, from stored partial results.
+
+    Only batches that have none yet are read, and locations added since; their partial results
+    are stored. Rows of batches that no load has finished are counted each time anew.
+    """
+    dim, types = warehouse.table("dim_location"), warehouse.table("dim_property_type")
+    top = dim.agg(F.max("location_id")).first()[0] or 0
+    stored = warehouse.table("quality_partials")
+    covered = stored.where(F.col("check_name") == COVERED)
+    known = covered.groupBy("table_name", "batch_id").agg(F.max("top").alias("top")).collect()  # a row per batch
+    new, passing = [], []
+    for name in ("fact_listings", "fact_market_stats"):
+        seen = {r["batch_id"] for r in known if r["table_name"] == name}
+        done = {r["batch_id"] for r in warehouse.loaded_batches(name).collect()}
+        folders = warehouse.batch_folders(name)
+        fact = warehouse.table(name)
+        for batches, into in (((folders & done) - seen, new), (folders - done - seen, passing)):
+            if batches:
+                own = F.coalesce("batch_id", F.lit(NULL_FOLDER)).isin(sorted(batches))
+                into.append(partial_checks(name, fact.where(own), dim, types, top))
+    after = max((r["top"] for r in known if r["table_name"] == "dim_location"), default=0)
+    if top > after:
+        new.append(partial_location_checks(dim, after, top))
+    if new:
+        warehouse.append("quality_partials", reduce(DataFrame.unionByName, new))
+    partials = reduce(DataFrame.unionByName, passing, warehouse.table("quality_partials"))
+    return merged_checks(partials, dim, extended)
+
+
 def log_quality(warehouse: Warehouse, batch_id: str, extended: bool = False) -> list[dict]:
-    """Run the checks over the warehouse and append them to the log."""
-    checks = quality_checks(
-        warehouse.table("fact_listings"),
-        warehouse.table("fact_market_stats"),
-        warehouse.table("dim_location"),
-        warehouse.table("dim_property_type"),
-        extended=extended,
-    )
+    """Check the warehouse and append the results to the log."""
+    checks = checked_quality(warehouse, extended)
     results = [row.asDict() for row in checks.collect()]  # one row per check
     top = warehouse.table("data_quality_log").agg(F.max("check_id").alias("top")).first()["top"]
     now = utc_now()

@@ -151,6 +151,11 @@ DATA_QUALITY_LOG = struct(
     passed=BooleanType(), checked_at=_TS,
 )
 
+# What the checks counted, by batch; see `operators.quality.partial_checks`.
+QUALITY_PARTIALS = struct(
+    table_name=_STR, batch_id=_STR, check_name=_STR, key=_LONG, value=_LONG, top=_LONG,
+)
+
 # Longest text each warehouse column may hold.
 TEXT_LIMITS = {
     "city": 100, "state": 50, "zip_code": 10, "property_type": 50,

@@ -18,6 +18,7 @@ SCHEMAS = {
     "fact_market_stats": schemas.FACT_MARKET_STATS,
     "pipeline_metadata": schemas.PIPELINE_METADATA,
     "data_quality_log": schemas.DATA_QUALITY_LOG,
+    "quality_partials": schemas.QUALITY_PARTIALS,
 }
 
 # Queries filter facts by source; a batch has a folder of its own.
@@ -55,13 +56,17 @@ class Warehouse:
             .distinct()
         )
 
+    def batch_folders(self, name: str) -> set[str]:
+        """The batches a fact table has rows of, from its folders; NULL has one, too."""
+        return set(partition_values(self.spark, f"{self.path(name)}/source=*", "batch_id"))
+
     def discard_unfinished(self, name: str, new: DataFrame) -> list[str]:
         """Delete what an unfinished load left of the batches that are about to load.
 
         `new` holds the rows of batches without a SUCCESS row, as the batch guard gives them.
         """
         folders = f"{self.path(name)}/source=*"
-        if not partition_values(self.spark, folders, "batch_id"):
+        if not self.batch_folders(name):
             return []
         rows = new.select("batch_id").distinct().collect()  # a staged table's batches
         batches = {r[0] for r in rows if r[0] is not None}
