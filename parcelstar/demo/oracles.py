@@ -201,7 +201,7 @@ def _defects(table: str, columns: dict[str, str]) -> str:
     return f"SELECT * REPLACE ({changed}) FROM {table}"
 
 
-def _quality() -> str:
+def _quality(allowed: int = shapes.ALLOWED) -> str:
     planted = f"""
         bad_fact AS ({_defects('fact', shapes.LISTING_DEFECTS)}),
         bad_stats AS ({_defects('stats', shapes.MARKET_DEFECTS)}),
@@ -231,7 +231,7 @@ def _quality() -> str:
     )
     return _with(
         ["fact", "stats"],
-        f", {planted} SELECT name, value, value <= {shapes.ALLOWED} AS passed FROM ({rows})",
+        f", {planted} SELECT name, value, value <= {allowed} AS passed FROM ({rows})",
     )
 
 
@@ -510,6 +510,7 @@ ORACLES: dict[str, str] = {
     "cross_source": _cross_source(),
     "cross_source_preagg": _cross_source_preagg(),
     "quality_checks": _quality(),
+    "quality_by_batch": _quality(allowed=0),
     "profile_nulls": _with(["bulk_raw"], _null_counts()),
     "profile_orders": _profile(),
     "profile_orders_extremes": _extremes(),

@@ -17,7 +17,6 @@ from parcelstar.functions.aggregates import mean, percent_change, total
 from parcelstar.operators.joins import lookup_join
 from parcelstar.operators.median import (
     approx_median_by,
-    median_by,
     median_of_counts,
     value_counts,
 )
@@ -273,9 +272,5 @@ def register_views(star: Star, exact: bool = False) -> SparkSession:
     for name, table in tables.items():
         table.createOrReplaceTempView(name)
     price_comparison(star, exact).createOrReplaceTempView("v_price_comparison_by_zip")
-    medians = median_by(
-        star.fact_listings.where(_of_source(API_SOURCE)), ["property_type_id"], "price", "median_price"
-    )
-    medians.createOrReplaceTempView("v_median_price_by_property_type")
     market_summary(star).createOrReplaceTempView("v_market_summary")
     return star.fact_listings.sparkSession

@@ -1,8 +1,9 @@
 """The views and queries of `analytics` as Spark SQL over the registered tables.
 
 Run them after `register_views`. They follow the same shape: reduce the fact by location,
-then join. The median is exact and holds one entry per distinct price of a property type;
-`price_by_property_type` in `analytics` has no such limit.
+then join. The median is exact: the middle prices are picked by position among the counted
+distinct prices of a property type, which one task sorts; `price_by_property_type` in
+`analytics` spreads them when there are very many.
 """
 
 from __future__ import annotations
@@ -59,13 +60,28 @@ QUERIES = {
             FROM fact_listings
             WHERE source = 'rentcast'
             GROUP BY property_type_id, price
+        ),
+        placed AS (
+            SELECT *, sum(n) OVER (PARTITION BY property_type_id ORDER BY price) AS upto,
+                   sum(n) OVER (PARTITION BY property_type_id) AS total
+            FROM prices
+            WHERE price IS NOT NULL
+        ),
+        medians AS (
+            SELECT property_type_id,
+                   if(min(price) = max(price), cast(min(price) AS double),
+                      cast(min(price) AS double) / 2 + cast(max(price) AS double) / 2)
+                       AS median_price
+            FROM placed
+            WHERE upto > floor((total - 1) / 2) AND upto - n <= floor(total / 2)
+            GROUP BY property_type_id
         )
         SELECT property_type,
                {_mean("sum(price * n)", "sum(n) FILTER (WHERE price IS NOT NULL)")} AS avg_price,
                any_value(median_price) AS median_price,
                sum(n) AS listing_count
         FROM prices JOIN dim_property_type USING (property_type_id)
-                    LEFT JOIN v_median_price_by_property_type USING (property_type_id)
+                    LEFT JOIN medians USING (property_type_id)
         GROUP BY property_type
         ORDER BY avg_price DESC NULLS FIRST
     """,

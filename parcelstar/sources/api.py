@@ -11,17 +11,30 @@ from parcelstar.constants import API_ENDPOINT, API_SOURCE
 from parcelstar.functions.text import known_state
 from parcelstar.runs import new_batch_id, today, utc_now
 from parcelstar.schemas import ENVELOPE, LISTING, MARKET, PAGE, literal_frame
-from parcelstar.sources.paths import NULL_FOLDER, partition_values, path_exists, raw_api_listings
+from parcelstar.sources.paths import (
+    NULL_FOLDER,
+    STREAM_DROP,
+    delete_folders,
+    finished_folders,
+    landed_paths,
+    partition_values,
+    path_exists,
+    raw_api_listings,
+)
 
 
 def read_envelopes(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Landed envelopes, one JSON document a line; `multi_line` for pretty-printed files."""
-    return (
-        spark.read.schema(ENVELOPE)
-        .options(multiLine=multi_line, mode="FAILFAST")
-        .json(path)
-        .select(*ENVELOPE.fieldNames())
-    )
+    """Landed envelopes, one JSON document a line; `multi_line` for pretty-printed files.
+
+    Of a folder of drops only finished ones are read.
+    """
+    drops = landed_paths(spark, path)
+    if not drops:
+        return literal_frame(spark, [], ENVELOPE)
+    reader = spark.read.schema(ENVELOPE).options(multiLine=multi_line, mode="FAILFAST")
+    if drops != [path]:
+        reader = reader.option("basePath", path)
+    return reader.json(drops).select(*ENVELOPE.fieldNames())
 
 
 def envelope_records(envelopes: DataFrame) -> DataFrame:
@@ -88,7 +101,8 @@ def land_api_pages(
     `states` are the requested ones: only these land, an empty list raises, and the summary
     tells which were skipped as landed before and which had no page. A page whose state is
     not a full state name fails the write, so nothing lands. Each landing has a folder of
-    its own (`drop`), and states that a stream landed count as landed. The date is
+    its own (`drop`), and states that a stream landed count as landed. A landing that broke off
+    counts for nothing and is removed; that of a stream is left to its restart. The date is
     today's, the batch id a fresh one and the time now, unless given.
     """
     if states is not None and not states:
@@ -100,7 +114,9 @@ def land_api_pages(
     path = raw_api_listings(raw_root, execution_date)
     if known_states:
         pages = pages.withColumn("state", known_state(F.col("state")))
-    landed = set(partition_values(spark, f"{path}/drop=*", "state_part"))
+    done, broken = finished_folders(spark, path, "drop")
+    delete_folders(spark, [f for f in broken if STREAM_DROP not in f])
+    landed = {state for folder in done for state in partition_values(spark, folder, "state_part")}
     if states is not None:
         pages = pages.where(F.col("state").isin(states))
     # Pages without a state land in a folder too.

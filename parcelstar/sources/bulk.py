@@ -9,8 +9,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from parcelstar.constants import BULK_SOURCE
 from parcelstar.operators.facts import AUDIT_COLUMNS, audit
 from parcelstar.runs import new_batch_id, today, utc_now
-from parcelstar.schemas import BULK, conform
-from parcelstar.sources.paths import path_exists, raw_bulk
+from parcelstar.schemas import BULK, conform, literal_frame
+from parcelstar.sources.paths import landed_paths, path_exists, raw_bulk
 
 RAW_BULK = StructType(
     [*BULK.fields, *[StructField(c, StringType()) for c in AUDIT_COLUMNS]]
@@ -33,8 +33,12 @@ def read_bulk_csv(
 
 
 def read_raw_bulk(spark: SparkSession, path: str) -> DataFrame:
-    """All Parquet files under one date of the raw zone."""
-    return conform(spark.read.parquet(path), RAW_BULK)
+    """All Parquet files under one date of the raw zone; of drops only the finished ones."""
+    drops = landed_paths(spark, path)
+    if not drops:
+        return literal_frame(spark, [], RAW_BULK)
+    reader = spark.read if drops == [path] else spark.read.option("basePath", path)
+    return conform(reader.parquet(*drops), RAW_BULK)
 
 
 def write_by_state(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -10,6 +10,8 @@ from parcelstar.constants import API_SOURCE, BULK_SOURCE
 
 
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+#: How the drop folders of streams begin.
+STREAM_DROP = "drop=stream-"
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -40,6 +42,12 @@ def finished_folders(spark: SparkSession, path: str, column: str) -> tuple[list[
     return done
 
 
+def landed_paths(spark: SparkSession, path: str) -> list[str]:
+    """The finished drops of a landing folder; a path without drops stands for itself."""
+    done, broken = finished_folders(spark, path, "drop")
+    return done if done or broken else [path]
+
+
 def delete_folders(spark: SparkSession, folders: list[str]) -> None:
     for folder in folders:
         fs, target = _file_system(spark, folder)

@@ -14,7 +14,7 @@ from parcelstar.operators.facts import audit
 from parcelstar.schemas import BULK, PAGE
 from parcelstar.sources.api import by_state, envelopes, write_envelopes
 from parcelstar.sources.bulk import write_by_state
-from parcelstar.sources.paths import raw_api_listings, raw_bulk
+from parcelstar.sources.paths import STREAM_DROP, raw_api_listings, raw_bulk
 
 
 def stream_bulk_csv(
@@ -42,7 +42,7 @@ def stream_pages(
 def drop_name(checkpoint: str, number: int) -> str:
     """Folder of a micro-batch: it is told apart by its checkpoint and its number."""
     identity = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
-    return f"drop=stream-{identity}-{number}"
+    return f"{STREAM_DROP}{identity}-{number}"
 
 
 def _land(files: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]) -> None:

@@ -1,4 +1,5 @@
 import random
+from dataclasses import replace
 
 import pytest
 
@@ -161,3 +162,44 @@ def test_approximate_median(star):
 
 def test_facts_have_the_columns_the_queries_use():
     assert set(facts.BULK_FACT_COLUMNS) | set(facts.API_FACT_COLUMNS) <= set(FACT_LISTINGS.names)
+
+
+def in_order(rows, key, descending, nulls_first):
+    values = [key(r) for r in rows]
+    known = [v for v in values if v is not None]
+    nulls = [None] * (len(values) - len(known))
+    assert values == (nulls + sorted(known, reverse=descending) if nulls_first else sorted(known, reverse=descending) + nulls)
+
+
+def gap(row):
+    new, old = row.avg_rentcast_price, row.avg_kaggle_price
+    return None if None in (new, old) else new - old
+
+
+ORDERS = {
+    "avg_price_by_state": (lambda r: r.avg_price, True, True),
+    "price_by_property_type": (lambda r: r.avg_price, True, True),
+    "price_gap": (lambda r: r.pct_change, True, False),
+    "inventory": (lambda r: r.listing_count, True, True),
+    "cross_source": (gap, True, True),
+    "market_trends": (lambda r: (r.zip_code, str(r.snapshot_date)), False, False),
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERS))
+def test_statements_give_their_rows_in_order(spark, star, name):
+    frame = getattr(analytics, name)(star).collect()
+    analytics.register_views(star)
+    for rows in (frame, spark.sql(QUERIES[name]).collect()):
+        assert rows
+        in_order(rows, *ORDERS[name])
+
+
+def test_the_median_of_the_statement_follows_the_table(spark, star):
+    analytics.register_views(star)
+    exact = {r.property_type: r.median_price for r in analytics.price_by_property_type(star).collect()}
+    assert {r.property_type: r.median_price for r in spark.sql(QUERIES["price_by_property_type"]).collect()} == exact
+    star.fact_listings.where("price > 0").createOrReplaceTempView("fact_listings")
+    positive = analytics.price_by_property_type(replace(star, fact_listings=star.fact_listings.where("price > 0")))
+    after = {r.property_type: r.median_price for r in spark.sql(QUERIES["price_by_property_type"]).collect()}
+    assert after == {r.property_type: r.median_price for r in positive.collect()}

@@ -287,3 +287,29 @@ def test_staged_single_file_with_foreign_types(spark, tmp_path):
     row = read_staged(spark, path, STAGED_API_FACT).where("rentcast_id = 'a'").first()
     assert (row.location_id, row.price, row.listed_date) == (1, 462_500.0, date(2023, 11, 20))
     assert row.ingested_at.microsecond == 123456 and row.address is None
+
+
+def test_a_broken_landing_counts_for_nothing(spark, tmp_path):
+    """A drop without _SUCCESS is neither landed nor read, and goes with the next landing."""
+    raw = str(tmp_path)
+    given = page_frame(spark, page("Utah", 0, 3), page("Utah", 3, 2), page("Ohio", 0, 4))
+    first = api.land_api_pages(given.limit(1), raw, DATE, BATCH, NOW)
+    drop = next((tmp_path / first["path"].removeprefix(raw).lstrip("/")).glob("drop=*"))
+    (drop / "_SUCCESS").unlink()
+    stream = drop.parent / "drop=stream-x-0" / "state_part=Iowa"
+    stream.mkdir(parents=True)
+    (stream / "part.json").write_text((next(drop.glob("state_part=*/*.json"))).read_text())
+    assert api.read_api_listings(spark, first["path"]).count() == 0
+    again = api.land_api_pages(given, raw, DATE, BATCH, NOW)
+    assert (again["states_processed"], again["records_count"]) == (2, 9)
+    assert not drop.exists() and stream.exists()
+    assert api.read_api_listings(spark, first["path"]).count() == 9
+
+
+def test_a_broken_bulk_drop_is_not_read(spark, tmp_path):
+    csv, raw = write_csv(tmp_path / "csv", "a.csv", STATES), str(tmp_path / "raw")
+    path = bulk_source.land_bulk(spark, csv, raw, DATE, BATCH, NOW)["path"]
+    (tmp_path / "raw").joinpath(path.removeprefix(raw).lstrip("/"), "drop=whole", "_SUCCESS").unlink()
+    assert bulk_source.read_raw_bulk(spark, path).count() == 0
+    assert bulk_source.land_bulk(spark, csv, raw, DATE, BATCH, NOW)["status"] == "success"
+    assert bulk_source.read_raw_bulk(spark, path).count() == len(STATES)
