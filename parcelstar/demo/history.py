@@ -17,7 +17,9 @@ from parcelstar.operators.dimensions import dim_property_type
 from parcelstar.schemas import FULL_MARKET, PROPERTY, struct
 from parcelstar.session import scratch_path, write_through
 from parcelstar.sources.market import MarketMonths
+from parcelstar.sources.profiles import Profiles
 from parcelstar.sources.versions import VersionedTable
+from parcelstar.streaming.latest import SNAPSHOT, LatestSnapshots, keep_latest, stream_snapshots
 
 _SNAPSHOT = struct(id=StringType(), price=DoubleType(), status=StringType())
 
@@ -228,6 +230,45 @@ def valuations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("estimate", F.round("estimate", 4))
 
 
+def profile_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders profiled in three batches, and whether the merged estimates are close.
+
+    Distinct values to 5 % of their number, the median to 2 % of the rows.
+    """
+    orders = table(spark, sf_dir, "orders")
+    store = Profiles(spark, scratch_path(spark, "profiles"))
+    for n in (0, 1, 2, 0):  # the first batch comes twice
+        store.add(f"b{n}", orders.where(F.col("o_orderkey") % 3 == n))
+    found = write_through(store.profile((0.5,)), "profile")
+    numbers = ["o_orderkey", "o_custkey", "o_totalprice"]
+    medians = {r["column_name"]: r["quantiles"][0] for r in found.collect() if r["quantiles"]}
+    exact = [F.struct(F.lit(c).alias("column_name"), F.count_distinct(c).alias("distinct"),
+             *([F.avg((F.col(c) <= medians[c]).cast("int")).alias("rank")] if c in numbers
+               else [F.lit(0.5).alias("rank")])) for c in orders.columns]
+    row = orders.agg(*[e.alias(f"e{i}") for i, e in enumerate(exact)])
+    known = row.select(F.inline(F.array(*[f"e{i}" for i in range(len(exact))])))
+    off = F.abs(F.col("approx_distinct") - F.col("distinct")) / F.col("distinct")
+    return found.join(known, "column_name").select(
+        "column_name", "row_count", "null_count",
+        (off <= 0.05).alias("distinct_is_close"),
+        (F.abs(F.col("rank") - 0.5) <= 0.02).alias("median_is_close"),
+    )
+
+
+def latest_by_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest market snapshots by a stream that is started three times, in any order of rows."""
+    star = feeds.star(spark, sf_dir)
+    located = star.fact_market_stats.join(star.dim_location, "location_id")
+    located = write_through(located.select(*SNAPSHOT.names), "located")
+    drop, checkpoint = scratch_path(spark, "drop"), scratch_path(spark, "stream")
+    latest = LatestSnapshots(spark, scratch_path(spark, "latest"))
+    third = F.pmod(F.xxhash64("zip_code", "snapshot_date", "location_id"), F.lit(3))
+    for n in (2, 0, 1):
+        located.where(third == n).write.mode("append").parquet(drop)
+        keep_latest(stream_snapshots(spark, drop), latest, checkpoint)
+    return latest.read().drop("ingested_at", "stat_id", "location_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "listing_versions": listing_versions,
     "listings_as_of": listings_as_of,
@@ -240,4 +281,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "market_ingest": market_ingest,
     "nearest_comparables": nearest_comparables,
     "valuations": valuations,
+    "profile_by_batch": profile_by_batch,
+    "latest_by_stream": latest_by_stream,
 }

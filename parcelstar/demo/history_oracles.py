@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from parcelstar.demo import market_shapes as m
-from parcelstar.demo.oracles import _TYPES, _with
+from parcelstar.demo.oracles import _ORDER_TYPES, _TYPES, _with
+from parcelstar.demo.oracles import ORACLES as BASE
 from parcelstar.demo.shapes import FIRST, state_code
 
 _LOADS = ", ".join(f"({n}, DATE '{day}')" for n, day in enumerate(m.LOAD_DATES, start=1))
@@ -207,6 +208,12 @@ ORACLES: dict[str, str] = {
         WITH {_SALES}
         SELECT o_orderkey, cast(rank AS int) AS rank, comparable_id, distance, o_totalprice FROM best
     """,
+    "profile_by_batch": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,"
+        " true AS distinct_is_close, true AS median_is_close FROM orders"
+        for c in _ORDER_TYPES
+    ),
+    "latest_by_stream": BASE["market_latest"],
     "valuations": f"""
         WITH {_SALES}
         SELECT o_orderkey, cast(count(*) AS int) AS comparable_count,
