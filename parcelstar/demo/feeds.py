@@ -77,6 +77,12 @@ def cleaned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return clean_bulk(bulk_raw(spark, sf_dir)), clean_api(api_raw(spark, sf_dir))
 
 
+def cleaned_once(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The cleaned feeds, written: for dimensions and facts that both read them."""
+    bulk, api = cleaned(spark, sf_dir)
+    return write_through(bulk, "bulk"), write_through(api, "api")
+
+
 def locations(bulk: DataFrame, api: DataFrame) -> DataFrame:
     """One dimension over both feeds."""
     return build_dim_location(bulk.select(*LOCATION_KEY).unionByName(api.select(*LOCATION_KEY)))
@@ -84,6 +90,7 @@ def locations(bulk: DataFrame, api: DataFrame) -> DataFrame:
 
 def star(spark: SparkSession, sf_dir: str, market: bool = True) -> Star:
     """Both feeds as a warehouse would hold them."""
+    # Cleaned twice, each time with the columns needed: cheaper than writing them all.
     bulk, api = cleaned(spark, sf_dir)
     # Used by every join below: written once.
     dim = write_through(locations(bulk, api), "dim-location")

@@ -249,6 +249,14 @@ _ORDER_TYPES = {
 }
 
 
+_EMPTY_MARKET = {
+    "location_id": "bigint", "snapshot_date": "date", "median_listing_price": "double",
+    "median_price_per_sqft": "double", "median_days_on_market": "double",
+    "total_listings": "int", "new_listings": "int", "source": "string", "batch_id": "string",
+    "ingested_at": "string",
+}
+
+
 def _profile() -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, '{kind}' AS column_type, count(*) AS row_count,"
@@ -589,6 +597,20 @@ ORACLES: dict[str, str] = {
                o_orderkey, o_totalprice
         FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100
     """,
+    "first_look": _with(
+        ["bulk_raw"],
+        "SELECT least(count(*), 1000) AS row_count, 12::int AS column_count, true AS has_beds FROM bulk_raw",
+    ),
+    "empty_market": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{kind}' AS column_type, 0::bigint AS row_count,"
+        " 0::bigint AS null_count"
+        for c, kind in _EMPTY_MARKET.items()
+    ),
+    "load_times": " UNION ALL ".join(
+        f"SELECT '{source}' AS source, '{table}' AS table_name, true AS started_in_run,"
+        " true AS in_order"
+        for source, table in _LOADED
+    ),
     "median_by_position": """
         SELECT l_returnflag, l_linestatus, round(median(l_extendedprice), 4) AS median_price
         FROM lineitem GROUP BY 1, 2

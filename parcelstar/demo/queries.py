@@ -39,7 +39,7 @@ from parcelstar.sources.api import (
     read_market,
     shape_listing,
 )
-from parcelstar.sources.bulk import land_bulk, read_raw_bulk
+from parcelstar.sources.bulk import land_bulk, read_bulk_csv, read_raw_bulk
 from parcelstar.sources.paths import raw_bulk, staged
 from parcelstar.sources.staged import write_staged
 from parcelstar.sources.warehouse import Warehouse
@@ -99,7 +99,7 @@ def dim_location_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _remapped(spark: SparkSession, sf_dir: str, scope_by_source: bool) -> DataFrame:
     """Both staged facts with the ids of the merged dimension."""
-    bulk, api = feeds.cleaned(spark, sf_dir)
+    bulk, api = feeds.cleaned_once(spark, sf_dir)
     types = dim_property_type(spark)
     dim_bulk, dim_api, staged = feeds.staged_locations(bulk, api)
     no_locations = dim_bulk.limit(0)
@@ -264,6 +264,38 @@ def _places(value: str) -> Column:
     return F.when(F.col("column_type") == "double", double).otherwise(F.col(value))
 
 
+def first_look(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first thousand rows of the landed CSV, counted by whether they have a price."""
+    drop = scratch_path(spark, "drop")
+    _csv_of_bulk(feeds.bulk_raw(spark, sf_dir), drop)
+    rows = read_bulk_csv(spark, drop, limit=1000)
+    return rows.agg(
+        F.count(F.lit(1)).alias("row_count"), F.lit(len(rows.columns)).alias("column_count"),
+        (F.count("bed") > 0).alias("has_beds"),
+    )
+
+
+def empty_market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of the market fact where no market document was landed."""
+    api = clean_api(feeds.api_raw(spark, sf_dir))
+    documents = read_market(spark, scratch_path(spark, "absent"))
+    fact = facts.market_stats_fact(
+        documents, build_dim_location(api), shapes.BATCH_API, shapes.INGESTED_AT
+    )
+    return null_counts(fact)
+
+
+def load_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the times that a load stamps lie in order and within its run."""
+    began = utc_now()
+    warehouse = _loaded(spark, sf_dir)
+    inside = F.col("load_started_at").between(F.lit(began), F.lit(utc_now()))
+    return warehouse.table("pipeline_metadata").select(
+        "source", "table_name", inside.alias("started_in_run"),
+        (F.col("load_started_at") <= F.col("load_ended_at")).alias("in_order"),
+    )
+
+
 def first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dearest orders by a total order, with their place."""
     orders = table(spark, sf_dir, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(100)
@@ -599,6 +631,9 @@ QUERIES: dict[str, Query] = {
     "market_files": market_files,
     "landed_totals": landed_totals,
     "first_orders": first_orders,
+    "first_look": first_look,
+    "empty_market": empty_market,
+    "load_times": load_times,
     "view_price_comparison": view_price_comparison,
     "view_market_summary": view_market_summary,
     "median_by_position": median_by_position,

@@ -6,6 +6,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from parcelstar.constants import LOCATION_KEY
 from parcelstar.session import write_through
@@ -20,12 +28,24 @@ def fits_broadcast(
     max_bytes: int = BROADCAST_BYTES,
 ) -> bool:
     """Measure a lookup, columns of every type: is it few rows and few bytes?"""
-    length = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in lookup.columns])))
+    widths = [_width(field) for field in lookup.schema]
+    varying = reduce(Column.__add__, [w for w in widths if not isinstance(w, int)], F.lit(0))
     size = lookup.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(length.cast("bigint")), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum(varying.cast("bigint")), F.lit(0)).alias("bytes"),
     ).first()
-    return size["rows"] <= max_rows and size["bytes"] <= max_bytes
+    fixed = sum(w for w in widths if isinstance(w, int))
+    return size["rows"] <= max_rows and size["bytes"] + size["rows"] * fixed <= max_bytes
+
+
+def _width(field: StructField) -> int | Column:
+    """Bytes of a value: fixed, or the length of texts, and of nested values as JSON."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 8
+    if isinstance(field.dataType, (StructType, ArrayType, MapType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+    return 8
 
 
 def hot_keys(large: DataFrame, on: list[str], slots: int) -> DataFrame:
