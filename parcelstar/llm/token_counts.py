@@ -6,12 +6,16 @@ pre-tokens together; pre-tokens without a known pair are done, and the symbols t
 left are counted. A symbol's pairs rank after the merge that makes it, so merging all
 occurrences of the lowest pair at once gives the same as one by one.
 
+Long pre-tokens would need very many rounds over all their symbols. These are merged rank by
+rank in all of them together, and only the neighbours of merged places are looked at again.
+
 Texts are cut at white space first: a piece with its leading space tokenizes alike wherever
 it stands, so counts of pieces met before come from a bounded cache.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 from collections.abc import Iterator
@@ -32,6 +36,8 @@ CACHE = 400_000
 #: Characters of text handled at a time.
 BLOCK = 1 << 21
 NEVER = np.iinfo(np.int64).max
+#: Bytes from which a pre-token is merged rank by rank.
+LONG = 256
 
 #: White space as the tokenizer's pattern sees it. Fixed values.
 WHITE = "\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -62,6 +68,71 @@ class Merges:
 
     def count(self, tokens: list[bytes]) -> np.ndarray:
         """Symbols that survive in each pre-token; none for an empty one."""
+        long = np.fromiter((len(t) >= LONG for t in tokens), dtype=bool, count=len(tokens))
+        if not long.any():
+            return self._by_rounds(tokens)
+        counts = np.zeros(len(tokens), dtype=np.int64)
+        counts[long] = self._by_ranks([t for t, own in zip(tokens, long, strict=True) if own])
+        counts[~long] = self._by_rounds([t for t, own in zip(tokens, long, strict=True) if not own])
+        return counts
+
+    def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks of pairs of symbols, NEVER for unknown ones, and what they make."""
+        code = left * self.size + right
+        at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+        return np.where(self.codes[at] == code, self.ranks[at], NEVER), self.made[at]
+
+    def _by_ranks(self, tokens: list[bytes]) -> np.ndarray:
+        """Lowest rank first over all tokens, places linked to those before and after them."""
+        lengths = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
+        symbols = self.of_byte[np.frombuffer(b"".join(tokens), dtype=np.uint8)]
+        n = len(symbols)
+        ends = np.cumsum(lengths)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after[ends - 1], before[ends - lengths] = n, -1
+        alive = np.ones(n, dtype=bool)
+        waiting: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def note(places: np.ndarray) -> None:
+            """Remember the places where a known pair begins, by rank."""
+            rank, _ = self._pair_ranks(symbols[places], symbols[after[places]])
+            order = np.argsort(rank, kind="stable")
+            rank, places = rank[order], places[order]
+            values, starts = np.unique(rank, return_index=True)
+            for value, own in zip(values.tolist(), np.split(places, starts[1:]), strict=True):
+                if value != NEVER:
+                    if value not in waiting:
+                        waiting[value] = []
+                        heapq.heappush(ranks, value)
+                    waiting[value].append(own)
+
+        note(np.flatnonzero(after < n))
+        while ranks:
+            lowest = heapq.heappop(ranks)
+            places = np.unique(np.concatenate(waiting.pop(lowest)))
+            places = places[alive[places] & (after[places] < n)]
+            rank, made = self._pair_ranks(symbols[places], symbols[after[places]])
+            places, made = places[rank == lowest], made[rank == lowest]
+            if not len(places):
+                continue
+            # Of overlapping occurrences (a pair of equal symbols) every second one merges.
+            index = np.arange(len(places))
+            first = np.append(True, after[places[:-1]] != places[1:])
+            run = np.maximum.accumulate(np.where(first, index, 0))
+            chosen = (index - run) % 2 == 0
+            places, made = places[chosen], made[chosen]
+            gone = after[places]
+            beyond = after[gone]
+            symbols[places], alive[gone], after[places] = made, False, beyond
+            inner = beyond < n
+            before[beyond[inner]] = places[inner]
+            left = before[places]
+            note(np.unique(np.concatenate([left[left >= 0], places[after[places] < n]])))
+        owner = np.repeat(np.arange(len(tokens)), lengths)
+        return np.bincount(owner[alive], minlength=len(tokens))
+
+    def _by_rounds(self, tokens: list[bytes]) -> np.ndarray:
         lengths = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
         counts = lengths.copy()
         symbols = self.of_byte[np.frombuffer(b"".join(tokens), dtype=np.uint8)]

@@ -1,4 +1,5 @@
 import random
+import time
 
 from tokenizers import Tokenizer
 
@@ -36,3 +37,19 @@ def test_query(docs):
     assert got == {(i, len((t or "").encode()), n, n > 512) for (i, t), n in zip(rows, counts, strict=True)}
     assert op6_token_counts(docs(rows)).count() == len(rows)
     assert op6_token_counts(docs([])).count() == 0
+
+
+def test_long_pre_tokens_equal_the_library():
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = ["".join(rng.choices(letters, k=n)) for n in (255, 256, 257, 3000)]
+    texts += ["".join(rng.choices("ab", k=4000)), "a" * 7001, "ab" * 2500, "".join(rng.choices("etaoin", k=5000))]
+    texts += ["".join(rng.choices("éß漢字🙂", k=900)), "=-" * 400 + "\n" + "x" * 300 + " " + "yx" * 200]
+    assert Counter(tokenizer_path(NAME)).count(texts) == library(texts)
+
+
+def test_a_very_long_pre_token_takes_little_time():
+    text = "".join(random.Random(6).choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))
+    began = time.time()
+    assert Counter(tokenizer_path(NAME)).count([text])[0] > 500_000
+    assert time.time() - began < 20
