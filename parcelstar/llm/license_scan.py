@@ -17,8 +17,9 @@ it is sent to the tasks. Each document is scanned where it is read.
 
 from __future__ import annotations
 
+import heapq
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -38,6 +39,8 @@ SHORT_WORDS = 16
 BAND = 4
 #: Score of a match, a mismatch and a skipped word.
 MATCH, MISMATCH, SKIP = 2, -1, -1
+#: Words of a stretch that matches are looked up by.
+STRETCH = 64
 #: Words of all templates up to which the index is sent to every task, about 100 MB.
 MOST_WORDS = 2_000_000
 
@@ -184,30 +187,25 @@ class Index:
         least: float,
     ) -> Iterator[Match]:
         template = self.templates[number]
-        band = BAND + len(template) // 10
-        while hits:
-            at, place = hits[0]
+        band, needed = BAND + len(template) // 10, least * len(template)
+        failed: set[int] = set()  # diagonals
+        ruled_out = places.ruled_out(template, band, needed)
+        found: list[tuple[int, int]] = []  # spans that begin after the hits looked at
+        until = -1  # end of the spans that began
+        for at, place in hits:  # by place in the document
+            while found and found[0][0] <= at:
+                until = max(until, heapq.heappop(found)[1])
             diagonal = at - place
-            found = None
-            if places.most(template, diagonal, band) >= least * len(template):
-                found = align(template, words, diagonal, band)
-            near = (
-                found is not None
-                and found[0] >= least * len(template)
-                and self._has_runs(words, number, found[1], found[2])
-            )
-            if near:
-                matched, first, last = found
-                yield Match(self.names[number], matched, matched / len(template), first, last)
-            # Hits that this alignment has settled; at least the first one.
-            settled = (
-                (lambda h: first <= h[0] <= last)
-                if near
-                else (lambda h: h == (at, place) or h[0] - h[1] == diagonal)
-            )
-            rest = [h for h in hits if not settled(h)]
-            hits = rest if len(rest) < len(hits) else hits[1:]
-
+            if at <= until or diagonal in failed:
+                continue
+            if not ruled_out(diagonal) and places.most(template, diagonal, band) >= needed:
+                aligned = align(template, words, diagonal, band)
+                if aligned and aligned[0] >= needed and self._has_runs(words, number, *aligned[1:]):
+                    matched, first, last = aligned
+                    heapq.heappush(found, (first, last))
+                    yield Match(self.names[number], matched, matched / len(template), first, last)
+                    continue
+            failed.add(diagonal)
 
     def _has_runs(self, words: np.ndarray, number: int, first: int, last: int) -> bool:
         if not self.runs[number]:
@@ -220,9 +218,34 @@ class _Places:
     """Where a document has each word."""
 
     def __init__(self, words: np.ndarray) -> None:
+        self.words = words
         self.step = len(words) + 1
         self.keys = np.sort(words * self.step + np.arange(len(words)))
 
+    def ruled_out(self, template: np.ndarray, band: int, needed: float) -> Callable[[int], bool]:
+        """Tells diagonals that surely have too few matches, each stretch looked at once.
+
+        A diagonal fails if the words around it include too few of the template's, and with it
+        all diagonals within the band if it fails with twice the band.
+        """
+        own = np.zeros(max(int(self.words.max(initial=0)), int(template.max())) + 1, dtype=bool)
+        own[template] = True
+        before = np.concatenate([[0], np.cumsum(own[self.words])])
+        bad: dict[int, bool] = {}
+
+        def check(diagonal: int) -> bool:
+            low = max(0, diagonal - band)
+            high = min(len(self.words), diagonal + len(template) + band)
+            if high <= low or before[high] - before[low] < needed:
+                return True
+            stretch = diagonal // band  # its middle is within the band of all its diagonals
+            if stretch not in bad:
+                middle = stretch * band + band // 2
+                bad[stretch] = self.most(template, middle, 2 * band) < needed
+            return bad[stretch]
+
+        return check
+
     def most(self, template: np.ndarray, diagonal: int, band: int) -> int:
         """No alignment within the band matches more words of the template."""
         at = np.arange(len(template)) + diagonal
@@ -253,13 +276,17 @@ def best(matches: list[Match], groups: dict[str, int]) -> list[Match]:
         return -m.matched, -groups[m.template], -m.coverage, m.first, m.template
 
     kept: list[Match] = []
+    near: dict[int, list[Match]] = defaultdict(list)  # kept ones by the stretches they lie on
     for m in sorted(matches, key=rank):
-        for other in kept:
+        stretches = range(m.first // STRETCH, m.last // STRETCH + 1)
+        for other in (o for stretch in stretches for o in near[stretch]):
             shared = min(m.last, other.last) - max(m.first, other.first) + 1
             if 2 * shared > min(m.last - m.first, other.last - other.first) + 1:
                 break
         else:
             kept.append(m)
+            for stretch in stretches:
+                near[stretch].append(m)
     return kept
 
 
@@ -271,6 +298,8 @@ def align(
     Cell (i, b) ends at template word i and document word i + diagonal + b - band.
     """
     n, width = len(template), 2 * band + 1
+    if 0 <= diagonal <= len(words) - n and np.array_equal(words[diagonal : diagonal + n], template):
+        return n, diagonal, diagonal + n - 1  # nothing scores more
     steps = np.arange(width)
     score = np.zeros((n + 1, width + 2), np.int32)
     for i in range(n):

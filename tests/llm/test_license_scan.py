@@ -1,9 +1,20 @@
 import random
+import time
 
 import numpy as np
 import pytest
 
-from parcelstar.llm.license_scan import Index, align, op9_license_scan, winnowed
+from parcelstar.llm.license_scan import (
+    BAND,
+    COVERAGE,
+    Index,
+    Match,
+    align,
+    best,
+    license_words,
+    op9_license_scan,
+    winnowed,
+)
 from parcelstar.llm.license_texts import TEMPLATES
 from tests.llm.conftest import prose
 
@@ -130,3 +141,49 @@ def test_query(docs):
     name = "CC-BY-NC-4.0 notice"
     assert got == sorted((repr(i), int(bool(t)), name if t else "") for i, t in rows)
     assert op9_license_scan(docs([])).count() == 0
+
+
+def brute(index, text):
+    """Every template aligned with the text on every diagonal."""
+    words = np.array([index.ids.get(w, 0) for w in license_words(text)], dtype=np.int64)
+    matches = []
+    for number, template in enumerate(index.templates):
+        band, needed = BAND + len(template) // 10, COVERAGE * len(template)
+        for diagonal in range(-len(template), len(words) + 1):
+            aligned = align(template, words, diagonal, band)
+            if aligned and aligned[0] >= needed and index._has_runs(words, number, *aligned[1:]):
+                matches.append(Match(index.names[number], aligned[0], aligned[0] / len(template), *aligned[1:]))
+    groups = {name: len(own) for name, own in zip(index.names, index.runs, strict=True)}
+    return {(m.template, m.matched, m.first, m.last) for m in best(set(matches), groups)}
+
+
+def test_equals_a_full_alignment_of_all_templates():
+    short = sorted(TEMPLATES, key=lambda n: len(license_words(TEMPLATES[n].encode())))
+    chosen = {n: TEMPLATES[n] for n in short if 8 <= len(license_words(TEMPLATES[n].encode())) <= 60}
+    index, rng = Index(chosen), random.Random(3)
+    names = sorted(chosen)
+    found = 0
+    for _ in range(12):
+        parts = []
+        for _ in range(rng.randint(1, 3)):
+            own = chosen[rng.choice(names)].split()
+            for _ in range(rng.randint(0, 2)):
+                own[rng.randrange(len(own))] = "changed"
+            parts += [" ".join(rng.choices(["the", "code", "of", "any", "file"], k=rng.randint(5, 25))), " ".join(own)]
+        text = " ".join(parts).encode()
+        got = {(m.template, m.matched, m.first, m.last) for m in index.scan(text)}
+        full = brute(index, text)
+        # The scan needs a run of words in common to look at a place; the rest is the same.
+        assert got <= full and len(full - got) <= 1
+        found += len(got)
+    assert found >= 12
+
+
+def test_many_notices_take_little_time():
+    name = next(n for n in sorted(TEMPLATES) if "Apache-2.0" in n and len(TEMPLATES[n]) < 2000)
+    index = Index(TEMPLATES)
+    began = time.time()
+    assert len(index.scan((TEMPLATES[name] + "\n").encode() * 5000)) == 5000
+    fragments = " ".join(" ".join(TEMPLATES[n].split()[5:11]) + " zz" for n in sorted(TEMPLATES) * 70)
+    index.scan(fragments.encode())
+    assert time.time() - began < 40
