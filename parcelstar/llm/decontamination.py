@@ -9,7 +9,6 @@ and is looked up by the hash of that window.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +29,8 @@ SPAN, K = 13, 8
 #: Bits of a fingerprint that hold its place, modulo 64.
 PLACE_BITS = 6
 #: Fingerprint rows up to which the benchmark is broadcast, about 250 bytes each.
+#: Words of 64 bits of the bitmap of short items.
+MARKS = 1 << 10
 BROADCAST_ROWS = 250_000
 KEY = ["_doc", "_text"]
 
@@ -257,37 +258,57 @@ def _narrowed(documents: DataFrame, items: DataFrame, span: int, k: int) -> Data
     )
 
 
-def _windows(hashes: Column, n: int) -> Column:
-    """Hash of every window of `n` words, as for an item of `n` words."""
+def _item_hash(hashes: Column) -> Column:
+    return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, x: F.xxhash64(a, x))
 
-    def at_each_start(h: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(h) - n), lambda i: _item_hash(F.slice(h, i + 1, n)))
 
-    return F.when(F.size(hashes) >= n, let(hashes, at_each_start)).otherwise(
-        F.array().cast("array<bigint>")
-    )
+def _word_and_bit(hashed: Column) -> tuple[Column, Column]:
+    return F.shiftright(hashed, 6).bitwiseAND(F.lit(MARKS - 1)), hashed.bitwiseAND(F.lit(63)).cast("int")
 
 
-def _item_hash(hashes: Column) -> Column:
-    return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, x: F.xxhash64(a, x))
+def _marks(items: DataFrame) -> Column:
+    """A bitmap of the items' hashes, as a constant array of MARKS words."""
+    word, bit = _word_and_bit(F.col("fp"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    rows = items.groupBy(word.alias("word")).agg(F.bit_or(one).alias("bits")).collect()
+    words = {r["word"]: r["bits"] for r in rows}
+    return F.array(*[F.lit(words.get(i, 0)).cast("long") for i in range(MARKS)])
 
 
-def _short_hits(documents: DataFrame, items: DataFrame, small: bool, lengths: list[int]) -> DataFrame:
-    """Occurrences of items with fewer words than a span, each length by itself."""
-    keyed = _keyed(documents).select(*KEY, _hashes(F.col("_words")).alias("_h"))
+def _short_windows(hashes: Column, lengths: list[int], marks: Column) -> Column:
+    """All windows of these lengths that may be items: (length, pos, fp)."""
+    def marked(hashed: Column) -> Column:
+        word, bit = _word_and_bit(hashed)
+        shifted = F.call_function("shiftrightunsigned", F.get(marks, word.cast("int")), bit)
+        return shifted.bitwiseAND(F.lit(1)) == 1
 
-    def found(n: int) -> DataFrame:
-        right = items.where(F.col("_length") == n).drop("_length")
-        span = F.struct(F.col("pos").alias("first"), (F.col("pos") + (n - 1)).alias("last"))
-        return (
-            keyed.select(*KEY, F.posexplode_outer(_windows(F.col("_h"), n)).alias("pos", "fp"))
-            .join(F.broadcast(right) if small else right, "fp")
-            .select(
-                *KEY, F.lit(None).cast("int").alias("_n"), "pos", "_item", span.alias("_span")
-            )
+    def of_length(h: Column, n: int) -> Column:
+        windows = F.transform(
+            F.sequence(F.lit(0), F.greatest(F.size(h) - n, F.lit(0))),
+            lambda i: F.struct(
+                F.lit(n).alias("_length"), i.alias("pos"), _item_hash(F.slice(h, i + 1, n)).alias("fp")
+            ),
         )
+        return F.filter(windows, lambda w: (w["pos"] + n <= F.size(h)) & marked(w["fp"]))
 
-    return reduce(DataFrame.unionByName, map(found, lengths))
+    return let(hashes, lambda h: F.flatten(F.array(*[of_length(h, n) for n in lengths])))
+
+
+def _short_hits(documents: DataFrame, items: DataFrame, small: bool, lengths: list[int]) -> DataFrame:
+    """Occurrences of items with fewer words than a span, of all lengths from one pass.
+
+    Windows that the bitmap of the items rules out never become rows.
+    """
+    keyed = _keyed(documents).select(*KEY, _hashes(F.col("_words")).alias("_h"))
+    windows = keyed.select(*KEY, F.inline(_short_windows(F.col("_h"), lengths, _marks(items))))
+    end = F.col("pos") + F.col("_length") - 1
+    return windows.join(F.broadcast(items) if small else items, ["_length", "fp"]).select(
+        *KEY,
+        F.lit(None).cast("int").alias("_n"),
+        "pos",
+        "_item",
+        F.struct(F.col("pos").alias("first"), end.alias("last")).alias("_span"),
+    )
 
 
 def contamination(

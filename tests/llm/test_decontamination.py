@@ -81,6 +81,28 @@ def test_a_benchmark_too_large_to_broadcast(spark, docs):
     assert {(r.doc_id, r.n_words, r.n_hit, r.n_items) for r in found.collect()} == expected
 
 
+def test_items_of_all_short_lengths_in_one_pass(spark, docs):
+    words = prose(200, 30).split()
+    items = [(100 + n, " ".join(words[3 * n : 4 * n])) for n in range(1, 13)] + [(99, "!?"), (98, None)]
+    rows = [(i, " ".join(words[i : i + 4 * i])) for i in range(1, 60)] + [(200, "x"), (201, None), (202, " ".join(words))]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    for some in (None, 0):
+        found = contamination(docs(rows), table, **({} if some is None else {"broadcast_rows": some}))
+        expected = {(r[0], r[1], r[2], r[3]) for r in brute(rows, items)}
+        assert {(r.doc_id, r.n_words, r.n_hit, r.n_items) for r in found.collect()} == expected
+
+
+def test_short_items_take_one_scan_of_the_documents(spark, tmp_path):
+    rows = [(i, prose(30, i)) for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents"))
+    words = prose(200, 30).split()
+    items = [(n, " ".join(words[n : 2 * n])) for n in range(1, 16)]
+    found = contamination(spark.read.parquet(str(tmp_path / "documents")), spark.createDataFrame(items, "item_id long, text string"))
+    physical = found._jdf.queryExecution().optimizedPlan().toString()
+    # One for the fingerprints of long items, one for all lengths of short ones.
+    assert sum("text#" in line for line in physical.split("\n") if "Relation [" in line) <= 2
+
+
 @pytest.mark.parametrize("rows, items", [([], ITEM), (ROWS, []), ([], [])])
 def test_empty_tables(spark, docs, rows, items):
     benchmark = spark.createDataFrame(items, "item_id long, text string")
