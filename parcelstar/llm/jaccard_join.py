@@ -581,6 +581,8 @@ def keep_one_of_each(documents: DataFrame) -> DataFrame:
     maybe, others = split_by_membership(documents, "doc_id", marks, "_of")
     of = marks.select(F.col("_of").alias("_doc_of"), F.col("_key_of").alias("_text_of"), F.col("_goes").alias("_gone"))
     same = maybe["doc_id"].eqNullSafe(of["_doc_of"]) & (F.xxhash64(maybe["text"]) == of["_text_of"])
+    if marks.where(~F.col("_goes")).isEmpty():  # no row repeats both: the texts move once
+        return others.union(maybe.join(of, same, "left_anti"))
     columns = [maybe[c] for c in documents.columns]
     judged = maybe.join(of, same, "left")
     once = judged.where(of["_gone"].isNull()).select(*columns)
