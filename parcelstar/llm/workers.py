@@ -8,16 +8,20 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-#: Bytes of rows sent to a worker at a time; the default is four times as much.
-BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+#: Bytes of rows sent to a worker at a time; Spark's default is four times as much.
+BATCH = "16m"
 
 _shipped: set[str] = set()
 
 
-def prepare(spark: SparkSession) -> None:
-    """Send the package to the executors, once per application, and bound the batches."""
+def prepare(spark: SparkSession, batch: str = BATCH) -> None:
+    """Send the package to the executors, once per application, and bound the batches.
+
+    A worker and the JVM each hold a batch and what it becomes, for every running task:
+    smaller batches take less memory and, far below a megabyte, more time.
+    """
     context = spark.sparkContext
-    spark.conf.set(*BATCH)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", batch)
     if context.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parent.parent
