@@ -60,8 +60,8 @@ class Model(NamedTuple):
     n_words: int
     n_tokens: int
     end_id: int
-    bounds: list[int]  # first pair code of each shard of pairs, from the second on
-    split: dict[int, int]  # successors of the words whose pairs lie in several shards
+    n_bounds: int  # entries of the files that tell how pairs are dealt into shards
+    n_split: int
 
 
 # --- files -------------------------------------------------------------------------------
@@ -97,6 +97,33 @@ def _mapped(path: str) -> np.ndarray:
         return np.memmap(local.name, dtype=np.uint64, mode="r").view(np.ndarray)
 
 
+# --- lists that grow with the corpus: files, mapped like the levels ------------------------
+
+
+def _listed(model: Model, name: str, n: int) -> np.ndarray:
+    return _mapped(f"{model.path}/{name}") if n else np.zeros(0, np.uint64)
+
+
+def _bounds(model: Model) -> np.ndarray:
+    """First pair code of each shard of pairs, from the second on."""
+    return _listed(model, "bounds", model.n_bounds)
+
+
+def _split(model: Model) -> np.ndarray:
+    """Sorted ids of the words whose pairs lie in several shards."""
+    return _listed(model, "split", model.n_split).view(np.int64)
+
+
+def _split_successors(model: Model, ids: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """How many different words follow the split ones of `ids`; `others` for the rest."""
+    several = _split(model)
+    if not len(several):
+        return others
+    totals = _listed(model, "split-successors", model.n_split).view(np.int64)
+    place = np.minimum(np.searchsorted(several, ids), len(several) - 1)
+    return np.where(several[place] == ids, totals[place], others)
+
+
 # --- level one: words --------------------------------------------------------------------
 
 
@@ -225,7 +252,18 @@ def _pair_path(model_path: str, shard: int) -> str:
 
 
 def _pair_shards(model: Model, codes: np.ndarray) -> np.ndarray:
-    return np.searchsorted(np.array(model.bounds, dtype=np.uint64), codes, side="right")
+    return np.searchsorted(_bounds(model), codes, side="right")
+
+
+def _several(model: Model, shards: np.ndarray) -> np.ndarray:
+    """Whether shards of pairs hold a part of a split word; such a word begins a shard."""
+    first = _split(model).view(np.uint64) * np.uint64(model.n_words)
+    if not len(first):
+        return np.zeros(len(shards), bool)
+    begins = _pair_shards(model, first)
+    ends = _pair_shards(model, first + np.uint64(model.n_words - 1))
+    place = np.searchsorted(begins, shards, side="right") - 1
+    return (place >= 0) & (shards <= ends[np.maximum(place, 0)])
 
 
 def pair_codes(model: Model, first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -235,17 +273,17 @@ def pair_codes(model: Model, first: np.ndarray, second: np.ndarray) -> np.ndarra
 def find_pairs(model: Model, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """log10 p of pairs of known words by sorted codes, and which were seen."""
     log_p, seen = np.zeros(len(codes)), np.zeros(len(codes), bool)
-    cuts = np.searchsorted(codes, np.array(model.bounds, dtype=np.uint64))
-    edges = np.concatenate([[0], cuts, [len(codes)]])
-    for shard in np.flatnonzero(np.diff(edges)).tolist():
-        level = _pairs_or_none(model, shard)
+    shards = _pair_shards(model, codes)
+    edges = np.flatnonzero(np.diff(shards)) + 1
+    for lower, upper in zip([0, *edges.tolist()], [*edges.tolist(), len(codes)], strict=True):
+        level = _pairs_or_none(model, int(shards[lower])) if upper > lower else None
         if level is None:
             continue
         start = level.first * model.n_words
         a, b = np.searchsorted(
-            codes[edges[shard] : edges[shard + 1]],
+            codes[lower:upper],
             np.array([start, start + level.contexts * model.n_words], dtype=np.uint64),
-        ) + edges[shard]
+        ) + lower
         log_p[a:b], seen[a:b] = level.find(codes[a:b] - np.uint64(start))
     return log_p, seen
 
@@ -271,12 +309,7 @@ def successors(model: Model, ids: np.ndarray) -> np.ndarray:
         level = _pairs_or_none(model, shard)
         if level is not None:
             n[own] = level.n_successors(ids[own])
-    if model.split:
-        several = np.array(sorted(model.split), dtype=np.int64)
-        totals = np.array([model.split[i] for i in sorted(model.split)], dtype=np.int64)
-        place = np.minimum(np.searchsorted(several, ids), len(several) - 1)
-        n = np.where(several[place] == ids, totals[place], n)
-    return n
+    return _split_successors(model, ids, n)
 
 
 # --- passes over the texts ---------------------------------------------------------------
@@ -466,8 +499,9 @@ def _rows_of_pairs(model: Model, codes: np.ndarray) -> pa.RecordBatch:
     codes, counts = np.unique(codes, return_counts=True)
     shards = _pair_shards(model, codes)
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(shards)) + 1, [len(codes)]])
+    several = _several(model, shards[cuts[:-1]]).tolist()
     rows = []
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+    for a, b, part in zip(cuts[:-1].tolist(), cuts[1:].tolist(), several, strict=True):
         steps = np.diff(codes[a:b])
         narrow = not len(steps) or int(steps.max()) < 1 << 32
         n = counts[a:b]
@@ -477,13 +511,14 @@ def _rows_of_pairs(model: Model, codes: np.ndarray) -> pa.RecordBatch:
                 int(codes[a]),
                 steps.astype(np.uint32 if narrow else np.uint64).tobytes(),
                 _narrow(n).tobytes(),
+                part,
             )
         )
     columns = list(zip(*rows, strict=True))
-    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.bool_()]
     return pa.RecordBatch.from_arrays(
         [pa.array(c, type=k) for c, k in zip(columns, kinds, strict=True)],
-        names=["shard", "first", "steps", "counts"],
+        names=["shard", "first", "steps", "counts", "several"],
     )
 
 
@@ -512,9 +547,7 @@ def _building(model: Model):
         of_context = counts_of_ids(model, contexts)
         distinct, place = np.unique(second, return_inverse=True)
         of_word = counts_of_ids(model, distinct)[place]
-        n_after = here.copy()
-        for i in (0, len(contexts) - 1):  # only these can go on in other shards
-            n_after[i] = model.split.get(int(contexts[i]), int(here[i]))
+        n_after = _split_successors(model, contexts, here)
         p = (of_word + 1) / (model.n_tokens + model.n_words + 1)
         total = of_context[at]
         log_p = np.log10(np.maximum(counts - DISCOUNT, 0) / total + DISCOUNT * n_after[at] / total * p)
@@ -538,12 +571,37 @@ def _outer(model: Model):
         )
         first = (codes // np.uint64(model.n_words)).astype(np.int64)
         contexts, n = np.unique(first, return_counts=True)
-        own = np.isin(contexts, np.array(sorted(model.split), dtype=np.int64))
+        own = np.isin(contexts, _split(model))
         return pd.DataFrame({"context": contexts[own], "n": n[own]})
 
     return outer
 
 
+def _cutting(bits: int):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of word counts cut by more bits of the hash than they came with."""
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                hashes = np.frombuffer(row["hashes"], dtype=np.uint64)
+                width = len(row["counts"]) // len(hashes)
+                shards = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+                cuts = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(hashes)]
+                rows += [
+                    (int(shards[a]), b - a, row["hashes"][8 * a : 8 * b], row["counts"][width * a : width * b])
+                    for a, b in zip(cuts[:-1], cuts[1:], strict=True)
+                ]
+            if rows:
+                columns = zip(*rows, strict=True)
+                kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, type=k) for c, k in zip(columns, kinds, strict=True)],
+                    names=["shard", "entries", "hashes", "counts"],
+                )
+
+    return cut
+
+
 # --- training and scoring ----------------------------------------------------------------
 
 
@@ -560,10 +618,15 @@ def _train_words(documents: DataFrame, path: str) -> tuple[Model, list[tuple[int
         "words",
     )
     entries = pieces.agg(F.sum("entries")).collect()[0][0] or 0
-    # A word comes as an entry from several tasks.
-    wanted = max(1, entries / (4 * WORDS_PER_SHARD))
-    bits = min(PIECE_BITS, max(0, math.ceil(math.log2(wanted))))
+    # A word comes as an entry from several tasks; a shard is built from a bounded number.
+    bits = math.ceil(math.log2(max(1, entries / (4 * WORDS_PER_SHARD))))
     rest = 64 - bits
+    if bits > PIECE_BITS:
+        parts = pieces.mapInArrow(
+            _cutting(bits), "shard int, entries long, hashes binary, counts binary"
+        )
+    else:
+        parts = pieces.withColumn("shard", F.shiftright("piece", PIECE_BITS - bits))
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         hashes = np.concatenate([np.frombuffer(h, dtype=np.uint64) for h in frame["hashes"]])
@@ -571,7 +634,7 @@ def _train_words(documents: DataFrame, path: str) -> tuple[Model, list[tuple[int
             [_widened(c, n) for c, n in zip(frame["counts"], frame["entries"], strict=True)]
         )
         hashes, counts = _summed(hashes, counts)
-        number = int(frame["piece"].iloc[0]) >> (PIECE_BITS - bits)
+        number = int(frame["shard"].iloc[0])
         own = hashes & np.uint64((1 << rest) - 1)
         Words.write(_word_path(path, number), own, counts, 1 << rest)
         heavy = counts > TOKENS_PER_SHARD / 2
@@ -585,7 +648,7 @@ def _train_words(documents: DataFrame, path: str) -> tuple[Model, list[tuple[int
         )
 
     shards = (
-        pieces.groupBy(F.shiftright("piece", PIECE_BITS - bits))
+        parts.groupBy("shard")
         .applyInPandas(build, "shard int, n long, total long, heavy array<long>")
         .collect()  # a row per shard, with less than two heavy words for each shard of pairs
     )
@@ -593,7 +656,7 @@ def _train_words(documents: DataFrame, path: str) -> tuple[Model, list[tuple[int
     bases = [0]
     for s in range(1 << bits):
         bases.append(bases[-1] + sizes.get(s, 0))
-    model = Model(path, bits, bases, bases[-1], sum(r["total"] for r in shards), -1, [], {})
+    model = Model(path, bits, bases, bases[-1], sum(r["total"] for r in shards), -1, 0, 0)
     if not model.n_words:
         return model, []
     heavy = np.array([h for r in shards for h in r["heavy"]], dtype=np.int64).view(np.uint64)
@@ -602,7 +665,7 @@ def _train_words(documents: DataFrame, path: str) -> tuple[Model, list[tuple[int
     return model._replace(end_id=int(end[0])), list(zip(ids.tolist(), of_ids.tolist(), strict=True))
 
 
-def _pair_bounds(model: Model, heavy: list[tuple[int, int]]) -> tuple[list[int], set[int]]:
+def _pair_bounds(model: Model, heavy: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
     """Where shards of pairs begin, and the words whose pairs lie in several.
 
     Ids follow hashes, so equal ranges of ids hold about equally many tokens but for heavy
@@ -610,14 +673,16 @@ def _pair_bounds(model: Model, heavy: list[tuple[int, int]]) -> tuple[list[int],
     """
     n = model.n_words
     shards = max(1, math.ceil(model.n_tokens / TOKENS_PER_SHARD))
-    starts = {n * i // shards * n for i in range(1, shards)}
-    split = set()
+    starts = [np.arange(1, shards, dtype=np.uint64) * np.uint64(n) // np.uint64(shards) * np.uint64(n)]
+    split = []
     for word, count in heavy:
         pieces = math.ceil(count / TOKENS_PER_SHARD)
-        starts |= {word * n + n * i // pieces for i in range(pieces)} | {(word + 1) * n}
+        within = np.arange(pieces, dtype=np.uint64) * np.uint64(n) // np.uint64(pieces)
+        starts.append(np.append(within, np.uint64(n)) + np.uint64(word * n))
         if pieces > 1:
-            split.add(word)
-    return sorted(s for s in starts if 0 < s < n * n), split
+            split.append(word)
+    every = np.unique(np.concatenate(starts))
+    return every[(every > 0) & (every < n * n)], np.array(sorted(split), dtype=np.uint64)
 
 
 def train(documents: DataFrame) -> Model:
@@ -632,24 +697,21 @@ def train(documents: DataFrame) -> Model:
     if not model.n_words:
         return model
     bounds, split = _pair_bounds(model, heavy)
-    model = model._replace(bounds=bounds, split=dict.fromkeys(split, 0))
+    for name, numbers in (("bounds", bounds), ("split", split)):
+        if len(numbers):
+            _write(f"{path}/{name}", numbers)
+    model = model._replace(n_bounds=len(bounds), n_split=len(split))
     pairs = write_through(
         _source(documents).mapInArrow(
-            _counting(model), "shard int, first long, steps binary, counts binary"
+            _counting(model),
+            "shard int, first long, steps binary, counts binary, several boolean",
         ),
         "pairs",
     )
-    if split:
-        first = np.array(sorted(split), dtype=np.uint64) * np.uint64(model.n_words)
-        spans = zip(
-            _pair_shards(model, first),
-            _pair_shards(model, first + np.uint64(model.n_words - 1)),
-            strict=True,
-        )
-        shards = sorted({s for a, b in spans for s in range(int(a), int(b) + 1)})
-        rows = pairs.where(F.col("shard").isin(shards)).groupBy("shard").applyInPandas(_outer(model), "context long, n long")
-        totals = rows.groupBy("context").agg(F.sum("n").alias("n")).collect()
-        model = model._replace(split={r["context"]: r["n"] for r in totals})
+    if len(split):
+        rows = pairs.where("several").groupBy("shard").applyInPandas(_outer(model), "context long, n long")
+        totals = dict(rows.groupBy("context").agg(F.sum("n")).collect())  # a row per split word
+        _write(f"{path}/split-successors", np.array([totals[i] for i in split.tolist()], dtype=np.uint64))
     pairs.groupBy("shard").applyInPandas(_building(model), "shard int, n long").agg(
         F.sum("n")
     ).collect()

@@ -58,9 +58,10 @@ ROWS = (
 )
 
 
-@pytest.mark.parametrize("words, tokens", [(1 << 19, 1 << 22), (100, 2000), (7, 300)])
+@pytest.mark.parametrize("words, tokens", [(1 << 19, 1 << 22), (100, 2000), (7, 300), (0.25, 1 << 22)])
 def test_scores_equal_brute_force(docs, monkeypatch, words, tokens):
-    """With shards of usual size, and so small that a word's pairs lie in several."""
+    """With shards of usual size, so small that a word's pairs lie in several, and more shards
+    of words than the pieces in which tasks hand on their counts."""
     monkeypatch.setattr(language_model, "WORDS_PER_SHARD", words)
     monkeypatch.setattr(language_model, "TOKENS_PER_SHARD", tokens)
     got = sorted(map(tuple, op10_lm_scoring(docs(ROWS)).collect()), key=repr)
