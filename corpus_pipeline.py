@@ -18,10 +18,6 @@ from parcelstar.llm.quality_rules import keep_quality
 from parcelstar.llm.workers import prepare
 from parcelstar.session import write_through
 
-#: Bytes of rows sent to a Python worker at a time. Four stages share an executor, whose workers
-#: and JVM keep what earlier ones allocated: less than in a query of its own.
-BATCH = "4m"
-
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
@@ -30,7 +26,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    prepare(spark, BATCH)
+    prepare(spark)
     return keep_one_of_each(docs)
 
 
@@ -41,7 +37,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences, as few as possible, a row per piece."""
-    prepare(spark, BATCH)
+    prepare(spark)
     # The workers also hold what the stages before left in memory: a smaller cache.
     return op7_best_fit_packing(docs, cache=100_000)
 
