@@ -58,18 +58,19 @@ class Generations:
             return literal_frame(self.spark, [], self.schema)
         return self.spark.read.schema(self.schema).parquet(*folders).select(*self.schema.names)
 
-    def replace(self, rows: DataFrame, touched: set[str]) -> int:
+    def replace(self, rows: DataFrame, touched: set[str], gathered: bool = False) -> int:
         """Put `rows`, with their partition in `_part`, in the place of the touched partitions.
 
         A touched partition without rows is empty from then on. Rows of other partitions are an
-        error of the caller.
+        error of the caller. `gathered` rows lie with those of their partition and stay there.
         """
         holders = self.holders()
         number = self.number() + 1
         data = f"{self.root}/data/generation={number}"
         shaped = conform(rows, StructType([*self.schema.fields, *struct(**{PART: StringType()}).fields]))
         # A large partition is split over several tasks.
-        shaped.hint("rebalance", PART).write.mode("overwrite").partitionBy(PART).parquet(data)
+        placed = shaped if gathered else shaped.hint("rebalance", PART)
+        placed.write.mode("overwrite").partitionBy(PART).parquet(data)
         written = set(partition_values(self.spark, data, PART))
         held = {p: g for p, g in holders.items() if p not in touched} | dict.fromkeys(written, number)
         table = literal_frame(self.spark, sorted(held.items()), _MAP)

@@ -1,8 +1,9 @@
 """Tables that keep the former versions of their rows (slowly changing, type 2).
 
-A load compares a snapshot with the open versions by key and by a hash of the attributes, so
-only keys and hashes meet. Versions that changed are closed at the load's date and new ones
-opened; partitions without a change are not rewritten, and a load without any writes nothing.
+A load brings each key's rows of the snapshot and its open version together in one shuffle,
+which also gathers the partitions of the open versions, so nothing is joined or moved again.
+Versions that changed are closed at the load's date and new ones opened; partitions without a
+change are not rewritten, and a load without any leaves the table as it was.
 """
 
 from __future__ import annotations
@@ -12,14 +13,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StructType
+from pyspark.sql.types import DateType, StructType
 
 from parcelstar.schemas import conform, literal_frame, struct
 from parcelstar.session import write_through
 from parcelstar.sources.generations import PART, Generations, part_of
 from parcelstar.sources.paths import path_exists
 
-_OPENED = struct(valid_from=DateType(), _hash1=LongType(), _hash2=LongType())
+_OPENED = struct(valid_from=DateType())
 _CLOSED = struct(valid_from=DateType(), valid_to=DateType())
 
 
@@ -74,25 +75,33 @@ class VersionedTable:
         valid = (F.col("valid_from") <= day) & (F.col("valid_to").isNull() | (F.col("valid_to") > day))
         return self.history().where(valid).select(*self.schema.names)
 
-    def _snapshot(self, rows: DataFrame) -> DataFrame:
-        """One row per full key, the greatest, with its partition and the hashes of its attributes."""
+    def _compared(self, rows: DataFrame, complete: bool) -> DataFrame:
+        """Written table of a row per key: its partition, what a load makes of it and its versions.
+
+        `_kind` is new, changed, gone or NULL; `_old` is the open version, `_new` the greatest row
+        of the snapshot if a version begins. A partition's keys lie in few tasks.
+        """
         full = reduce(Column.__and__, [F.col(k).isNotNull() for k in self.keys])
-        attributes = self._attributes
-        # Hashes pass over NULLs, so their places are hashed, too.
-        marks = [F.col(a).isNull() for a in attributes]
-        return (
-            conform(rows, self.schema)
-            .where(full)
-            .groupBy(*self.keys)
-            .agg(F.max(F.struct(*attributes)).alias("_row"))
-            .select(*self.keys, "_row.*")
-            .withColumns(
-                {
-                    "_hash1": F.xxhash64(*attributes, *marks),
-                    "_hash2": F.xxhash64(F.lit(1), *attributes, *marks),
-                    PART: part_of(self.keys, self.parts),
-                }
-            )
+        attributes = F.struct(*self._attributes)
+        version = F.struct(*self._attributes, "valid_from")
+        old = self._open.read().select(*self.keys, version.alias("_old"))
+        told = conform(rows, self.schema).where(full).select(*self.keys, attributes.alias("_new"))
+        both = told.unionByName(old, allowMissingColumns=True)
+        slots = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        share = F.pmod(F.xxhash64(F.lit(1), *self.keys), F.lit(-(-4 * slots // self.parts)))
+        placed = both.withColumns({PART: part_of(self.keys, self.parts), "_share": share})
+        # Grouped as it lies: the partition and its share follow from the key.
+        single = placed.repartition(PART, "_share").groupBy(PART, "_share", *self.keys)
+        met = single.agg(F.max("_new").alias("_new"), F.max("_old").alias("_old"))
+        known = F.struct(*[F.col("_old")[a].alias(a) for a in self._attributes])
+        kind = (
+            F.when(F.col("_old").isNull(), "new")
+            .when(F.col("_new").isNull(), "gone" if complete else None)
+            .when(~F.col("_new").eqNullSafe(known), "changed")
+        )
+        begins = F.when(F.col("_kind").isin("new", "changed"), F.col("_new"))
+        return write_through(
+            met.withColumn("_kind", kind).select(PART, *self.keys, "_kind", begins.alias("_new"), "_old"), "compared"
         )
 
     def load(self, rows: DataFrame, date: str, complete: bool = True) -> dict:
@@ -108,38 +117,27 @@ class VersionedTable:
         late = opened.read().where(F.col("valid_from") > day).limit(1).count()
         if late:
             raise ValueError(f"versions later than {date} are open")
-        new = write_through(self._snapshot(rows), "snapshot")
-        old = opened.read().select(*self.keys, F.col("_hash1").alias("_old1"), F.col("_hash2").alias("_old2"))
-        hashes = new.select(*self.keys, "_hash1", "_hash2")
-        kind = (
-            F.when(F.col("_old1").isNull(), "new")
-            .when(F.col("_hash1").isNull(), "gone" if complete else None)
-            .when((F.col("_hash1") != F.col("_old1")) | (F.col("_hash2") != F.col("_old2")), "changed")
-        )
-        changes = hashes.join(old, self.keys, "full").withColumn("_kind", kind)
-        changes = write_through(
-            changes.where(F.col("_kind").isNotNull())
-            .withColumn(PART, part_of(self.keys, self.parts))
-            .select(*self.keys, "_kind", PART),
-            "changes",
-        )
+        compared = self._compared(rows, complete)
         figures = {
             (r["_kind"], r[PART]): r["n"]
-            for r in changes.groupBy("_kind", PART).agg(F.count(F.lit(1)).alias("n")).collect()
+            for r in compared.where(F.col("_kind").isNotNull())
+            .groupBy("_kind", PART).agg(F.count(F.lit(1)).alias("n")).collect()
         }  # three rows per partition at most
         counts = {k: sum(n for (kind, _), n in figures.items() if kind == k) for k in ("new", "changed", "gone")}
         touched = {part for _, part in figures}
         if touched:
-            before = opened.read(touched)
-            ends = changes.where(F.col("_kind") != "new").select(*self.keys)
-            begins = changes.where(F.col("_kind") != "gone").select(*self.keys)
-            over = before.join(ends, self.keys, "left_semi").where(F.col("valid_from") < day)
+            ends = F.coalesce(F.col("_kind").isin("changed", "gone"), F.lit(False))
+            over = compared.where(ends & (F.col("_old.valid_from") < day)).select(*self.keys, "_old.*")
             closed = over.withColumn("valid_to", day).select(*self.schema.names, *_CLOSED.names)
             # Closed first: both count from the commit of the open ones on.
             closed.write.mode("overwrite").parquet(self._closed_path(opened.number() + 1))
-            stays = before.join(ends, self.keys, "left_anti").withColumn(PART, part_of(self.keys, self.parts))
-            starts = new.join(begins, self.keys, "left_semi").withColumn("valid_from", day)
-            opened.replace(stays.unionByName(starts), touched)
+            starts = F.col("_new").withField("valid_from", day)
+            stays = F.when(F.col("_kind").isNull(), F.col("_old"))
+            rewritten = compared.where(F.col(PART).isin(sorted(touched)) & ~F.col("_kind").eqNullSafe("gone"))
+            version = F.when(F.col("_new").isNotNull(), starts).otherwise(stays)
+            opened.replace(
+                rewritten.withColumn("_version", version).select(*self.keys, "_version.*", PART), touched, gathered=True
+            )
         return {
             "opened": counts["new"] + counts["changed"],
             "closed": counts["changed"] + counts["gone"],

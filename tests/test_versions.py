@@ -109,3 +109,21 @@ def test_an_emptied_partition_stays_empty(spark, tmp_path):
     assert [r.id for r in g.read().collect()] == [2]
     assert [r.id for r in g.read({"x"}).collect()] == []
     assert g.holders() == {"y": 1}
+
+
+def test_a_load_moves_each_row_once_and_joins_nothing(spark, tmp_path, monkeypatch):
+    t = table(spark, tmp_path)
+    one = [(i, f"a{i}", None) for i in range(40)]
+    t.load(frame(spark, one), "2024-01-01")
+
+    def joined(*_, **__):
+        raise AssertionError("a load joined its rows")
+
+    monkeypatch.setattr(type(frame(spark, one)), "join", joined)
+    two = [(0, None, None), *one[2:], (77, "x", None)]
+    figures = t.load(frame(spark, two), "2024-02-01")
+    assert (figures["opened"], figures["closed"]) == (2, 2)
+    gone = [(0, "a0", None, "2024-01-01", "2024-02-01"), (1, "a1", None, "2024-01-01", "2024-02-01")]
+    stays = [(i, f"a{i}", None, "2024-01-01", None) for i in range(2, 40)]
+    begins = [(0, None, None, "2024-02-01", None), (77, "x", None, "2024-02-01", None)]
+    assert history(t) == expected(*gone, *stays, *begins)
