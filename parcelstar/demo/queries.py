@@ -406,7 +406,8 @@ def _land_pages(raw: DataFrame, root: str, states: list[str] | None = None) -> d
         "records",
     )
     return land_api_pages(
-        fetched, root, DATE, shapes.BATCH_API, shapes.INGESTED_AT, known_states=False, states=states
+        fetched, root, DATE, shapes.BATCH_API, shapes.INGESTED_AT, known_states=False, states=states,
+        gathered=True,
     )
 
 

@@ -33,6 +33,7 @@ def sorted_runs(df: DataFrame, order: list[str]) -> DataFrame:
             F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias(PLACE),
         ),
         "runs",
+        compression="zstd",
     )
 
 
@@ -125,12 +126,16 @@ def pages(
     """Cut each group into pages of at most `size` rows, one array per page.
 
     Gives the groups, `offset` (place of the page's first row) and the array of the
-    remaining columns in order.
+    remaining columns in order. A task has pages of few groups, a large group's lie in many.
     """
     rest = [c for c in df.columns if c not in groups]
     placed = group_positions(df, groups, order, "_at")
     page = (F.floor(F.col("_at") / size) * size).alias("offset")
+    slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = F.pmod(F.floor(F.col("_at") / size), F.lit(slots)).alias("_share")
+    # Grouped as it lies: no later shuffle has to gather the groups.
+    spread = placed.select("*", page, share).repartition(*groups, "_share")
     listed = F.array_sort(F.collect_list(F.struct("_at", F.struct(*rest).alias("row"))))
-    return placed.groupBy(*groups, page).agg(
+    return spread.groupBy(*groups, "_share", "offset").agg(
         F.transform(listed, lambda item: item["row"]).alias(records)
-    )
+    ).drop("_share")

@@ -46,7 +46,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), "parcelstar", f"{name}-{uuid.uuid4().hex}")
 
 
-def write_through(df: DataFrame, name: str) -> DataFrame:
+def write_through(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write `df` to the shared folder and continue from the written table.
 
     This cuts the lineage, fixes the rows for every later pass (also after an
@@ -54,5 +54,5 @@ def write_through(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)

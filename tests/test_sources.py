@@ -6,6 +6,7 @@ import pyarrow.parquet
 import pytest
 from pyspark.sql import functions as F
 
+from parcelstar.operators.ordering import pages
 from parcelstar.operators.reconciliation import landing_totals, reconcile_pages
 from parcelstar.schemas import MARKET, PAGE, STAGED_API_FACT, STAGED_BULK_FACT
 from parcelstar.sources import api, bulk as bulk_source, paths
@@ -313,3 +314,23 @@ def test_a_broken_bulk_drop_is_not_read(spark, tmp_path):
     assert bulk_source.read_raw_bulk(spark, path).count() == 0
     assert bulk_source.land_bulk(spark, csv, raw, DATE, BATCH, NOW)["status"] == "success"
     assert bulk_source.read_raw_bulk(spark, path).count() == len(STATES)
+
+
+def test_gathered_pages_land_compressed_and_unmoved(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(api, "by_state", lambda _: pytest.fail("gathered pages were moved"))
+    rows = spark.range(2000).selectExpr(
+        "cast(id AS string) AS id", "element_at(array('Oregon', 'Utah'), cast(id % 2 + 1 AS int)) AS state", "1.5d * id AS price"
+    )
+    listed = api.shape_listing(rows).withColumn("_state", F.col("state"))
+    paged = pages(listed, ["_state"], ["id"], 100).select(
+        F.col("_state").alias("state"), "offset", F.lit(None).cast("bigint").alias("total_count"), "records"
+    )
+    landed = api.land_api_pages(paged, str(tmp_path), DATE, BATCH, NOW, gathered=True)
+    assert landed["records_count"] == 2000
+    files = [f for f in (tmp_path / "rentcast").rglob("part-*") if f.is_file()]
+    assert files and all(f.name.endswith(".json.gz") for f in files)
+    assert sorted(r.record_count for r in api.read_envelopes(spark, landed["path"]).collect()) == [100] * 20
+    back = api.read_api_listings(spark, landed["path"])
+    assert sorted((int(r.id), r.state, r.price) for r in back.collect()) == [
+        (i, ("Oregon", "Utah")[i % 2], 1.5 * i) for i in range(2000)
+    ]
