@@ -1,12 +1,12 @@
 """The nearest comparable listings of each listing, by a grid of cells of several sizes.
 
 Listings of one kind at one place are one point; its first ids are all that can be asked of it.
-A level halves the search radius twice; its cells are about as wide as its radius, so all
-points within the radius of a point lie in its own cell and those around it. A point begins at
-the level at which about as many points as it asks for share its cell, and is done when it
-finds enough within that level's radius; otherwise it goes on one level up, until the whole
+A level halves the search radius; its cells are about as wide as its radius, so all points
+within the radius of a point lie in its own cell and those around it. A point begins at the
+level at which about as many points as it asks for share its cell, and is done when it finds
+enough within that level's radius; otherwise it goes on some levels up, until the whole
 radius. In dense places the cells are thus small, in sparse ones large, and the pairs looked at
-grow with the points, not with their square.
+grow with the points, not with their square. Only pairs within the level's radius are sorted.
 """
 
 from __future__ import annotations
@@ -21,8 +21,9 @@ from parcelstar.operators.ordering import PLACE, RUN, sorted_runs
 from parcelstar.session import write_through
 
 EARTH_MILES = 3958.8
-#: Bits by which a level's cells are halved, and the finest level.
-STEP, FINEST = 2, 5
+#: Bits by which a level's cells are halved, the finest level, and the levels that a point goes
+#: up which has not found enough.
+STEP, FINEST, UP = 1, 10, 2
 BITS = STEP * FINEST
 #: Distances are compared to a millionth of a mile, about a sixteenth of an inch.
 PLACES = 6
@@ -38,13 +39,17 @@ def distance_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Co
 
 
 class Grid:
-    """Cells for a search radius. Level l has cells for radius / 4^l."""
+    """Cells for a search radius. Level l has cells for radius / 2^l."""
 
     def __init__(self, radius: float) -> None:
         self.radius = radius
         self.angle = math.degrees(radius / EARTH_MILES)
         self.height = 1.0001 * self.angle  # of the largest cells, in degrees
 
+    def reached(self, level: Column) -> Column:
+        """The radius of a level, in miles."""
+        return F.lit(self.radius) * F.pow(F.lit(2.0), F.lit(-STEP) * level)
+
     def band(self, row: Column) -> Column:
         """Of the largest cells, from a row of the finest."""
         return F.floor(row / (1 << BITS))
@@ -156,16 +161,24 @@ def _found(points: DataFrame, todo: DataFrame, grid: Grid, k: int) -> DataFrame:
     )
     met = lookup_join(there, asked, ["_kind", "_level", "band", "row", "col"], "inner")
     miles = distance_miles(F.col("_from_lat"), F.col("_from_lon"), F.col("_lat"), F.col("_lon"))
-    near = met.withColumn("_miles", F.round(miles, PLACES)).where(F.col("_miles") <= grid.radius)
-    listed = near.select(
-        "_kind", F.col("_from_lat").alias("_lat"), F.col("_from_lon").alias("_lon"), "_level",
-        "_miles", F.explode("_listed").alias("_one"),
-    ).select(*_POINT, "_level", "_miles", "_one.*")
-    order = Window.partitionBy(*_POINT).orderBy("_miles", "_id")
-    best = listed.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= k + 1)
-    return best.groupBy(*_POINT, "_level").agg(
-        F.array_sort(F.collect_list(F.struct("_miles", "_id", "_value"))).alias("_near")
+    # What lies farther is found again at the level that reaches it.
+    near = met.withColumn("_miles", F.round(miles, PLACES)).where(F.col("_miles") <= grid.reached(F.col("_level")))
+    near = near.select(
+        "_kind", F.col("_from_lat").alias("_lat"), F.col("_from_lon").alias("_lon"), "_level", "_miles", "_listed"
     )
+    # The first listings of the first k + 1 points are before all of a later point's.
+    order = Window.partitionBy(*_POINT).orderBy("_miles", F.col("_listed")[0]["_id"])
+    best = near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= k + 1)
+    grouped = best.groupBy(*_POINT, "_level").agg(F.collect_list(F.struct("_miles", "_listed")).alias("_of"))
+
+    def listed(point: Column) -> Column:
+        return F.transform(
+            point["_listed"],
+            lambda one: F.struct(point["_miles"].alias("_miles"), one["_id"].alias("_id"), one["_value"].alias("_value")),
+        )
+
+    every = F.array_sort(F.flatten(F.transform("_of", listed)))
+    return grouped.select(*_POINT, "_level", F.slice(every, 1, k + 1).alias("_near"))
 
 
 def nearest(
@@ -189,11 +202,11 @@ def nearest(
     todo, done = points.select(*_POINT, "_level"), []
     while True:
         found = write_through(_found(points, todo, grid, k), "found")
-        reached = F.lit(radius) * F.pow(F.lit(2.0), F.lit(-STEP) * F.col("_level")) - 10.0**-PLACES
+        reached = grid.reached(F.col("_level")) - 10.0**-PLACES
         last = F.try_element_at("_near", F.lit(k + 1))["_miles"]
         over = (F.col("_level") == 0) | F.coalesce(last < reached, F.lit(False))
         done.append(found.where(over).select(*_POINT, "_near"))
-        todo = found.where(~over).select(*_POINT, (F.col("_level") - 1).alias("_level"))
+        todo = found.where(~over).select(*_POINT, F.greatest(F.col("_level") - UP, F.lit(0)).alias("_level"))
         if todo.isEmpty():
             break
     of_points = done[0]

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelstar.operators.breakdown import breakdown_gaps, breakdown_rows, market_breakdown
+from parcelstar.operators import comparables as nearby
 from parcelstar.operators.comparables import comparables, valuations
 from parcelstar.operators.dimensions import dim_property_type
 from parcelstar.operators.properties import (
@@ -185,3 +186,15 @@ def test_valuations_leave_out_missing_values(spark):
     got = {r.id: (r.comparable_count, r.estimate, r.range_low, r.range_high) for r in valuations(df, "id", "kind", "price").collect()}
     assert got == {1: (1, 30.0, 30.0, 30.0), 2: (2, 20.0, 10.0, 30.0), 3: (1, 10.0, 10.0, 10.0)}
     assert valuations(df.limit(0), "id", "kind", "price").count() == 0
+
+
+def test_a_level_sorts_only_what_lies_within_its_radius(spark):
+    rows = [(i, "a", float(i), 40.0 + i / 500, -75.0) for i in range(40)]  # a row of points, 0.138 miles apart
+    df = spark.createDataFrame(rows, "_id long, _kind string, _value double, _lat double, _lon double")
+    grid = nearby.Grid(5.0)
+    points = nearby._points(df, grid, 20)
+    level = F.lit(nearby.FINEST * nearby.STEP // 5)  # cells for a quarter of the radius
+    found = nearby._found(points, points.select(*nearby._POINT, level.alias("_level")), grid, 20).collect()
+    assert len(found) == 40
+    assert all(one["_miles"] <= 1.25 for r in found for one in r["_near"])
+    assert {len(r["_near"]) for r in found} == set(range(10, 20))  # 9 to each side, fewer at the ends
