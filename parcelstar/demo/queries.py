@@ -407,7 +407,7 @@ def _land_pages(raw: DataFrame, root: str, states: list[str] | None = None) -> d
     )
     return land_api_pages(
         fetched, root, DATE, shapes.BATCH_API, shapes.INGESTED_AT, known_states=False, states=states,
-        gathered=True,
+        gathered=True, compression="gzip",
     )
 
 

@@ -78,12 +78,12 @@ def envelopes(
     )
 
 
-def write_envelopes(df: DataFrame, path: str, mode: str) -> None:
+def write_envelopes(df: DataFrame, path: str, mode: str, compression: str | None = None) -> None:
     """One folder per state; a large state is split over several tasks.
 
-    Compressed: as plain text the field names alone take more room than all values.
+    As plain text the field names alone take more room than all values.
     """
-    df.write.mode(mode).partitionBy("state_part").json(path, compression="gzip")
+    df.write.mode(mode).partitionBy("state_part").json(path, compression=compression)
 
 
 def by_state(df: DataFrame) -> DataFrame:
@@ -99,6 +99,7 @@ def land_api_pages(
     known_states: bool = True,
     states: list[str] | None = None,
     gathered: bool = False,
+    compression: str | None = None,
 ) -> dict:
     """Land the pages of the states that are not landed for this date yet.
 
@@ -108,7 +109,8 @@ def land_api_pages(
     its own (`drop`), and states that a stream landed count as landed. A landing that broke off
     counts for nothing and is removed; that of a stream is left to its restart. The date is
     today's, the batch id a fresh one and the time now, unless given. Pages that lie `gathered`
-    by state, as `ordering.pages` gives them, are written where they are.
+    by state, as `ordering.pages` gives them, are written where they are. The files are plain
+    text unless a `compression` is given, which readers need not be told.
     """
     if states is not None and not states:
         raise ValueError("no states requested")
@@ -136,7 +138,7 @@ def land_api_pages(
         F.collect_set("state").alias("states"),
         F.sum("record_count").alias("records"),
     )
-    write_envelopes(watched, f"{path}/drop={batch_id}-{uuid4().hex}", "errorifexists")
+    write_envelopes(watched, f"{path}/drop={batch_id}-{uuid4().hex}", "errorifexists", compression)
     figures = seen.get
     requested = {
         "states_skipped": sorted(set(states) & landed),

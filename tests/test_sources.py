@@ -325,7 +325,7 @@ def test_gathered_pages_land_compressed_and_unmoved(spark, tmp_path, monkeypatch
     paged = pages(listed, ["_state"], ["id"], 100).select(
         F.col("_state").alias("state"), "offset", F.lit(None).cast("bigint").alias("total_count"), "records"
     )
-    landed = api.land_api_pages(paged, str(tmp_path), DATE, BATCH, NOW, gathered=True)
+    landed = api.land_api_pages(paged, str(tmp_path), DATE, BATCH, NOW, gathered=True, compression="gzip")
     assert landed["records_count"] == 2000
     files = [f for f in (tmp_path / "rentcast").rglob("part-*") if f.is_file()]
     assert files and all(f.name.endswith(".json.gz") for f in files)
