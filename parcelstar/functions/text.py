@@ -35,11 +35,32 @@ def known_state(c: Column) -> Column:
 
 
 def shorten_street(c: Column) -> Column:
-    """Abbreviate the first occurrence of each street suffix, whole words only."""
+    """Abbreviate the first occurrence of each street suffix, whole words only.
+
+    One pattern shortens all words of a text in which none comes twice; only a text with a
+    repeated word is searched word by word. Both look at a word's boundaries after its letters.
+    """
+    words = "|".join(word for word, _ in STREET_SUFFIXES)
+    initials = "".join(sorted({word[0] for word, _ in STREET_SUFFIXES}))
+    letters = "|".join(_kept_letters(word, short) for word, short in STREET_SUFFIXES)
+    # The groups of words that do not match are empty.
+    kept = "".join(f"${i}" for i in range(1, sum(len(short) for _, short in STREET_SUFFIXES) + 1))
+    once = F.regexp_replace(c, rf"(?U)(?=[{initials}])\b(?:{letters})\b", kept)
+    each = c
     for word, short in STREET_SUFFIXES:
         # The match runs to the end of the text, so there is no second one.
-        c = F.regexp_replace(c, rf"(?Us)\b{word}\b(.*)", f"{short}$1")
-    return c
+        each = F.regexp_replace(each, rf"(?Us)(?={word})\b{word}\b(.*)", f"{short}$1")
+    repeated = F.rlike(c, F.lit(rf"(?Us)(?=[{initials}])\b({words})\b.*(?=\1)\b\1\b"))
+    return F.when(repeated, each).otherwise(once)
+
+
+def _kept_letters(word: str, short: str) -> str:
+    """Pattern of a word with a group for each letter of its abbreviation, which are in order."""
+    pattern, rest = "", word
+    for letter in short:
+        skipped, _, rest = rest.partition(letter)
+        pattern += f"{skipped}({letter})"
+    return pattern + rest
 
 
 def zip_text(c: Column, mode: str = "canonical") -> Column:

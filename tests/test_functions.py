@@ -3,6 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from parcelstar.constants import STREET_SUFFIXES
 from parcelstar.functions import dates, text
 from parcelstar.functions.aggregates import mean, percent_change
 from parcelstar.functions.property_types import type_from_bedrooms, type_from_label
@@ -44,6 +45,29 @@ def test_shorten_street_first_whole_word_only(spark):
     ]
 
 
+def test_shorten_street_as_word_by_word(spark):
+    words = [word for word, _ in STREET_SUFFIXES]
+    pairs = [f"1 {a} {b}{end}" for a in words for b in words for end in ("", " x", "side", "\u0301")]
+    given = [
+        *pairs, " ".join(words), " ".join([*words, *words]), "StreetStreet", "Street_Street",
+        "Street-Street", "\u00e9Street Street", "Lane\nLane Court", "Stree Lan $1 Road\\", "", None,
+    ]
+
+    def word_by_word(c):
+        for word, short in STREET_SUFFIXES:
+            c = F.regexp_replace(c, rf"(?Us)\b{word}\b(.*)", f"{short}$1")
+        return c
+
+    assert apply(spark, text.shorten_street, given) == apply(spark, word_by_word, given)
+
+
+def test_shorten_street_searches_a_text_once_unless_a_word_comes_twice(spark):
+    df = spark.createDataFrame([("1 Main Street",)], "v string")
+    plan = df.select(text.shorten_street(F.col("v")))._jdf.queryExecution().analyzed().toString()
+    otherwise = plan.split(" ELSE ")[1].split(" END")[0]
+    assert otherwise.count("regexp_replace") == 1
+
+
 def test_zip_text(spark):
     given = [97401.0, 601.0, 123456.0, None]
     assert apply(spark, text.zip_text, given, "double") == ["97401", "00601", "123456", None]
