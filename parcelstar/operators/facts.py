@@ -33,6 +33,13 @@ API_RENAMES = {
     "listedDate": "listed_date",
 }
 
+# Fields of the cleaned feeds that locations and facts are made from; the others are not staged.
+BULK_FIELDS = [*LOCATION_KEY, *BULK_FACT_COLUMNS[2:]]
+API_FIELDS = [
+    *LOCATION_KEY, "propertyType",
+    *[{new: old for old, new in API_RENAMES.items()}.get(c, c) for c in API_FACT_COLUMNS[2:]],
+]
+
 MARKET_COLUMNS = [
     "location_id", "snapshot_date", "median_listing_price", "median_price_per_sqft",
     "median_days_on_market", "total_listings", "new_listings",

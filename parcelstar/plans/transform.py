@@ -24,8 +24,8 @@ def transform_bulk(
     dedupe: bool = False,
 ) -> dict[str, DataFrame]:
     """Bulk listings to dim_location, dim_property_type and fact_listings."""
-    # The dimension and the fact each read the listings: clean them once.
-    cleaned = write_through(clean_bulk(raw, zip_mode, dedupe), "cleaned")
+    # The dimension and the fact each read the listings: clean them once, what they need of them.
+    cleaned = write_through(clean_bulk(raw, zip_mode, dedupe).select(*facts.BULK_FIELDS), "cleaned")
     locations = build_dim_location(cleaned)
     types = dim_property_type(raw.sparkSession)
     return {
@@ -43,7 +43,7 @@ def transform_api(
     dedupe: bool = False,
 ) -> dict[str, DataFrame]:
     """API listings and market documents to the star tables and fact_market_stats."""
-    cleaned = write_through(clean_api(listings, dedupe), "cleaned")
+    cleaned = write_through(clean_api(listings, dedupe).select(*facts.API_FIELDS), "cleaned")
     locations = build_dim_location(cleaned)
     types = dim_property_type(listings.sparkSession)
     return {

@@ -95,3 +95,13 @@ def test_conform_by_name_in_any_case(spark):
     row = conform(df, STAGED_BULK_FACT).first()
     assert (row.location_id, row.brokered_by, row.price) == (7, "2.5", None)
     assert list(row.asDict()) == STAGED_BULK_FACT.names
+
+
+def test_staging_writes_only_the_fields_that_locations_and_facts_need(spark):
+    api = transform_api(listings(spark), literal_frame(spark, [], MARKET), BATCH, NOW)
+    staged = {"api": api["fact_listings"], "bulk": transform_bulk(bulk(spark), BATCH, NOW)["fact_listings"]}
+    unused = {"api": "addressLine1", "bulk": "street"}
+    for feed, fact in staged.items():
+        files = [f for f in fact.inputFiles() if "/cleaned-" in f]
+        assert files
+        assert unused[feed] not in spark.read.parquet(*files).columns
